@@ -1,4 +1,194 @@
-"""The queries of the llm operators."""
+"""The queries of the training-data operators, and their SQL where SQL can express them."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexiloom.llm import bpe, langid, mix, pack, split
+from lexiloom.llm.common import with_version
+from lexiloom.tables import table
+
+LIMIT, OVERLAP, CAPACITY = 6000, 200, 12_000
+
+
+# --- 1: oversized bodies -----------------------------------------------------------------------
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each article whose valid body is too long, with the division that fits.
+
+    The bodies are split where they are read, and only the result is brought together by article.
+    """
+    rows = with_version(table(spark, sf_dir, "articles")).select(F.col("id").alias("article_id"), "__version", "body")
+    pieces = split.split_oversized(rows, "body", LIMIT, OVERLAP, with_text=False).where(F.coalesce("piece_no", F.lit(1)) == 1)
+    valid = pieces.where(F.col("article_id").isNotNull()).groupBy("article_id").agg(F.max_by(F.struct("piece_division"), "__version").alias("v"))
+    return valid.select("article_id", F.col("v.piece_division").alias("boundary")).where(F.col("boundary").isNotNull())
+
+
+def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of the valid bodies that are too long."""
+    rows = with_version(table(spark, sf_dir, "articles")).where(F.col("id").isNotNull())
+    valid = rows.groupBy(F.col("id").alias("article_id")).agg(F.max("__version").alias("v"))
+    long = rows.where(F.length("body") > LIMIT).select(F.col("id").alias("article_id"), "__version", "title", "body")
+    chosen = long.join(valid, "article_id").where(F.col("__version") == F.col("v")).drop("v", "__version").dropDuplicates(["article_id"])
+    return split.split_oversized(chosen, "body", LIMIT, OVERLAP)
+
+
+# --- 6: containers -----------------------------------------------------------------------------
+
+
+def _containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_version(table(spark, sf_dir, "articles")).where(F.col("id").isNotNull())
+    sized = rows.select(F.col("id").alias("article_id"), "__version", pack.byte_pieces(F.col("body"), CAPACITY).alias("pieces"))
+    valid = sized.groupBy("article_id").agg(F.max_by(F.struct("pieces"), "__version").alias("v"))
+    items = valid.select("article_id", F.size("v.pieces").alias("n_pieces"), F.explode("v.pieces").alias("p")).select("article_id", "n_pieces", "p.*")
+    items = items.withColumn("item_id", F.xxhash64("article_id", "piece_no"))
+    return pack.pack(items, "item_id", "piece_bytes", CAPACITY)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each article that had to be cut."""
+    return _containers(spark, sf_dir).where((F.col("n_pieces") > 1) & (F.col("piece_no") == 1)).select("article_id")
+
+
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every valid body, or piece of one, with its container."""
+    return _containers(spark, sf_dir).select("container_id", "container_fill", "article_id", "piece_no", "n_pieces", "piece_start", "piece_end", "piece_bytes")
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers, the fewest that their bytes could fill, and the share of the space that is used."""
+    bins = _containers(spark, sf_dir).groupBy("container_id").agg(F.sum("piece_bytes").alias("used"), F.count(F.lit(1)).alias("n"))
+    return bins.agg(
+        F.count(F.lit(1)).alias("n_containers"),
+        F.sum("n").alias("n_items"),
+        F.ceil(F.sum("used") / CAPACITY).alias("least_containers"),
+        F.round(F.sum("used") / (F.count(F.lit(1)) * CAPACITY), 4).alias("used_share"),
+    )
+
+
+# --- 7: token ids ------------------------------------------------------------------------------
+
+
+@cache
+def automaton(name: str = "byte_bpe_50k", folder: str = bpe.TOKENIZERS) -> bpe.Automaton:
+    return bpe.Automaton(bpe.read_ranks(name, folder))
+
+
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return bpe.encode_column(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", automaton())
+
+
+def p7_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Characters, tokens of the two byte-level vocabularies, and characters a token, by source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"), "text")
+    counted = bpe.encode_column(docs.withColumn("again", F.col("text")), "text", automaton(), "n_50k", counts_only=True)
+    counted = bpe.encode_column(counted, "again", automaton("byte_bpe_multi_50k"), "n_multi", counts_only=True)
+    sums = counted.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("chars").alias("n_chars"), F.sum("n_50k").alias("n_50k"), F.sum("n_multi").alias("n_multi"))
+    return sums.withColumn("chars_a_token", F.round(F.col("n_chars") / F.col("n_50k"), 4))
+
+
+def p7_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose ids do not spell their text again; there must be none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("before"), "text")
+    again = bpe.decode_column(bpe.encode_column(docs, "text", automaton()), "ids", automaton(), "after")
+    return again.where(F.coalesce("before", F.lit("")) != F.col("after")).select("doc_id", "before", "after")
+
+
+# --- 8: mixture --------------------------------------------------------------------------------
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture in its shuffled order."""
+    documents = table(spark, sf_dir, "documents")
+    chosen, _ = mix.mixture(documents, table(spark, sf_dir, "mix_targets"), automaton())
+    return mix.shuffled(chosen, documents).select("shuffle_key", "doc_id", "copy_no", "source", "n_tokens", "text")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share that each source has of the mixture's tokens."""
+    chosen, shares = mix.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), automaton())
+    listed = spark.createDataFrame(shares, "source string, target_share double, max_repeats int, source_tokens bigint, goal_tokens double")
+    sums = chosen.groupBy("source").agg(F.sum("n_tokens").alias("mixed_tokens"), F.count(F.lit(1)).alias("n_copies"), F.countDistinct("doc_id").alias("n_documents"))
+    rows = listed.join(sums, "source", "left").fillna(0, ["mixed_tokens", "n_copies", "n_documents"])
+    total = F.sum("mixed_tokens").over(mix_window())
+    return rows.withColumn("actual_share", F.when(total > 0, F.col("mixed_tokens") / total).otherwise(0.0))
+
+
+def mix_window():
+    """All rows of a table as short as the target table."""
+    from pyspark.sql import Window
+
+    return Window.partitionBy(F.lit(1))
+
+
+# --- 9: languages ------------------------------------------------------------------------------
+
+
+def _identifier(documents: DataFrame) -> langid.Identifier:
+    return langid.fit(langid.training_sample(documents))
+
+
+def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of every document with its language and confidence."""
+    documents = table(spark, sf_dir, "documents")
+    return langid.passages(documents.select("doc_id", "text"), "text", _identifier(documents))
+
+
+def p9_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the language of most of its text and the share of the text it has."""
+    documents = table(spark, sf_dir, "documents")
+    parts = langid.passages(documents.select("doc_id", F.col("lang").alias("label"), "text"), "text", _identifier(documents))
+    size = F.coalesce(F.col("passage_end") - F.col("passage_start"), F.lit(0))
+    langs = parts.groupBy("doc_id", "label", "passage_lang").agg(F.sum(size).alias("chars"), F.max("passage_confidence").alias("confidence"))
+    whole = langs.groupBy("doc_id", "label").agg(
+        F.max_by(F.struct(F.col("passage_lang").alias("lang"), "confidence", "chars"), F.struct(F.col("passage_lang").isNotNull(), "chars", "passage_lang")).alias("m"),
+        F.sum("chars").alias("total"),
+        F.count("passage_lang").alias("n_langs"),
+    )
+    return whole.select("doc_id", "label", F.col("m.lang").alias("lang"), F.col("m.confidence").alias("confidence"), F.when(F.col("total") > 0, F.col("m.chars") / F.col("total")).alias("share"), "n_langs")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose label is missing or wrong, or that mix languages: a row for each language of the text."""
+    documents = table(spark, sf_dir, "documents")
+    rows = documents.select("doc_id", langid.label_column(F.col("lang")).alias("label"), "text")
+    parts = langid.passages(rows, "text", _identifier(documents)).where(F.col("passage_lang").isNotNull())
+    texts = parts.groupBy("doc_id").agg(F.collect_set("passage_lang").alias("langs"), F.max("label").alias("label"))
+    wrong = texts.where((F.size("langs") > 1) | F.col("label").isNull() | ~F.array_contains("langs", F.coalesce("label", F.lit(""))))
+    return wrong.select("doc_id", F.explode("langs").alias("lang"))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_pieces": p1_pieces,
+    "p6_found": p6_found,
+    "p6_containers": p6_containers,
+    "p6_report": p6_report,
+    "p7_ids": p7_ids,
+    "p7_multi": p7_multi,
+    "p7_roundtrip": p7_roundtrip,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_passages": p9_passages,
+    "p9_documents": p9_documents,
+}
+
+_VALID = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) AS rn FROM articles WHERE id IS NOT NULL) WHERE rn = 1"
+
+SQL = {
+    # SQL has no regular expression with look-behind here: marks and blank lines are turned into one character, sentence ends into another
+    "p1_found": f"""
+WITH big AS (SELECT id, regexp_replace(replace(body, '«P»', chr(10) || chr(10)), '\\n[^\\S\\n]*(\\n[^\\S\\n]*)+', chr(1), 'g') AS t FROM ({_VALID}) WHERE length(body) > 6000),
+paragraphs AS (SELECT id, unnest(string_split(t, chr(1))) AS p FROM big),
+sentences AS (SELECT id, p, unnest(string_split(regexp_replace(p, '([.!?])\\s+', '\\1' || chr(2), 'g'), chr(2))) AS s FROM paragraphs),
+words AS (SELECT id, p, s, unnest(regexp_split_to_array(s, '\\s+')) AS w FROM sentences)
+SELECT id AS article_id, CASE WHEN max(length(trim(p, chr(10) || chr(13) || chr(9) || ' '))) <= 6000 THEN 'paragraph' WHEN max(length(s)) <= 6000 THEN 'sentence' WHEN max(length(w)) <= 6000 THEN 'word' ELSE 'none' END AS boundary
+FROM words GROUP BY id""",
+    "p6_found": f"SELECT id AS article_id FROM ({_VALID}) WHERE octet_length(encode(body)) > 12000",
+}
