@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, langid, mix, pack, split
+from lexiloom.llm import bpe, headings, langid, mix, pack, people, split
 from lexiloom.llm.common import with_version
 from lexiloom.tables import table
 
@@ -37,6 +37,68 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_oversized(chosen, "body", LIMIT, OVERLAP)
 
 
+# --- 3: names ----------------------------------------------------------------------------------
+
+
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contributors and entries of the printed index as records of names."""
+    rows = with_version(table(spark, sf_dir, "contributors")).where(F.col("id").isNotNull())
+    valid = rows.groupBy("id").agg(F.max_by(F.struct("full_name", "credentials", "description"), "__version").alias("v"))
+    signs = table(spark, sf_dir, "contributor_initials").select(F.col("contributor_id").alias("id"), F.regexp_replace(F.upper("initials"), "[^\\p{L}]", "").alias("sign"))
+    signs = signs.groupBy("id").agg(F.max_by("sign", F.struct(F.length("sign"), "sign")).alias("sign"))
+    field = F.regexp_extract(F.lower("v.description"), r"([\p{L}-]+)\W*$", 1)
+    contributors = valid.join(signs, "id", "left").select(
+        F.col("id").alias("rid"), F.col("v.full_name").alias("name"), F.col("v.credentials").alias("letters"), field.alias("field"), F.col("sign").alias("signature")
+    )
+    entries = table(spark, sf_dir, "vol29_entries").where(F.col("id").isNotNull())
+    entries = entries.groupBy("id").agg(F.max(F.struct("display", "full_name", "credentials", "initials")).alias("v")).select(
+        F.col("id").alias("rid"), F.coalesce("v.display", "v.full_name").alias("name"), F.col("v.credentials").alias("letters"), F.lit(None).cast("string").alias("field"), F.col("v.initials").alias("signature")
+    )
+    return contributors.unionByName(entries)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of records of one person."""
+    return people.pairs_of(people.link_names(_people(spark, sf_dir)))
+
+
+def p3_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with the person it belongs to and the number of that person's records."""
+    linked = people.link_names(_people(spark, sf_dir))
+    sizes = linked.groupBy("entity").agg(F.count(F.lit(1)).alias("n_records"))
+    return linked.join(sizes, "entity").select("rid", "entity", "n_records")
+
+
+# --- 4: headings -------------------------------------------------------------------------------
+
+
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "xrefs").select(F.col("id").alias("xref_id"), "surface_text", "normalized_target").distinct()
+    return headings.map_to_list(rows, "normalized_target", "surface_text", table(spark, sf_dir, "headings"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The heading that each freely written reference means, 0 for none."""
+    rows = table(spark, sf_dir, "xrefs").select(F.col("id").alias("xref_id"), "surface_text", "normalized_target")
+    rows = rows.where(F.col("surface_text").isNotNull() | F.col("normalized_target").isNotNull())
+    listed = table(spark, sf_dir, "headings").select(F.col("heading").alias("normalized_target")).where(F.col("normalized_target").isNotNull()).distinct()
+    free = rows.join(listed, "normalized_target", "left_anti").select("xref_id", "surface_text", "normalized_target").distinct()
+    return headings.map_to_list(free, "normalized_target", "surface_text", table(spark, sf_dir, "headings")).select("xref_id", "heading_id")
+
+
+def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was written and means no heading, with the number of references."""
+    value = F.lower(F.trim(F.coalesce("normalized_target", "surface_text")))
+    return _mapped(spark, sf_dir).where(F.col("heading_id") == 0).groupBy(value.alias("written")).agg(F.count(F.lit(1)).alias("n_xrefs"))
+
+
+def p4_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each heading with the references that mean it and the ways in which they spell it."""
+    found = _mapped(spark, sf_dir).where(F.col("heading_id") > 0)
+    counted = found.groupBy("heading_id").agg(F.count(F.lit(1)).alias("n_xrefs"), F.countDistinct("normalized_target").alias("n_spellings"))
+    return table(spark, sf_dir, "headings").join(counted, "heading_id", "left").fillna(0, ["n_xrefs", "n_spellings"])
+
+
 # --- 6: containers -----------------------------------------------------------------------------
 
 
@@ -166,6 +228,11 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p3_found": p3_found,
+    "p3_entities": p3_entities,
+    "p4_found": p4_found,
+    "p4_unmatched": p4_unmatched,
+    "p4_headings": p4_headings,
     "p6_found": p6_found,
     "p6_containers": p6_containers,
     "p6_report": p6_report,
