@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, headings, langid, mix, pack, people, split
+from lexiloom.llm import bpe, headings, langid, mix, pack, people, scan, split
 from lexiloom.llm.common import with_version
 from lexiloom.tables import table
 
@@ -99,6 +99,24 @@ def p4_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "headings").join(counted, "heading_id", "left").fillna(0, ["n_xrefs", "n_spellings"])
 
 
+# --- 5: scanned pages --------------------------------------------------------------------------
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the pages with noise, by kind."""
+    return scan.noise(scan.long_pages(table(spark, sf_dir, "source_pages")))[0]
+
+
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running text of each volume in whole paragraphs."""
+    return scan.paragraphs(scan.long_pages(table(spark, sf_dir, "source_pages")))
+
+
+def p5_misreadings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The misread word forms with the words they stand for."""
+    return scan.misread_forms(scan.counts(scan.long_pages(table(spark, sf_dir, "source_pages"))))
+
+
 # --- 6: containers -----------------------------------------------------------------------------
 
 
@@ -233,6 +251,9 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
     "p4_headings": p4_headings,
+    "p5_found": p5_found,
+    "p5_paragraphs": p5_paragraphs,
+    "p5_misreadings": p5_misreadings,
     "p6_found": p6_found,
     "p6_containers": p6_containers,
     "p6_report": p6_report,
