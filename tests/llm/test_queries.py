@@ -1,0 +1,23 @@
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from lexiloom.llm import queries
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in ("p7_multi", "p3_entities", "p6_report")])
+def test_runs_on_the_smallest_tables(spark, name):
+    from oracle import compare
+
+    if name in queries.SQL:
+        connection = duckdb.connect()
+        for path in Path(SMALL).glob("*.parquet"):
+            connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+        assert compare(spark, connection, SMALL, queries.QUERIES[name], queries.SQL[name]).startswith("ok")
+    else:
+        assert queries.QUERIES[name](spark, SMALL).count() >= 0
