@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as X
+from lexiloom.session import cut_lineage
 
 
 def _by_key(refs: DataFrame, titles: DataFrame, key) -> DataFrame:
@@ -64,6 +65,7 @@ def first_word(refs: DataFrame, titles: DataFrame) -> DataFrame:
 
 def ladder(refs: DataFrame, titles: DataFrame) -> DataFrame:
     """Columns ``ref, title, rung``: the candidates of the tightest rung that has any."""
+    refs, titles = cut_lineage(refs.select("ref")), cut_lineage(titles.select("title"))
     rungs = [("exact", exact), ("fold", folded), ("subset", subset), ("superset", superset), ("firstword", first_word)]
     tagged = None
     for place, (name, rung) in enumerate(rungs):
@@ -159,9 +161,10 @@ def cascade(refs: DataFrame, titles: DataFrame, aggressive: bool = False) -> Dat
     ]
     if aggressive:
         steps.append(("edit", edit_one))
-    out, left = None, refs.select("ref")
+    out, left, titles = None, refs.select("ref"), cut_lineage(titles)
     for name, step in steps:
         hit = step(left, titles).groupBy("ref").agg(F.min("title").alias("title")).select("ref", "title", F.lit(name).alias("how"))
+        hit = cut_lineage(hit)
         out = hit if out is None else out.unionByName(hit)
-        left = left.join(hit.select("ref"), "ref", "left_anti")
+        left = cut_lineage(left.join(hit.select("ref"), "ref", "left_anti"))
     return out
