@@ -7,8 +7,10 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import functions as F
 
+from lexiloom.functions.types import DOUBLE
 
-@F.pandas_udf("double")
+
+@F.pandas_udf(DOUBLE)
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the characters in matching blocks by the length of both strings; null with a null."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")

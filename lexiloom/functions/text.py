@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexiloom.functions.types import STRING
+
 
 def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -93,7 +95,7 @@ def page_range(first: Column | str, last: Column | str) -> Column:
     return F.when(a == b, F.concat(F.lit("p. "), a)).otherwise(F.concat(F.lit("pp. "), a, F.lit("–"), b))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(STRING)
 def nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Unicode normal form C, which the JVM functions do not offer."""
     for series in texts:
