@@ -142,7 +142,8 @@ def quotes(line: str) -> str:
             pieces[at] = "''"
     out, state = [pieces[0]], ""  # the marks that are open, the outer first
     for i in range(1, len(pieces), 2):
-        for mark in {2: "I", 3: "B", 5: "IB" if state != "B" else "BI"}[len(pieces[i])]:
+        both = state[::-1] if len(state) == 2 else "BI" if state == "B" else "IB"
+        for mark in {2: "I", 3: "B", 5: both}[len(pieces[i])]:
             if mark in state:
                 for inner in reversed(state[state.index(mark) :]):
                     out.append(f"«/{inner}»")
