@@ -72,8 +72,13 @@ def p3_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 4: headings -------------------------------------------------------------------------------
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """The rows without copies, spread by id: what follows costs computing, not reading, so few bytes must not mean few tasks."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "xref_id").distinct()
+
+
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "xrefs").select(F.col("id").alias("xref_id"), "surface_text", "normalized_target").distinct()
+    rows = _spread(table(spark, sf_dir, "xrefs").select(F.col("id").alias("xref_id"), "surface_text", "normalized_target"))
     return headings.map_to_list(rows, "normalized_target", "surface_text", table(spark, sf_dir, "headings"))
 
 
@@ -82,7 +87,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "xrefs").select(F.col("id").alias("xref_id"), "surface_text", "normalized_target")
     rows = rows.where(F.col("surface_text").isNotNull() | F.col("normalized_target").isNotNull())
     listed = table(spark, sf_dir, "headings").select(F.col("heading").alias("normalized_target")).where(F.col("normalized_target").isNotNull()).distinct()
-    free = rows.join(listed, "normalized_target", "left_anti").select("xref_id", "surface_text", "normalized_target").distinct()
+    free = _spread(rows.join(listed, "normalized_target", "left_anti").select("xref_id", "surface_text", "normalized_target"))
     return headings.map_to_list(free, "normalized_target", "surface_text", table(spark, sf_dir, "headings")).select("xref_id", "heading_id")
 
 
