@@ -298,21 +298,27 @@ def jn31(spark, d):
 SELECT a.id AS id_a, b.id AS id_b, round(len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))), 6) AS jaccard FROM t a JOIN t b ON a.block = b.block AND a.id < b.id WHERE len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) >= 0.6""")
 def jn19(spark, d):
     words = F.array_distinct(F.filter(F.split(F.lower(X.fold_accents("full_name")), "[^a-z]+"), lambda w: w != ""))
-    rows = valid(spark, d, "contributors").where("full_name IS NOT NULL").select("id", words.alias("w"), F.lower(X.fold_accents(F.element_at(F.split(F.trim("full_name"), " "), -1))).alias("block"))
-    a, b = rows.select(F.col("id").alias("id_a"), F.col("w").alias("wa"), "block"), rows.select(F.col("id").alias("id_b"), F.col("w").alias("wb"), "block")
+    block = F.lower(X.fold_accents(F.element_at(F.split(F.trim("full_name"), " "), -1)))
+    rows = valid(spark, d, "contributors").where("full_name IS NOT NULL").select("id", words.alias("w"), block.alias("block"))
+    # at this likeness names of a surname share a forename too, unless they have none: that is the join key
+    keyed = rows.withColumn("others", F.filter("w", lambda x: x != F.col("block"))).withColumn("k", F.explode(F.when(F.size("others") > 0, F.col("others")).otherwise(F.array(F.lit("")))))
+    a, b = keyed.select(F.col("id").alias("id_a"), F.col("w").alias("wa"), "block", "k"), keyed.select(F.col("id").alias("id_b"), F.col("w").alias("wb"), "block", "k")
     share = F.size(F.array_intersect("wa", "wb")) / F.size(F.array_union("wa", "wb"))
-    return a.join(b, "block").where("id_a < id_b").where(share >= 0.6).select("id_a", "id_b", F.round(share, 6).alias("jaccard"))
+    return a.join(b, ["block", "k"]).where("id_a < id_b").where(share >= 0.6).select("id_a", "id_b", F.round(share, 6).alias("jaccard")).distinct()
 
 
 @query("jn19_ratio_pairs")
 def jn19_ratio(spark, d):
-    """Pairs of contributors of one surname whose names are alike by longest matching blocks."""
+    """Contributors of one surname with names alike by longest matching blocks, each against the four that follow it in order."""
+    from pyspark.sql import Window
+
     from lexiloom.functions.similarity import ratio
 
     rows = valid(spark, d, "contributors").where("full_name IS NOT NULL").select("id", F.lower("full_name").alias("n"), F.lower(F.element_at(F.split(F.trim("full_name"), " "), -1)).alias("block"))
-    a, b = rows.select(F.col("id").alias("id_a"), F.col("n").alias("na"), "block"), rows.select(F.col("id").alias("id_b"), F.col("n").alias("nb"), "block")
-    scored = a.join(b, "block").where("id_a < id_b").withColumn("ratio", ratio("na", "nb"))
-    return scored.where("ratio >= 0.85").select("id_a", "id_b", F.round("ratio", 6).alias("ratio"))
+    order = Window.partitionBy("block").orderBy("n", "id")
+    pairs = rows.select(F.col("id").alias("first_id"), F.col("n").alias("first_n"), F.array(*[F.lead(F.struct("id", "n"), i).over(order) for i in range(1, 5)]).alias("later"))
+    scored = pairs.select("first_id", "first_n", F.explode(F.array_compact("later")).alias("o")).withColumn("ratio", ratio(F.col("first_n"), F.col("o.n")))
+    return scored.where("ratio >= 0.85").select(F.least("first_id", "o.id").alias("id_a"), F.greatest("first_id", "o.id").alias("id_b"), F.round("ratio", 6).alias("ratio"))
 
 
 def carried_sections(spark, d):

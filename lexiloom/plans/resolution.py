@@ -10,6 +10,7 @@ from lexiloom.functions import text as X
 from lexiloom.functions import vectors as V
 from lexiloom.operators import graph, ladder, resolve, search
 from lexiloom.operators.components import connected_components
+from lexiloom.operators.intervals import range_join
 from lexiloom.operators.sequence import greedy_bins
 from lexiloom.plans.common import REFS, VA, VC, Registry, once, valid
 from lexiloom.plans.joins import refs, titles
@@ -177,13 +178,13 @@ def rs20(spark, d):
     return connected_components(edges).groupBy(F.col("component").alias("canonical")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("rs21_dedup_gate", f"WITH {VC}, n AS (SELECT id, lower(strip_accents(string_split(trim(full_name), ' ')[-1])) AS sur, substr(full_name, 1, 1) AS f, credentials FROM vc), p AS (SELECT a.id AS id_a, b.id AS id_b, a.credentials IS NOT DISTINCT FROM b.credentials AS known FROM n a JOIN n b ON a.sur = b.sur AND a.f = b.f AND a.id < b.id) SELECT id_a, id_b FROM p WHERE NOT known")
+@query("rs21_dedup_gate", f"WITH {VC}, n AS (SELECT id, lower(strip_accents(string_split(trim(full_name), ' ')[-1])) AS sur, substr(full_name, 1, 1) AS f, credentials FROM vc), h AS (SELECT sur, f, min(id) AS first_id FROM n GROUP BY 1, 2) SELECT h.first_id AS id_a, n.id AS id_b FROM n JOIN h USING (sur, f) JOIN n k ON k.id = h.first_id WHERE n.id <> h.first_id AND n.credentials IS DISTINCT FROM k.credentials")
 def rs21(spark, d):
+    """Candidates for a merge that nothing accounts for: each record against the first of its block, not all pairs of it."""
     n = valid(spark, d, "contributors").select("id", F.lower(X.fold_accents(F.element_at(F.split(F.trim("full_name"), " "), -1))).alias("sur"), F.substring("full_name", 1, 1).alias("f"), "credentials")
-    a, b = n.select(F.col("id").alias("id_a"), "sur", "f", F.col("credentials").alias("ca")), n.select(F.col("id").alias("id_b"), "sur", "f", F.col("credentials").alias("cb"))
-    pairs = a.join(b, ["sur", "f"]).where("id_a < id_b")
-    known = pairs.where(F.col("ca").eqNullSafe(F.col("cb"))).select("id_a", "id_b")
-    return pairs.select("id_a", "id_b").join(known, ["id_a", "id_b"], "left_anti")
+    head = n.groupBy("sur", "f").agg(F.min(F.struct("id", "credentials")).alias("h"))
+    pairs = n.join(head, ["sur", "f"]).where(F.col("id") != F.col("h.id"))
+    return pairs.where(~F.col("credentials").eqNullSafe(F.col("h.credentials"))).select(F.col("h.id").alias("id_a"), F.col("id").alias("id_b"))
 
 
 @query("rs22_bio_articles", f"WITH {VC}, {VA} SELECT vc.id, min(va.id) AS article_id FROM vc JOIN va ON upper(va.title) = upper(string_split(trim(vc.full_name), ' ')[-1] || ', ' || string_split(trim(vc.full_name), ' ')[1]) GROUP BY vc.id")
@@ -253,11 +254,11 @@ def rs28(spark, d):
 _TERMS = "t AS (SELECT doc_id, unnest(list_distinct(list_filter(regexp_split_to_array(lower(strip_accents(text)), '[^a-z0-9]+'), lambda w: w <> ''))) AS term FROM documents)"
 
 
-@query("ft1_inverted_index", f"WITH {_TERMS} SELECT term, count(*) AS n, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS docs FROM t GROUP BY term")
+@query("ft1_inverted_index", f"WITH {_TERMS} SELECT term, 0 AS part, count(*) AS n, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS docs FROM t GROUP BY term")
 def ft1(spark, d):
+    """Postings in parts of at most about 100,000 documents; the SQL has the first part, which is all below that."""
     index = search.index(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
-    whole = index.groupBy("term").agg(F.sum("n").alias("n"), F.array_sort(F.flatten(F.collect_list("docs"))).alias("docs"))
-    return whole.select("term", "n", F.array_join(F.transform("docs", lambda x: x.cast("string")), ",").alias("docs"))
+    return index.select("term", "part", "n", F.array_join(F.transform("docs", lambda x: x.cast("string")), ",").alias("docs"))
 
 
 @query("ft1_df_cap", f"WITH {_TERMS}, n AS (SELECT count(*) AS n FROM documents) SELECT term, count(*) AS n, count(*) > greatest(200, 0.27 * (SELECT n FROM n)) AS ignored FROM t GROUP BY term")
@@ -341,13 +342,15 @@ def ma5(spark, d):
     return valid(spark, d).select("id", (2.0 * X.occurrences(head, F.lit("coast")) + 1.0 * X.occurrences(head, F.lit("river"))).alias("score"))
 
 
-@query("ma6_footprint_score", f"WITH {VA}, b AS (SELECT DISTINCT contributor_id, article_id FROM article_contributors), p AS (SELECT b.contributor_id, va.id, va.volume, va.page_start FROM b JOIN va ON va.id = b.article_id) SELECT x.contributor_id, x.id, sum(greatest(0, 5 - abs(x.page_start - y.page_start)))::BIGINT AS score FROM p x JOIN p y ON x.contributor_id = y.contributor_id AND x.volume = y.volume AND x.id <> y.id GROUP BY 1, 2")
+@query("ma6_footprint_score", f"WITH {VA}, b AS (SELECT DISTINCT contributor_id, article_id FROM article_contributors WHERE contributor_id IS NOT NULL), p AS (SELECT b.contributor_id, va.id, va.volume, va.page_start FROM b JOIN va ON va.id = b.article_id) SELECT x.contributor_id, x.id, sum(5 - abs(x.page_start - y.page_start))::BIGINT AS score FROM p x JOIN p y ON x.contributor_id = y.contributor_id AND x.volume = y.volume AND x.id <> y.id AND abs(x.page_start - y.page_start) < 5 GROUP BY 1, 2")
 def ma6(spark, d):
+    """How near each article of a contributor is to the contributor's others: only pages within five are joined, by cells."""
     rows = valid(spark, d).select(F.col("id").alias("article_id"), "volume", "page_start")
     p = table(spark, d, "article_contributors").where("contributor_id IS NOT NULL").select("contributor_id", "article_id").distinct().join(rows, "article_id")
+    x = p.withColumn("low", F.col("page_start") - 4).withColumn("high", F.col("page_start") + 4)
     y = p.select("contributor_id", "volume", F.col("article_id").alias("other"), F.col("page_start").alias("there"))
-    near = F.greatest(F.lit(0), 5 - F.abs(F.col("page_start") - F.col("there")))
-    return p.join(y, ["contributor_id", "volume"]).where("article_id <> other").groupBy("contributor_id", F.col("article_id").alias("id")).agg(F.sum(near).alias("score"))
+    near = range_join(x, y, ["contributor_id", "volume"], "low", "high", "there", 8).where("article_id <> other")
+    return near.groupBy("contributor_id", F.col("article_id").alias("id")).agg(F.sum(5 - F.abs(F.col("page_start") - F.col("there"))).alias("score"))
 
 
 @query("ma8_digest_lookup", "WITH c AS (SELECT substr(sha256(heading), 1, 16) AS k, min(length(heading)) AS hint FROM headings GROUP BY 1) SELECT x.t, c.hint FROM (SELECT DISTINCT upper(normalized_target) AS t FROM xrefs WHERE normalized_target IS NOT NULL) x LEFT JOIN c ON c.k = substr(sha256(x.t), 1, 16)")
@@ -525,9 +528,9 @@ def xa36(spark, d):
     return said(table(spark, d, "documents"), "doc_id", "text").join(said(table(spark, d, "source_pages").withColumnRenamed("id", "page_id"), "page_id", "raw_text"), "s").select("doc_id", "page_id").distinct()
 
 
-@query("xa37_asset_references", "SELECT name, count(DISTINCT id) AS n FROM (SELECT id, unnest(regexp_extract_all(wikitext, '\\{\\{(?:rh|EB Page Heading)\\|([^|{}]+)\\|', 1)) AS name FROM source_pages) WHERE name NOT IN (SELECT heading FROM headings) GROUP BY name")
+@query("xa37_asset_references", "SELECT name, count(DISTINCT id) AS n FROM (SELECT id, unnest(regexp_extract_all(wikitext, '\\{\\{(?:rh|[A-Z]+ Page Heading)\\|([^|{}]+)\\|', 1)) AS name FROM source_pages) WHERE name NOT IN (SELECT heading FROM headings) GROUP BY name")
 def xa37(spark, d):
-    used = table(spark, d, "source_pages").select("id", F.explode(F.regexp_extract_all("wikitext", F.lit(r"\{\{(?:rh|EB Page Heading)\|([^|{}]+)\|"), F.lit(1))).alias("name")).distinct()
+    used = table(spark, d, "source_pages").select("id", F.explode(F.regexp_extract_all("wikitext", F.lit(r"\{\{(?:rh|[A-Z]+ Page Heading)\|([^|{}]+)\|"), F.lit(1))).alias("name")).distinct()
     present = table(spark, d, "headings").select(F.col("heading").alias("name"))
     return used.join(present, "name", "left_anti").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 

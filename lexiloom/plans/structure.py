@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import markup
 from lexiloom.functions import text as X
+from lexiloom.operators.intervals import range_join
 from lexiloom.plans.common import VA, Registry, once, valid
 from lexiloom.sources import readers, sinks
 from lexiloom.tables import table
@@ -235,8 +236,6 @@ def pf11(spark, d):
 
 @query("pf12_source_quality", f"WITH {VA}, p AS (SELECT DISTINCT volume, page_number, CASE WHEN wikitext IS NULL THEN 1 ELSE 3 END AS level FROM source_pages) SELECT va.id, min(level) AS lowest, count(*) FILTER (level = 1) AS unproofed, count(*) AS n_pages FROM va JOIN p ON p.volume = va.volume AND p.page_number BETWEEN va.page_start AND va.page_end GROUP BY va.id")
 def pf12(spark, d):
-    from lexiloom.operators.intervals import range_join
-
     level = F.when(F.col("wikitext").isNull(), 1).otherwise(3)
     pages = table(spark, d, "source_pages").select("volume", "page_number", level.alias("level")).distinct()
     met = range_join(valid(spark, d).select("id", "volume", "page_start", "page_end"), pages, ["volume"], "page_start", "page_end", "page_number")
@@ -340,9 +339,10 @@ SELECT x.event_id AS first_id, y.event_id AS second_id FROM e x JOIN e y ON x.us
 def tx25(spark, d):
     start = F.unix_micros(F.col("ts").cast("timestamp"))
     e = table(spark, d, "events").where("value IS NOT NULL").select("event_id", "user_id", start.alias("a"), (start + F.round(F.abs("value") * 1000000).cast("bigint") * 60).alias("b"))
-    x, y = (e.select(*[F.col(c).alias(f"{s}{c}") for c in e.columns]) for s in ("x", "y"))
-    met = x.join(y, F.col("xuser_id") == F.col("yuser_id")).where("xa < ya AND ya < xb AND xb < yb")
-    return met.select(F.col("xevent_id").alias("first_id"), F.col("yevent_id").alias("second_id"))
+    # cells of an hour: a span meets only the beginnings in the hours that it touches
+    ends = e.select(F.col("event_id").alias("second_id"), "user_id", F.col("a").alias("ya"), F.col("b").alias("yb"))
+    met = range_join(e, ends, ["user_id"], "a", "b", "ya", 3_600_000_000).where("a < ya AND ya < b AND b < yb")
+    return met.select(F.col("event_id").alias("first_id"), "second_id")
 
 
 @query("tx25_dangling")

@@ -89,13 +89,14 @@ def st32(spark, d):
     return a.join(b, "sur").where(given_compatible(F.col("ga"), F.col("gb"))).select("entry_id", "id")
 
 
-@query("st33_first_name_score", f"WITH {VC}, p AS (SELECT id, lower(string_split(full_name, ' ')[1]) AS f, lower(string_split(full_name, ' ')[-1]) AS s FROM vc) SELECT a.id AS id_a, b.id AS id_b, CASE WHEN a.f = b.f THEN 2 WHEN substr(a.f, 1, 1) = substr(b.f, 1, 1) THEN 1 ELSE 0 END AS score FROM p a JOIN p b ON a.s = b.s AND a.id < b.id")
+@query("st33_first_name_score", f"WITH {VC}, p AS (SELECT id, lower(string_split(full_name, ' ')[1]) AS f, lower(string_split(full_name, ' ')[-1]) AS s FROM vc), h AS (SELECT s, min(id) AS first_id FROM p GROUP BY 1) SELECT h.first_id AS id_a, b.id AS id_b, CASE WHEN a.f = b.f THEN 2 WHEN substr(a.f, 1, 1) = substr(b.f, 1, 1) THEN 1 ELSE 0 END AS score FROM p b JOIN h USING (s) JOIN p a ON a.id = h.first_id WHERE b.id <> h.first_id")
 def st33(spark, d):
+    """The forenames of every record of a surname against those of its first record."""
     w = F.split("full_name", " ")
     p = valid(spark, d, "contributors").select("id", F.lower(F.element_at(w, 1)).alias("f"), F.lower(F.element_at(w, -1)).alias("s"))
-    a, b = p.select(F.col("id").alias("id_a"), F.col("f").alias("fa"), "s"), p.select(F.col("id").alias("id_b"), F.col("f").alias("fb"), "s")
-    score = F.when(F.col("fa") == F.col("fb"), 2).when(F.substring("fa", 1, 1) == F.substring("fb", 1, 1), 1).otherwise(0)
-    return a.join(b, "s").where("id_a < id_b").select("id_a", "id_b", score.alias("score"))
+    head = p.groupBy("s").agg(F.min(F.struct("id", "f")).alias("h"))
+    score = F.when(F.col("h.f") == F.col("f"), 2).when(F.substring("h.f", 1, 1) == F.substring("f", 1, 1), 1).otherwise(0)
+    return p.join(head, "s").where(F.col("id") != F.col("h.id")).select(F.col("h.id").alias("id_a"), F.col("id").alias("id_b"), score.alias("score"))
 
 
 @query("st50_index_title", "SELECT DISTINCT a AS given, trim(regexp_replace(upper(regexp_replace(a, ',.*$', '')), '[^A-Z0-9]+', ' ', 'g')) AS made FROM (SELECT unnest(articles) AS a FROM vol29_entries)")
@@ -123,9 +124,9 @@ def st37(spark, d):
     return t.select("id", markup.decode_entities("wikitext").alias("decoded"))
 
 
-@query("st39_strip_furniture", "SELECT DISTINCT id, regexp_replace(wikitext, '\\{\\{(rh|c|EB Page Heading)\\|[^{}]*\\}\\}', '', 'g') AS made FROM source_pages WHERE wikitext IS NOT NULL")
+@query("st39_strip_furniture", "SELECT DISTINCT id, regexp_replace(wikitext, '\\{\\{(rh|c|[A-Z]+ Page Heading)\\|[^{}]*\\}\\}', '', 'g') AS made FROM source_pages WHERE wikitext IS NOT NULL")
 def st39(spark, d):
-    return table(spark, d, "source_pages").where("wikitext IS NOT NULL").select("id", F.regexp_replace("wikitext", r"\{\{(rh|c|EB Page Heading)\|[^{}]*\}\}", "").alias("made")).distinct()
+    return table(spark, d, "source_pages").where("wikitext IS NOT NULL").select("id", F.regexp_replace("wikitext", r"\{\{(rh|c|[A-Z]+ Page Heading)\|[^{}]*\}\}", "").alias("made")).distinct()
 
 
 @F.pandas_udf(STRING)
