@@ -2,10 +2,32 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for an application, so that they need no path to it.
+
+    The archive is written on the driver and handed out by its file server.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    _shipped.add(application)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="lexiloom-package-")) / "lexiloom.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, str(Path(package.name) / path.relative_to(package)))
+    spark.sparkContext.addPyFile(str(archive))
+
 
 def local_session(cpus: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
     """A local session as tests and the bench use it; a cluster brings its own."""
@@ -21,6 +43,9 @@ def local_session(cpus: int = 8, memory: str = "8g", **conf: str) -> SparkSessio
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
+    root = str(Path(__file__).resolve().parents[1])
+    if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):  # for the Python workers
+        os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [root, os.environ.get("PYTHONPATH", "")]))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
