@@ -178,6 +178,7 @@ def pf5(spark, d):
 
 #: Single words that are never a target.
 NO_TARGET = "a above also although an and at bel below but by dr emperor for founded further he her his in is it its not of on or s son spread the their these they this those to under was were which with".split()
+#: What a target never has.
 _REJECT = [r"^(?i)(also|although|and|especially|for|further|particularly|separate|the)\b", r"\b(p\.|pp\.|vol\.|Ber\.|Journ\.|Proc\.|Hist\.|Dict\.|Biog\.|Gesch\.|Zeits\.|\d{4})", r"'s\s+(Dict|Hist|Bibl|Life|Lives|Memoir)", ";", r"^\s*(?i):[a-z]{2,3}:"]
 
 
