@@ -309,16 +309,37 @@ def jn19(spark, d):
 
 @query("jn19_ratio_pairs")
 def jn19_ratio(spark, d):
-    """Contributors of one surname with names alike by longest matching blocks, each against the four that follow it in order."""
-    from pyspark.sql import Window
+    """Pairs of contributors of one surname whose names are alike by longest matching blocks.
 
-    from lexiloom.functions.similarity import ratio
+    Equal names are one class, scored once.  Two names may only be alike (0.85) if few letters of each are
+    without a match, so the rarest letters before the surname are the join key: a name of ``n`` letters has
+    at most ``6 n / 23`` unmatched, and one more than that must hold a shared one.  Nothing alike is lost.
+    """
+    from lexiloom.functions.similarity import rare_letters, ratio
 
     rows = valid(spark, d, "contributors").where("full_name IS NOT NULL").select("id", F.lower("full_name").alias("n"), F.lower(F.element_at(F.split(F.trim("full_name"), " "), -1)).alias("block"))
-    order = Window.partitionBy("block").orderBy("n", "id")
-    pairs = rows.select(F.col("id").alias("first_id"), F.col("n").alias("first_n"), F.array(*[F.lead(F.struct("id", "n"), i).over(order) for i in range(1, 5)]).alias("later"))
-    scored = pairs.select("first_id", "first_n", F.explode(F.array_compact("later")).alias("o")).withColumn("ratio", ratio(F.col("first_n"), F.col("o.n")))
-    return scored.where("ratio >= 0.85").select(F.least("first_id", "o.id").alias("id_a"), F.greatest("first_id", "o.id").alias("id_b"), F.round("ratio", 6).alias("ratio"))
+    size = F.length("n").alias("size")
+    classes = rows.select("block", "n", size, F.endswith("n", F.col("block")).alias("plain")).distinct()
+    rest = F.expr("left(n, length(n) - length(block))")
+    letters = classes.where("plain").withColumn("letters", rare_letters(rest)).withColumn("most", F.expr("6 * size div 23").cast("int"))
+    # a name that may share no letter at all has a key for that, the last
+    keys = F.when(F.size("letters") <= F.col("most"), F.concat("letters", F.array(F.lit("")))).otherwise(F.slice("letters", 1, F.col("most") + 1))
+    keyed = letters.withColumn("keys", keys).select("block", "n", "size", "letters", "keys", F.explode("keys").alias("k"))
+    a, b = (keyed.select("block", "k", *[F.col(c).alias(f"{c}_{s}") for c in ("n", "size", "letters", "keys")]) for s in "ab")
+    fits = F.expr("200 * least(size_a, size_b) >= 85 * (size_a + size_b)")
+    bags = F.expr("200 * (length(block) + size(array_intersect(letters_a, letters_b))) >= 85 * (size_a + size_b)")
+    first = F.element_at(F.array_intersect("keys_a", "keys_b"), 1) == F.col("k")
+    near = a.join(b, ["block", "k"]).where(F.col("n_a") < F.col("n_b")).where(fits).where(first).where(bags).select("block", "n_a", "n_b")
+    # names that do not end in their surname (spaces follow it) are compared with all of the block
+    a, b = (classes.select("block", *[F.col(c).alias(f"{c}_{s}") for c in ("n", "size", "plain")]) for s in "ab")
+    odd = a.where("NOT plain_a").join(b, "block").where(fits).where(F.col("plain_b") | (F.col("n_a") < F.col("n_b"))).select("block", "n_a", "n_b")
+    # the ratio depends on which name comes first, that of the lesser id
+    scored = near.unionByName(odd).withColumn("ab", ratio("n_a", "n_b")).withColumn("ba", ratio("n_b", "n_a")).where("ab >= 0.85 OR ba >= 0.85")
+    equal = classes.select("block", F.col("n").alias("n_a"), F.col("n").alias("n_b"), F.lit(1.0).alias("ab"), F.lit(0.0).alias("ba"))
+    x, y = (rows.select("block", F.col("id").alias(f"id_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab")
+    both = scored.unionByName(equal).join(x, ["block", "n_a"]).join(y, ["block", "n_b"]).where("id_a <> id_b")
+    said = both.withColumn("ratio", F.expr("CASE WHEN id_a < id_b THEN ab ELSE ba END")).where("ratio >= 0.85")
+    return said.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), F.round("ratio", 6).alias("ratio"))
 
 
 def carried_sections(spark, d):
