@@ -180,11 +180,17 @@ def rs20(spark, d):
 
 @query("rs21_dedup_gate", f"WITH {VC}, n AS (SELECT id, lower(strip_accents(string_split(trim(full_name), ' ')[-1])) AS sur, substr(full_name, 1, 1) AS f, credentials FROM vc), h AS (SELECT sur, f, min(id) AS first_id FROM n GROUP BY 1, 2) SELECT h.first_id AS id_a, n.id AS id_b FROM n JOIN h USING (sur, f) JOIN n k ON k.id = h.first_id WHERE n.id <> h.first_id AND n.credentials IS DISTINCT FROM k.credentials")
 def rs21(spark, d):
-    """Candidates for a merge that nothing accounts for: each record against the first of its block, not all pairs of it."""
-    n = valid(spark, d, "contributors").select("id", F.lower(X.fold_accents(F.element_at(F.split(F.trim("full_name"), " "), -1))).alias("sur"), F.substring("full_name", 1, 1).alias("f"), "credentials")
-    head = n.groupBy("sur", "f").agg(F.min(F.struct("id", "credentials")).alias("h"))
-    pairs = n.join(head, ["sur", "f"]).where(F.col("id") != F.col("h.id"))
-    return pairs.where(~F.col("credentials").eqNullSafe(F.col("h.credentials"))).select(F.col("h.id").alias("id_a"), F.col("id").alias("id_b"))
+    """Candidates for a merge that nothing accounts for: all pairs of a block that differ in credentials.
+
+    Only classes of records (surname, letter, credentials) are compared; their members then give the pairs.
+    """
+    known = F.coalesce(F.concat(F.lit("="), "credentials"), F.lit(""))
+    n = valid(spark, d, "contributors").select("id", F.lower(X.fold_accents(F.element_at(F.split(F.trim("full_name"), " "), -1))).alias("sur"), F.substring("full_name", 1, 1).alias("f"), known.alias("k"))
+    classes = n.select("sur", "f", "k").distinct()
+    a, b = classes.withColumnRenamed("k", "ka"), classes.withColumnRenamed("k", "kb")
+    x, y = (n.select(F.col("id").alias(f"id_{s}"), "sur", "f", F.col("k").alias(f"k{s}")) for s in "ab")
+    pairs = a.join(b, ["sur", "f"]).where("ka < kb").join(x, ["sur", "f", "ka"]).join(y, ["sur", "f", "kb"])
+    return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
 
 
 @query("rs22_bio_articles", f"WITH {VC}, {VA} SELECT vc.id, min(va.id) AS article_id FROM vc JOIN va ON upper(va.title) = upper(string_split(trim(vc.full_name), ' ')[-1] || ', ' || string_split(trim(vc.full_name), ' ')[1]) GROUP BY vc.id")

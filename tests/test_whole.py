@@ -39,3 +39,8 @@ def test_all_alike_names_of_a_surname(spark, tmp_path):
             if ratio >= 0.85:
                 expected.append((i, j, round(ratio, 6)))
     assert run(spark, tmp_path, "jn19_ratio_pairs", contributors=contributors(rows)) == sorted(expected)
+
+
+def test_pairs_that_differ_in_credentials_without_the_first_record(spark, tmp_path):
+    rows = [(1, "John Lee", "M.A."), (2, "James Lee", "M.A."), (3, "Jane Lée", None), (4, "Jo Lee", ""), (5, "Jack Lee", None), (6, "Ann Lee", "B.A."), (7, None, "x")]
+    assert run(spark, tmp_path, "rs21_dedup_gate", contributors=contributors(rows)) == [(1, 3), (1, 4), (1, 5), (2, 3), (2, 4), (2, 5), (3, 4), (4, 5)]
