@@ -91,12 +91,16 @@ def st32(spark, d):
 
 @query("st33_first_name_score", f"WITH {VC}, p AS (SELECT id, lower(string_split(full_name, ' ')[1]) AS f, lower(string_split(full_name, ' ')[-1]) AS s FROM vc), h AS (SELECT s, min(id) AS first_id FROM p GROUP BY 1) SELECT h.first_id AS id_a, b.id AS id_b, CASE WHEN a.f = b.f THEN 2 WHEN substr(a.f, 1, 1) = substr(b.f, 1, 1) THEN 1 ELSE 0 END AS score FROM p b JOIN h USING (s) JOIN p a ON a.id = h.first_id WHERE b.id <> h.first_id")
 def st33(spark, d):
-    """The forenames of every record of a surname against those of its first record."""
+    """The forenames of every two records of a surname: distinct ones are scored, their records then give the pairs."""
     w = F.split("full_name", " ")
     p = valid(spark, d, "contributors").select("id", F.lower(F.element_at(w, 1)).alias("f"), F.lower(F.element_at(w, -1)).alias("s"))
-    head = p.groupBy("s").agg(F.min(F.struct("id", "f")).alias("h"))
-    score = F.when(F.col("h.f") == F.col("f"), 2).when(F.substring("h.f", 1, 1) == F.substring("f", 1, 1), 1).otherwise(0)
-    return p.join(head, "s").where(F.col("id") != F.col("h.id")).select(F.col("h.id").alias("id_a"), F.col("id").alias("id_b"), score.alias("score"))
+    classes = p.select("s", "f").distinct()
+    a, b = classes.withColumnRenamed("f", "fa"), classes.withColumnRenamed("f", "fb")
+    score = F.when(F.col("fa") == F.col("fb"), 2).when(F.substring("fa", 1, 1) == F.substring("fb", 1, 1), 1).otherwise(0)
+    x, y = (p.select(F.col("id").alias(f"id_{z}"), "s", F.col("f").alias(f"f{z}")) for z in "ab")
+    pairs = a.join(b, "s").where("fa <= fb").withColumn("score", score).join(x, ["s", "fa"]).join(y, ["s", "fb"])
+    met = pairs.where("id_a < id_b OR (fa <> fb AND id_a <> id_b)")
+    return met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "score")
 
 
 @query("st50_index_title", "SELECT DISTINCT a AS given, trim(regexp_replace(upper(regexp_replace(a, ',.*$', '')), '[^A-Z0-9]+', ' ', 'g')) AS made FROM (SELECT unnest(articles) AS a FROM vol29_entries)")

@@ -44,3 +44,10 @@ def test_all_alike_names_of_a_surname(spark, tmp_path):
 def test_pairs_that_differ_in_credentials_without_the_first_record(spark, tmp_path):
     rows = [(1, "John Lee", "M.A."), (2, "James Lee", "M.A."), (3, "Jane Lée", None), (4, "Jo Lee", ""), (5, "Jack Lee", None), (6, "Ann Lee", "B.A."), (7, None, "x")]
     assert run(spark, tmp_path, "rs21_dedup_gate", contributors=contributors(rows)) == [(1, 3), (1, 4), (1, 5), (2, 3), (2, 4), (2, 5), (3, 4), (4, 5)]
+
+
+def test_forename_scores_without_the_first_record(spark, tmp_path):
+    rows = [(1, "Ann Lee", None), (2, "John Lee", None), (3, "John Lee", None), (4, "James Lee", None), (5, "Lee", None), (6, None, None), (7, "ann Quill", None)]
+    assert run(spark, tmp_path, "st33_first_name_score", contributors=contributors(rows)) == [
+        (1, 2, 0), (1, 3, 0), (1, 4, 0), (1, 5, 0), (2, 3, 2), (2, 4, 1), (2, 5, 0), (3, 4, 1), (3, 5, 0), (4, 5, 0)
+    ]
