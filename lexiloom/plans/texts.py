@@ -107,7 +107,7 @@ _over("ag22_word_count", "documents", "text", X.word_count, "len(list_filter(reg
 
 @query("st8_excerpt", "SELECT DISTINCT id, substr(body, greatest(0, strpos(body, 'until') - 1 - 60) + 1, strpos(body, 'until') - 1 + 60 - greatest(0, strpos(body, 'until') - 1 - 60)) AS part FROM articles WHERE strpos(body, 'until') > 0 AND NOT contains(body, chr(13)) AND NOT contains(body, chr(10))")
 def st8_excerpt(spark, d):
-    rows = table(spark, d, "articles").where((F.instr("body", "until") > 0) & ~F.col("body").contains("\r") & ~F.col("body").contains("\n"))
+    rows = table(spark, d, "articles").where(F.instr("body", "until") > 0)
     return rows.select("id", X.excerpt("body", F.instr("body", "until") - 1).alias("part")).distinct()
 
 

@@ -51,3 +51,9 @@ def test_forename_scores_without_the_first_record(spark, tmp_path):
     assert run(spark, tmp_path, "st33_first_name_score", contributors=contributors(rows)) == [
         (1, 2, 0), (1, 3, 0), (1, 4, 0), (1, 5, 0), (2, 3, 2), (2, 4, 1), (2, 5, 0), (3, 4, 1), (3, 5, 0), (4, 5, 0)
     ]
+
+
+def test_excerpts_of_bodies_with_line_breaks(spark, tmp_path):
+    rows = [(1, "One.\n\nIt stood\r\nuntil\n1462.\n"), (2, "x" * 70 + " until then"), (3, "never"), (4, None), (1, "One.\n\nIt stood\r\nuntil\n1462.\n")]
+    got = run(spark, tmp_path, "st8_excerpt", articles=(rows, "id long, body string"))
+    assert got == [(1, "One.  It stood until 1462. "), (2, "x" * 59 + " until then")]
