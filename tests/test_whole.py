@@ -57,3 +57,20 @@ def test_excerpts_of_bodies_with_line_breaks(spark, tmp_path):
     rows = [(1, "One.\n\nIt stood\r\nuntil\n1462.\n"), (2, "x" * 70 + " until then"), (3, "never"), (4, None), (1, "One.\n\nIt stood\r\nuntil\n1462.\n")]
     got = run(spark, tmp_path, "st8_excerpt", articles=(rows, "id long, body string"))
     assert got == [(1, "One.  It stood until 1462. "), (2, "x" * 59 + " until then")]
+
+
+def pages(rows):
+    return rows, "id long, volume int, page_number int, raw_text string, wikitext string"
+
+
+def test_pages_of_all_volumes_are_written_read_and_scanned(spark, tmp_path):
+    rows = [(i, i % 12 + 1, 10 + i // 12, f"text\n{i}" if i else "", None) for i in range(30)]
+    rows.append(rows[5])
+    assert run(spark, tmp_path, "sc1_page_files", source_pages=pages(rows)) == sorted({(v, p, t) for _, v, p, t, _ in rows if t})
+    assert run(spark, tmp_path, "sc14_table_scan") == [(v, 3 if v < 7 else 2, 10) for v in range(1, 13)]
+
+
+def test_articles_of_all_volumes_are_written(spark, tmp_path):
+    rows = [(i, i % 5 + 1, f"2020-01-0{k}", None) for i in range(20) for k in (1, 2)]
+    got = run(spark, tmp_path, "sk1_replace_volumes", articles=(rows, "id long, volume int, loaded_at string, deleted_at string"))
+    assert got == [(i, i % 5 + 1, "second" if i % 5 == 1 else "first") for i in range(20)]
