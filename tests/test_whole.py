@@ -74,3 +74,17 @@ def test_articles_of_all_volumes_are_written(spark, tmp_path):
     rows = [(i, i % 5 + 1, f"2020-01-0{k}", None) for i in range(20) for k in (1, 2)]
     got = run(spark, tmp_path, "sk1_replace_volumes", articles=(rows, "id long, volume int, loaded_at string, deleted_at string"))
     assert got == [(i, i % 5 + 1, "second" if i % 5 == 1 else "first") for i in range(20)]
+
+
+def test_variants_of_a_common_surname_are_linked(spark):
+    from lexiloom.llm import people
+
+    firsts = "Bernard Clement Douglas Ernest Frederick Gilbert Herbert Isaac Kenneth Leonard Maurice Norman Oliver Percival Quentin Reginald Stephen Theodore Ursula Vincent Walter Xavier".split()
+    rows = [(i, f"{f} Smith", None, None, None) for i, f in enumerate(firsts)]
+    rows += [(100, "John Smith", "F.L.S.", "ferns", None), (101, "John Arthur Smith", "F.L.S.", "ferns", None), (102, "SMITH, J.", "FLS", "ferns", None), (103, "John A. Smyth", "F.L.S.", "ferns", None), (104, "John Smith", "M.A.", "coins", None)]
+    draw = random.Random(1)
+    rows += [(200 + i, f"{draw.choice(firsts)} {''.join(draw.choices('bcdefghiklmnoprstuvw', k=9))}", None, None, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "rid long, name string, letters string, field string, signature string")
+    linked = {r["rid"]: r["entity"] for r in people.link_names(df).collect()}
+    assert [linked[i] for i in (100, 101, 102, 103, 104)] == [100, 100, 100, 100, 104]
+    assert all(linked[i] == i for i in range(len(firsts)))
