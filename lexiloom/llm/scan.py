@@ -11,13 +11,14 @@ to is a misreading of it.
 *Cut words.*  A line that ends in a hyphen is cut unless the two parts are a word that is printed
 with a hyphen elsewhere.
 
-Counting and joining are distributed; the only lists that are broadcast are the most frequent words
-(a fixed number, and only to save work).
+Counting and joining are distributed; what is broadcast is the most frequent words (a fixed number,
+and only to save work) and bits of a fixed number for the contested ones.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -243,10 +244,10 @@ def misread_forms(counted: DataFrame) -> DataFrame:
     """Columns ``word, right``: the word forms that are misreadings, with what they stand for."""
     stroked = F.pandas_udf(lambda s: s.map(skeleton), "string")
     words = counted.where(F.col("kind") == "word").select("word", "n", stroked(F.col("word")).alias("strokes"))
-    top = Window.partitionBy("strokes").orderBy(F.desc("n"), "word")
-    best = words.withColumn("place", F.row_number().over(top)).where(F.col("place") <= 3)
-    best = best.select("strokes", F.col("word").alias("right"), F.col("n").alias("n_right"))
-    near = words.join(best, "strokes").where((F.col("n_right") > F.col("n")) & (F.col("word") != F.col("right")))
+    # every form of the group may be the right one; the counts that misreads() asks for are part of the join
+    best = words.select("strokes", F.col("word").alias("right"), F.col("n").alias("n_right"))
+    rare = "length(right) > 1 AND ((n <= 2 AND n_right >= 2 * n + 1 AND length(right) > 3) OR n_right >= 60 * n)"
+    near = words.join(best, "strokes").where(F.expr(rare) & (F.col("word") != F.col("right")))
 
     @F.pandas_udf("boolean")
     def judged(wrong: pd.Series, n: pd.Series, right: pd.Series, n_right: pd.Series) -> pd.Series:
@@ -257,10 +258,10 @@ def misread_forms(counted: DataFrame) -> DataFrame:
 
 
 def contested_forms(counted: DataFrame, wrong: DataFrame) -> DataFrame:
-    """Columns ``word, other``: frequent words that one confusion turns into each other, so that counts cannot tell."""
+    """Columns ``word, other``: words that one confusion turns into each other, where the counts could not tell."""
     words = counted.where(F.col("kind") == "word").select("word", "n").join(wrong.select("word"), "word", "left_anti")
     stroked = F.pandas_udf(lambda s: s.map(skeleton), "string")
-    top = words.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", stroked(F.col("word")).alias("strokes"))
+    top = words.select("word", stroked(F.col("word")).alias("strokes"))
     one = F.pandas_udf(lambda a, b: pd.Series([len(x) > 1 and len(y) > 1 and confusions(x, y, 1) == 1 for x, y in zip(a, b)], dtype=bool), "boolean")
     pairs = top.join(top.withColumnRenamed("word", "other"), "strokes").where(F.col("word") != F.col("other"))
     return cut_lineage(pairs.where(one("word", "other")).select("word", "other"))
@@ -284,6 +285,14 @@ def out_of_context(notes: DataFrame, contested: DataFrame) -> DataFrame:
 _NOTES = "page_id long, volume int, page_number int, field_name string, line_no int, note string, key string, key2 string, second int, cut int"
 
 
+#: Bits for the contested words.
+_BITS = 1 << 24
+
+
+def _bit(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % _BITS
+
+
 def annotate(pages: DataFrame, counted: DataFrame, wrong: DataFrame, contested: DataFrame) -> DataFrame:
     """What each page shows by itself and what has to be looked up, as notes on its lines.
 
@@ -297,8 +306,12 @@ def annotate(pages: DataFrame, counted: DataFrame, wrong: DataFrame, contested:
     usual = counted.where(F.col("kind") == "word").select("word", "n").join(wrong.select("word"), "word", "left_anti")
     frequent = spark.sparkContext.broadcast({r["word"] for r in usual.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").collect()})
 
-    # contested words are among the FREQUENT most frequent ones, so their number is bounded too
-    unsure = spark.sparkContext.broadcast({r["word"] for r in contested.select("word").distinct().limit(FREQUENT).collect()})
+    # contested words as bits of a fixed number: what falls on the bit of another is left when notes meet the contested forms
+    bits = bytearray(_BITS // 8)
+    for r in contested.select("word").distinct().toLocalIterator():
+        at = _bit(r["word"])
+        bits[at >> 3] |= 1 << (at & 7)
+    unsure = spark.sparkContext.broadcast(bytes(bits) if any(bits) else b"")
 
     def note(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, between = frequent.value, unsure.value
@@ -319,7 +332,8 @@ def annotate(pages: DataFrame, counted: DataFrame, wrong: DataFrame, contested:
                     if between:
                         plain_words = [fold(t) for t in tokens]
                         for j, w in enumerate(plain_words):
-                            if w in between:
+                            at = _bit(w)
+                            if between[at >> 3] >> (at & 7) & 1:
                                 before, after = plain_words[j - 1] if j else "", plain_words[j + 1] if j + 1 < len(tokens) else ""
                                 out.append((*head, i + 1, "B", w, f"{before}\x1f{after}", None, None))
                     if k == 0:

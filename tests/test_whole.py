@@ -88,3 +88,27 @@ def test_variants_of_a_common_surname_are_linked(spark):
     linked = {r["rid"]: r["entity"] for r in people.link_names(df).collect()}
     assert [linked[i] for i in (100, 101, 102, 103, 104)] == [100, 100, 100, 100, 104]
     assert all(linked[i] == i for i in range(len(firsts)))
+
+
+def scanned(spark, lines):
+    return spark.createDataFrame([(1, 1, 1, "raw_text", "\n".join(lines))], "page_id long, volume int, page_number int, field_name string, text string")
+
+
+def test_a_misread_form_of_the_fifth_form_of_its_group(spark):
+    from lexiloom.llm import scan
+
+    frequent = ["soil", "soll", "sorl", "sori", "son"]
+    assert len({scan.skeleton(w) for w in [*frequent, "sou"]}) == 1
+    counted = spark.createDataFrame([("word", w, 9000 - i) for i, w in enumerate(frequent[:4])] + [("word", "son", 600), ("word", "sou", 10)], "kind string, word string, n long")
+    expected = {w for w in frequent if scan.misreads("sou", 10, w, 9000 if w != "son" else 600)}
+    assert expected == {"son"}, expected
+    assert {tuple(r) for r in scan.misread_forms(counted).collect()} == {("sou", "son")}
+
+
+def test_words_beyond_the_most_frequent_may_be_contested(spark, monkeypatch):
+    from lexiloom.llm import scan
+
+    monkeypatch.setattr(scan, "FREQUENT", 3)
+    lines = ["but it had fallen on some of the great old"] * 60 + ["see if the merchants of the great old"] * 60 + ["but if had fallen on some of the great old"]
+    found, _, _ = scan.noise(scanned(spark, lines))
+    assert (121, "misread") in {(r["line_no"], r["kind"]) for r in found.collect()}
