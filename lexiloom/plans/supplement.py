@@ -124,7 +124,7 @@ def st35(spark, d):
 
 @query("st37_entities", "SELECT DISTINCT id, wikitext AS decoded FROM source_pages WHERE wikitext IS NOT NULL AND NOT contains(wikitext, '&')")
 def st37(spark, d):
-    t = table(spark, d, "source_pages").where("wikitext IS NOT NULL AND NOT contains(wikitext, '&')").select("id", "wikitext").distinct()
+    t = table(spark, d, "source_pages").where("wikitext IS NOT NULL").select("id", "wikitext").distinct()
     return t.select("id", markup.decode_entities("wikitext").alias("decoded"))
 
 

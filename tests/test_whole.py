@@ -76,6 +76,11 @@ def test_articles_of_all_volumes_are_written(spark, tmp_path):
     assert got == [(i, i % 5 + 1, "second" if i % 5 == 1 else "first") for i in range(20)]
 
 
+def test_entities_of_pages_that_have_some(spark, tmp_path):
+    rows = [(1, 1, 1, None, "Caf&eacute; &amp; &lt;b&gt; &#60; &vert; &mdash;"), (2, 1, 2, None, "plain"), (3, 1, 3, None, None)]
+    assert run(spark, tmp_path, "st37_entities", source_pages=pages(rows)) == [(1, "Café & &lt;b&gt; &#60; &vert; —"), (2, "plain")]
+
+
 def test_variants_of_a_common_surname_are_linked(spark):
     from lexiloom.llm import people
 
