@@ -127,7 +127,7 @@ def xref_target(text: Column | str) -> Column:
     out = F.translate(out, "’‘ʼ´`", "'''''")
     out = F.regexp_replace(out, "[“”\"]", "")
     out = F.translate(F.regexp_replace(out, "[-‐‑‒–—]", " "), ",", " ")
-    return collapse_spaces(F.regexp_replace(out, r"\.+\s*$", ""))
+    return collapse_spaces(F.regexp_replace(out, r"[.\s]+$", ""))
 
 
 def section_key(text: Column | str) -> Column:

@@ -24,7 +24,7 @@ QUERIES, SQL = query.queries, query.sql
 # --- files -------------------------------------------------------------------------------------
 
 
-@query("sc1_page_files", "SELECT DISTINCT volume, page_number, raw_text FROM source_pages WHERE volume = 3 AND raw_text <> ''")
+@query("sc1_page_files", "SELECT DISTINCT volume, page_number, raw_text FROM source_pages WHERE raw_text <> ''")
 def sc1(spark, d):
     """Pages written as JSON Lines and read again through the checks of the reader."""
     pages = once(spark, d, "source_pages", "volume", "page_number", "raw_text").where("raw_text <> ''")
@@ -43,7 +43,7 @@ def sc4(spark, d):
     return failures.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sk1_replace_volumes", f"WITH {VA} SELECT id, volume, CASE WHEN volume = 2 THEN 'second' ELSE 'first' END AS build FROM va WHERE volume IN (1, 2, 3)")
+@query("sk1_replace_volumes", f"WITH {VA} SELECT id, volume, CASE WHEN volume = 2 THEN 'second' ELSE 'first' END AS build FROM va")
 def sk1(spark, d):
     """All volumes written as partitions, then one of them again: the others stay as they were."""
     rows_ = valid(spark, d).select("id", "volume")

@@ -178,21 +178,35 @@ def rs20(spark, d):
     return connected_components(edges).groupBy(F.col("component").alias("canonical")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("rs21_dedup_gate", f"WITH {VC}, n AS (SELECT id, lower(strip_accents(string_split(trim(full_name), ' ')[-1])) AS sur, substr(full_name, 1, 1) AS f, credentials FROM vc), h AS (SELECT sur, f, min(id) AS first_id FROM n GROUP BY 1, 2) SELECT h.first_id AS id_a, n.id AS id_b FROM n JOIN h USING (sur, f) JOIN n k ON k.id = h.first_id WHERE n.id <> h.first_id AND n.credentials IS DISTINCT FROM k.credentials")
-def rs21(spark, d):
-    """Candidates for a merge that nothing accounts for: all pairs of a block that differ in credentials.
+_BLOCKS = f"{VC}, n AS (SELECT id, lower(strip_accents(string_split(trim(full_name), ' ')[-1])) AS sur, substr(full_name, 1, 1) AS f, credentials FROM vc), k AS (SELECT sur, f, credentials, min(id) AS first_id, count(*) AS n FROM n WHERE sur IS NOT NULL GROUP BY ALL)"
 
-    Only classes of records (surname, letter, credentials) are compared; their members then give the pairs.
-    """
+
+def _credential_classes(spark, d):
+    """Contributors by surname, first letter and credentials."""
     known = F.coalesce(F.concat(F.lit("="), "credentials"), F.lit(""))
     n = valid(spark, d, "contributors").select("id", F.lower(X.fold_accents(F.element_at(F.split(F.trim("full_name"), " "), -1))).alias("sur"), F.substring("full_name", 1, 1).alias("f"), known.alias("k"))
-    classes = n.select("sur", "f", "k").distinct()
-    a, b = classes.withColumnRenamed("k", "ka"), classes.withColumnRenamed("k", "kb")
-    x, y = (n.select(F.col("id").alias(f"id_{s}"), "sur", "f", F.col("k").alias(f"k{s}")) for s in "ab")
-    pairs = a.join(b, ["sur", "f"]).where("ka < kb").join(x, ["sur", "f", "ka"]).join(y, ["sur", "f", "kb"])
+    return n.where("sur IS NOT NULL")
+
+
+@query("rs21_dedup_gate", f"WITH {_BLOCKS} SELECT least(a.first_id, b.first_id) AS id_a, greatest(a.first_id, b.first_id) AS id_b FROM k a JOIN k b USING (sur, f) WHERE coalesce('=' || a.credentials, '') < coalesce('=' || b.credentials, '')")
+def rs21(spark, d):
+    """Candidates for a merge that nothing accounts for: the classes of a block that differ in credentials, each by its first record.
+
+    What holds for the first records holds for all of their classes; ``rs21_class_members`` has those.
+    """
+    classes = _credential_classes(spark, d).groupBy("sur", "f", "k").agg(F.min("id").alias("first"))
+    a, b = (classes.select("sur", "f", F.col("k").alias(f"k{s}"), F.col("first").alias(f"id_{s}")) for s in "ab")
+    pairs = a.join(b, ["sur", "f"]).where("ka < kb")
     return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
 
 
+@query("rs21_class_members", f"WITH {_BLOCKS} SELECT n.id, k.first_id AS class_id FROM n JOIN k ON k.sur = n.sur AND k.f = n.f AND k.credentials IS NOT DISTINCT FROM n.credentials")
+def rs21_members(spark, d):
+    n = _credential_classes(spark, d)
+    first = n.groupBy("sur", "f", "k").agg(F.min("id").alias("class_id"))
+    return n.join(first, ["sur", "f", "k"]).select("id", "class_id")
+
+
 @query("rs22_bio_articles", f"WITH {VC}, {VA} SELECT vc.id, min(va.id) AS article_id FROM vc JOIN va ON upper(va.title) = upper(string_split(trim(vc.full_name), ' ')[-1] || ', ' || string_split(trim(vc.full_name), ' ')[1]) GROUP BY vc.id")
 def rs22(spark, d):
     words = F.split(F.trim("full_name"), " ")

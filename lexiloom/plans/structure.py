@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import markup
 from lexiloom.functions import text as X
+from lexiloom.operators.boundaries import walk_volumes
 from lexiloom.operators.intervals import range_join
 from lexiloom.plans.common import VA, Registry, once, valid
 from lexiloom.sources import readers, sinks
@@ -73,7 +74,7 @@ def sc13(spark, d):
     return t.select("id", F.trim(F.substring_index("t", "|", 1)).alias("name"), (F.size(F.split("t", r"\|")) - 1).cast("bigint").alias("n_args")).distinct()
 
 
-@query("sc14_table_scan", "SELECT volume, count(DISTINCT page_number) AS n_pages, min(page_number) AS first_page FROM source_pages WHERE volume BETWEEN 3 AND 9 GROUP BY volume")
+@query("sc14_table_scan", "SELECT volume, count(DISTINCT page_number) AS n_pages, min(page_number) AS first_page FROM source_pages GROUP BY volume")
 def sc14(spark, d):
     pages = table(spark, d, "source_pages").select("volume", "page_number").distinct()
     return pages.groupBy("volume").agg(F.count(F.lit(1)).alias("n_pages"), F.min("page_number").alias("first_page"))
@@ -284,6 +285,31 @@ def tx4(spark, d):
     return valid(spark, d).select("id", F.regexp_replace(F.regexp_extract("body", r"^\s*(«B»[^«»]*«/B»)", 1), "«/?B»", "").alias("carved"))
 
 
+_STREAM = f"""WITH {VA}, p AS (SELECT DISTINCT volume, page_number, 2 * id AS page_id, coalesce(wikitext, raw_text, '') AS t FROM source_pages UNION ALL SELECT volume, page_start, 2 * id + 1, coalesce(body, '') FROM va),
+b AS (SELECT volume, page_number, page_id, unnest(range(1, len(s) + 1)) AS i, unnest(s) AS block, regexp_extract(unnest(s), '^(?:\\s|<noinclude>.*?</noinclude>)*«B»((?:[^«]|«/?I»)*?)«/B»', 1) AS raw FROM (SELECT *, regexp_split_to_array(t, '\\n[^\\S\\n]*\\n') AS s FROM p)),
+h AS (SELECT *, trim(regexp_replace(regexp_replace(raw, '«/?I»', '', 'g'), '\\s*\\([^)]*\\)', '', 'g'), ' ,.;:') AS title FROM b),
+k AS (SELECT *, length(title) >= 2 AND NOT regexp_matches(title, '^[0-9]|[A-Za-z][0-9]|[0-9][A-Za-z]|^[IVXLCDM]+\\.?$|(^|[ ,])[A-ZÀ-Þ][a-zà-ÿ][a-zà-ÿ-]*([ ,.]|$)') AND regexp_matches(title, '^[^ ,a-z]') AS starts FROM h),
+n AS (SELECT *, sum(starts::INT) OVER (PARTITION BY volume ORDER BY page_number, page_id, i) AS article_no FROM k)"""
+
+
+@query("tx1_boundaries", f"{_STREAM} SELECT volume, article_no::BIGINT AS article_no, max(CASE WHEN starts THEN title END) AS title, min(page_number) AS page_start FROM n WHERE article_no > 0 GROUP BY ALL")
+def tx1_boundaries(spark, d):
+    """All articles that the volumes hold when the scanned pages and the valid bodies are read in page order as one stream."""
+    return walk_volumes(_stream(spark, d)).select("volume", "article_no", "title", "page_start")
+
+
+def _stream(spark, d):
+    pages = table(spark, d, "source_pages").select((2 * F.col("id")).alias("page_id"), "volume", "page_number", F.coalesce("wikitext", "raw_text").alias("text")).dropDuplicates(["page_id"])
+    return pages.unionByName(valid(spark, d).select((2 * F.col("id") + 1).alias("page_id"), "volume", F.col("page_start").alias("page_number"), F.col("body").alias("text")))
+
+
+@query("tx1_segments", f"{_STREAM} SELECT volume, article_no::BIGINT AS article_no, count(DISTINCT page_id) AS n_pages, max(page_number) AS page_end FROM n WHERE article_no > 0 AND (starts OR trim(block, ' ' || chr(10)) <> '') GROUP BY ALL")
+def tx1_segments(spark, d):
+    """How many pages each of these articles goes over, and the last one."""
+    walked = walk_volumes(_stream(spark, d))
+    return walked.select("volume", "article_no", F.size(F.array_distinct("segments.page_id")).cast("bigint").alias("n_pages"), "page_end")
+
+
 @query("tx1_walk", f"WITH {VA} SELECT volume, count(*) AS n_articles, count(*) FILTER (starts_with(ltrim(body), '«B»')) AS titled FROM va GROUP BY volume")
 def tx1(spark, d):
     return valid(spark, d).groupBy("volume").agg(F.count(F.lit(1)).alias("n_articles"), F.count_if(F.ltrim("body").startswith("«B»")).alias("titled"))

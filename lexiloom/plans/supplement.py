@@ -89,18 +89,28 @@ def st32(spark, d):
     return a.join(b, "sur").where(given_compatible(F.col("ga"), F.col("gb"))).select("entry_id", "id")
 
 
-@query("st33_first_name_score", f"WITH {VC}, p AS (SELECT id, lower(string_split(full_name, ' ')[1]) AS f, lower(string_split(full_name, ' ')[-1]) AS s FROM vc), h AS (SELECT s, min(id) AS first_id FROM p GROUP BY 1) SELECT h.first_id AS id_a, b.id AS id_b, CASE WHEN a.f = b.f THEN 2 WHEN substr(a.f, 1, 1) = substr(b.f, 1, 1) THEN 1 ELSE 0 END AS score FROM p b JOIN h USING (s) JOIN p a ON a.id = h.first_id WHERE b.id <> h.first_id")
-def st33(spark, d):
-    """The forenames of every two records of a surname: distinct ones are scored, their records then give the pairs."""
+_FORENAMES = f"{VC}, p AS (SELECT id, lower(string_split(full_name, ' ')[1]) AS f, lower(string_split(full_name, ' ')[-1]) AS s FROM vc WHERE full_name IS NOT NULL), k AS (SELECT s, f, min(id) AS first_id FROM p GROUP BY ALL)"
+
+
+def _forenames(spark, d):
     w = F.split("full_name", " ")
-    p = valid(spark, d, "contributors").select("id", F.lower(F.element_at(w, 1)).alias("f"), F.lower(F.element_at(w, -1)).alias("s"))
-    classes = p.select("s", "f").distinct()
-    a, b = classes.withColumnRenamed("f", "fa"), classes.withColumnRenamed("f", "fb")
-    score = F.when(F.col("fa") == F.col("fb"), 2).when(F.substring("fa", 1, 1) == F.substring("fb", 1, 1), 1).otherwise(0)
-    x, y = (p.select(F.col("id").alias(f"id_{z}"), "s", F.col("f").alias(f"f{z}")) for z in "ab")
-    pairs = a.join(b, "s").where("fa <= fb").withColumn("score", score).join(x, ["s", "fa"]).join(y, ["s", "fb"])
-    met = pairs.where("id_a < id_b OR (fa <> fb AND id_a <> id_b)")
-    return met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "score")
+    p = valid(spark, d, "contributors").where("full_name IS NOT NULL").select("id", F.lower(F.element_at(w, 1)).alias("f"), F.lower(F.element_at(w, -1)).alias("s"))
+    return p, p.groupBy("s", "f").agg(F.min("id").alias("class_id"))
+
+
+@query("st33_first_name_score", f"WITH {_FORENAMES} SELECT least(a.first_id, b.first_id) AS id_a, greatest(a.first_id, b.first_id) AS id_b, CASE WHEN substr(a.f, 1, 1) = substr(b.f, 1, 1) THEN 1 ELSE 0 END AS score FROM k a JOIN k b USING (s) WHERE a.f < b.f")
+def st33(spark, d):
+    """The scores of every two different forenames of a surname, each by its first record; equal ones (score 2) are one class of ``st33_classes``."""
+    _, classes = _forenames(spark, d)
+    a, b = (classes.select("s", F.col("f").alias(f"f{z}"), F.col("class_id").alias(f"id_{z}")) for z in "ab")
+    score = F.when(F.substring("fa", 1, 1) == F.substring("fb", 1, 1), 1).otherwise(0)
+    return a.join(b, "s").where("fa < fb").select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), score.alias("score"))
+
+
+@query("st33_classes", f"WITH {_FORENAMES} SELECT p.id, k.first_id AS class_id FROM p JOIN k USING (s, f)")
+def st33_classes(spark, d):
+    p, classes = _forenames(spark, d)
+    return p.join(classes, ["s", "f"]).select("id", "class_id")
 
 
 @query("st50_index_title", "SELECT DISTINCT a AS given, trim(regexp_replace(upper(regexp_replace(a, ',.*$', '')), '[^A-Z0-9]+', ' ', 'g')) AS made FROM (SELECT unnest(articles) AS a FROM vol29_entries)")
@@ -122,7 +132,7 @@ def st35(spark, d):
     return pairs.join(ag1(spark, d).select("pair", "verdict"), "pair", "left").select("id", "pair", F.when(F.coalesce("verdict", F.lit("drop")) == "drop", F.replace("pair", F.lit("-"), F.lit(""))).otherwise(F.col("pair")).alias("made")).distinct()
 
 
-@query("st37_entities", "SELECT DISTINCT id, wikitext AS decoded FROM source_pages WHERE wikitext IS NOT NULL AND NOT contains(wikitext, '&')")
+@query("st37_entities")
 def st37(spark, d):
     t = table(spark, d, "source_pages").where("wikitext IS NOT NULL").select("id", "wikitext").distinct()
     return t.select("id", markup.decode_entities("wikitext").alias("decoded"))

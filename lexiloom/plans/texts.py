@@ -63,7 +63,7 @@ _over(
 )
 _XREF_KEY = (
     "trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(translate(replace(upper(regexp_replace(regexp_replace(trim(regexp_replace({0}, '\\s+', ' ', 'g')), '^[^\\s:]+:(\\S)', '\\1'), '\\s*#\\s*', ': ', 'g')), 'Æ', 'AE'),"
-    " '’‘ʼ´`', ''''''''''''), '[“”\"]', '', 'g'), '[-‐‑‒–—]', ' ', 'g'), ',', ' '), '\\.+\\s*$', ''), '\\s+', ' ', 'g'))"
+    " '’‘ʼ´`', ''''''''''''), '[“”\"]', '', 'g'), '[-‐‑‒–—]', ' ', 'g'), ',', ' '), '[.\\s]+$', ''), '\\s+', ' ', 'g'))"
 )
 _over("st13_xref_target", "xrefs", "normalized_target", X.xref_target, _XREF_KEY.format("$"))
 _over("st14_section_key", "articles", "title", X.section_key, "regexp_replace(lower($), '[^a-z0-9]+', '', 'g')")
@@ -105,7 +105,7 @@ _over("st52_name_variants", "headings", "heading", lambda c: F.array_join(F.arra
 _over("ag22_word_count", "documents", "text", X.word_count, "len(list_filter(regexp_split_to_array(trim($, chr(9) || chr(10) || chr(13) || ' '), '\\s+'), lambda w: w <> ''))")
 
 
-@query("st8_excerpt", "SELECT DISTINCT id, substr(body, greatest(0, strpos(body, 'until') - 1 - 60) + 1, strpos(body, 'until') - 1 + 60 - greatest(0, strpos(body, 'until') - 1 - 60)) AS part FROM articles WHERE strpos(body, 'until') > 0 AND NOT contains(body, chr(13)) AND NOT contains(body, chr(10))")
+@query("st8_excerpt", "SELECT DISTINCT id, replace(replace(substr(body, greatest(0, strpos(body, 'until') - 1 - 60) + 1, strpos(body, 'until') - 1 + 60 - greatest(0, strpos(body, 'until') - 1 - 60)), chr(10), ' '), chr(13), '') AS part FROM articles WHERE strpos(body, 'until') > 0")
 def st8_excerpt(spark, d):
     rows = table(spark, d, "articles").where(F.instr("body", "until") > 0)
     return rows.select("id", X.excerpt("body", F.instr("body", "until") - 1).alias("part")).distinct()

@@ -109,3 +109,15 @@ def test_tei_is_always_well_formed(stream):
     from xml.etree import ElementTree
 
     ElementTree.fromstring(markers.tei(stream, "t"))
+
+
+def test_keys_without_outer_dots(spark):
+    for value, key in ((".-.", ""), ("A. -- .", "A"), ("St. Gall", "ST. GALL"), ("O’Neill.", "O'NEILL")):
+        assert one(spark, value, X.xref_target) == key
+
+
+def test_entities_are_decoded(spark):
+    from lexiloom.functions import markup
+
+    got = one(spark, "Smith &amp; Co &#233; &lt;b&gt; &vert;", markup.decode_entities)
+    assert "Smith & Co é" in got and "&lt;b" in got and "&vert;" in got
