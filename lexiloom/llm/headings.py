@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.names import TITLES, edits, fold, given_likeness, words
+from lexiloom.session import cut_lineage
 
 #: Entries that are broadcast at once; a longer list is searched in several passes.
 MOST_ENTRIES = 50_000
@@ -168,14 +169,19 @@ class Trie:
             stack += self.arcs[node].values()
         return out
 
-    def near(self, word: str, most: int) -> list[tuple[int, int]]:
-        """``(distance, value)`` of every path within ``most`` errors of the word."""
+    def near(self, word: str, most: int, early: int | None = None) -> list[tuple[int, int]]:
+        """``(distance, value)`` of every path within ``most`` errors of the word.
+
+        With ``early``, of those that take no more than so many errors before the middle of the word.
+        """
         size = len(word)
+        late = -1 if early is None else -1 << size // 2  # positions that may be reached with more
+        early = most if early is None else early
         masks: dict[str, int] = {}
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | 1 << i
         limit, last = (1 << size + 1) - 1, 1 << size
-        start = tuple((1 << d + 1) - 1 for d in range(most + 1))
+        start = tuple((1 << d + 1) - 1 & (-1 if d <= early else late) for d in range(most + 1))
         empty = (0,) * (most + 1)
         best: dict[int, int] = {}
         stack = [(0, start, empty, 0, size)]  # node, positions by errors, those before the last arc, mask of the last arc, letters that should follow
@@ -199,20 +205,76 @@ class Trie:
                 row = [(now[0] & m) << 1]
                 for d in range(1, most + 1):
                     low = now[d - 1]
-                    row.append(((now[d] & m) << 1 | low | low << 1 | row[d - 1] << 1 | (before[d - 1] & m & mask >> 1) << 2) & limit)
-                if row[most]:
+                    row.append(((now[d] & m) << 1 | low | low << 1 | row[d - 1] << 1 | (before[d - 1] & m & mask >> 1) << 2) & limit & (-1 if d <= early else late))
+                if any(row):
                     stack.append((child, tuple(row), now, m, rest - 1))
         return [(d, v) for v, d in best.items()]
 
 
+    def near_one(self, word: str) -> list[tuple[int, int]]:
+        """``near(word, 1, 0)``, the commonest case, with its two sets of positions by name."""
+        size = len(word)
+        masks: dict[str, int] = {}
+        for i, c in enumerate(word):
+            masks[c] = masks.get(c, 0) | 1 << i
+        limit, last, late = (1 << size + 1) - 1, 1 << size, -1 << size // 2
+        late &= limit
+        arcs, ends, left = self.arcs, self.ends, self.left
+        best: dict[int, int] = {}
+        stack = [(0, 1, 3 & late, 0, 0, size)]  # node, positions without and with an error, those without before the last arc, its mask, letters that should follow
+        while stack:
+            node, none, one, before, mask, rest = stack.pop()
+            if node in ends and (none | one) & last:
+                distance = 0 if none & last else 1
+                for value in ends[node]:
+                    if best.get(value, 2) > distance:
+                        best[value] = distance
+            shift = rest - 2
+            window = 7 << shift if shift >= 0 else 7 >> -shift
+            skipped, exchanged = none | none << 1, before & mask >> 1
+            for c, child in arcs[node].items():
+                m = masks.get(c, 0)
+                kept = (none & m) << 1
+                slipped = ((one & m) << 1 | skipped | kept << 1 | (exchanged & m) << 2) & late
+                if (kept or slipped) and left[child] & window:
+                    stack.append((child, kept, slipped, none, m, rest - 1))
+        return [(d, v) for v, d in best.items()]
+
+
+class TwoWay:
+    """The trie of paths and that of the paths read backwards.
+
+    Of up to ``most`` errors at most half are met before the middle in one of the two directions, so
+    both walks keep close to single paths in their first half.
+    """
+
+    def __init__(self) -> None:
+        self.onward, self.backward = Trie(), Trie()
+
+    def add(self, path: str, value: int) -> None:
+        self.onward.add(path, value)
+        self.backward.add(path[::-1], value)
+
+    def near(self, word: str, most: int) -> list[tuple[int, int]]:
+        """As of ``Trie``, all within the distance."""
+        best: dict[int, int] = {}
+        one = most == 1
+        onward = self.onward.near_one(word) if one else self.onward.near(word, most, most // 2)
+        back = self.backward.near_one(word[::-1]) if one else self.backward.near(word[::-1], most, most // 2)
+        for d, v in onward + back:
+            best[v] = min(d, best.get(v, d))
+        return [(d, v) for v, d in best.items()]
+
+
 @dataclass
 class Canon:
     """The list as a trie of cores and one of whole entries."""
 
     entries: list[Entry]
-    cores: Trie = field(default_factory=Trie)
+    cores: TwoWay = field(default_factory=TwoWay)
     wholes: Trie = field(default_factory=Trie)
     memory: dict[str, list[tuple[int, int]]] = field(default_factory=dict)
+    matched: dict[str, tuple[float, int] | None] = field(default_factory=dict)
     longest: int = 0  # letters of the longest core
 
     @classmethod
@@ -247,7 +309,7 @@ class Canon:
     def _cores(self, core: str) -> list[tuple[int, int]]:
         known = self.memory.get(core)
         if known is None:
-            exact = self.cores.exact(core)
+            exact = self.cores.onward.exact(core)
             most = allowed(len(core))
             known = self.cores.near(core, most) if most else [(0, v) for v in exact]
             if len(self.memory) > 200_000:
@@ -259,6 +321,13 @@ class Canon:
         """The cost and the entry that a value means best; None if it means none."""
         if not text:
             return None
+        if text not in self.matched:
+            if len(self.matched) > 100_000:
+                self.matched.clear()
+            self.matched[text] = self._match(text)
+        return self.matched[text]
+
+    def _match(self, text: str) -> tuple[float, int] | None:
         best: tuple[float, int] | None = None
         for reading in readings(unwrap(text)):
             if len(reading.core) > self.longest + 2:
@@ -295,25 +364,41 @@ class Canon:
         return self.wholes.beneath(core) if len(core) >= 4 else []
 
     def resolve(self, normalized: str | None, surface: str | None) -> int:
-        """The id that the two fields mean together; 0 for none.
+        """The id that the two fields mean together; 0 for none."""
+        return settle(self.evidence(normalized, surface), normalized, surface)
 
-        The normalized field decides where it names an entry exactly.  Where it is only the beginning
-        of what the surface says, the surface decides alone; otherwise the nearer one does.
-        """
+    def evidence(self, normalized: str | None, surface: str | None) -> tuple:
+        """What this list offers for the two fields: cost and id of either's best entry, and the least id the first is cut off from."""
         n, s = self.match(normalized), self.match(surface)
-        whole = letters(unwrap(surface)) if surface else ""
-        part = letters(unwrap(normalized)) if normalized else ""
-        if whole and part and len(part) < len(whole) and whole.startswith(part) and len(part) >= 3:
-            if s is not None or (n is None or n[0] > 0):
-                return self.entries[s[1]].id if s is not None else 0
-        found = [m for m in (n, s) if m is not None]
-        if found:
-            return self.entries[min(found, key=lambda m: m[0])[1]].id
-        if not whole:
-            below = self.cut_off(normalized)
-            if below:
-                return self.entries[min(below)].id
-        return 0
+        below = min((self.entries[i].id for i in self.cut_off(normalized)), default=0) if n is None and not (surface and letters(unwrap(surface))) else 0
+        return (*((n[0], self.entries[n[1]].id) if n else (None, 0)), *((s[0], self.entries[s[1]].id) if s else (None, 0)), below)
+
+
+def settle(found: tuple, normalized: str | None, surface: str | None) -> int:
+    """The id that the best of each field come to; 0 for none.
+
+    The normalized field decides where it names an entry exactly.  Where it is only the beginning
+    of what the surface says, the surface decides alone; otherwise the nearer one does.
+    """
+    n_cost, n_id, s_cost, s_id, below = found
+    whole = letters(unwrap(surface)) if surface else ""
+    part = letters(unwrap(normalized)) if normalized else ""
+    if whole and part and len(part) < len(whole) and whole.startswith(part) and len(part) >= 3:
+        if s_cost is not None or n_cost is None or n_cost > 0:
+            return s_id if s_cost is not None else 0
+    if n_cost is not None and (s_cost is None or n_cost <= s_cost):
+        return n_id
+    return s_id if s_cost is not None else below
+
+
+def nearest(offers: Iterable[tuple]) -> tuple:
+    """The offers of several parts of a list as one: the least cost of each field, the least id where costs are equal."""
+    offers = list(offers)
+    best = []
+    for at in (0, 2):
+        least = min(((o[at], o[at + 1]) for o in offers if o[at] is not None), default=(None, 0))
+        best += least
+    return (*best, min((o[4] for o in offers if o[4]), default=0))
 
 
 def _given_cost(said: tuple[str, ...], named: tuple[str, ...]) -> float | None:
@@ -333,21 +418,16 @@ def _given_cost(said: tuple[str, ...], named: tuple[str, ...]) -> float | None:
     return cost
 
 
+_OFFER = "n_cost double, n_id bigint, s_cost double, s_id bigint, below bigint"
+
+
 def _resolver(shared):
-    """The map as a function of the two columns; pairs that a worker has met are known to it."""
+    """The map of the distinct pairs to ids, where the whole list is at hand."""
 
     @F.pandas_udf("bigint")
     def resolve(normalized: pd.Series, surface: pd.Series) -> pd.Series:
         canon = shared.value
-        seen, ids = canon.__dict__.setdefault("seen", {}), []
-        for pair in zip(normalized, surface):
-            found = seen.get(pair)
-            if found is None:
-                if len(seen) > 200_000:
-                    seen.clear()
-                found = seen[pair] = canon.resolve(*pair)
-            ids.append(found)
-        return pd.Series(ids, dtype="int64")
+        return pd.Series([canon.resolve(*pair) for pair in zip(normalized, surface)], dtype="int64")
 
     return resolve
 
@@ -355,25 +435,70 @@ def _resolver(shared):
 def map_to_list(df: DataFrame, normalized: str, surface: str, headings: DataFrame, out: str = "heading_id", most_entries: int = MOST_ENTRIES) -> DataFrame:
     """``df`` with ``out``: the id of the heading that the two text columns mean, 0 for none.
 
-    ``headings`` has ``heading_id, heading, category``; its length is checked.  Up to ``most_entries``
-    it is broadcast as one trie and the map is narrow: no row moves.  A longer list is searched in
-    passes of that many entries, and the least id found wins.  Rows whose two texts are null give 0;
-    a column named ``out`` is replaced.
+    The distinct pairs of texts are resolved, and a row gets the id of its pair; pairs that hold an
+    outsized share of the rows are not shuffled to one task.  ``headings`` has ``heading_id, heading,
+    category``; its length is checked.  Up to ``most_entries`` it is broadcast as one trie.  A longer
+    list is searched in parts of about that many entries, one after the other: each part offers its
+    best for either field, and the least cost of all parts decides, as it does within one part (the
+    least id where costs are equal).  Rows whose two texts are null give 0; a column named ``out`` is
+    replaced.
     """
     spark = df.sparkSession
-    total = headings.where(F.col("heading_id").isNotNull()).count()
-    ordered = headings.where(F.col("heading_id").isNotNull()).select("heading_id", "heading", "category")
-    parts = [ordered]
-    if total > most_entries:
-        n = -(-total // most_entries)
-        parts = [ordered.where(F.pmod(F.xxhash64("heading_id"), F.lit(n)) == i) for i in range(n)]
-    columns = []
-    for part in parts:
-        shared = spark.sparkContext.broadcast(Canon.of([tuple(r) for r in part.collect()]))
-
-        resolve = _resolver(shared)
-        columns.append(resolve(F.col(normalized), F.col(surface)))
-    best = columns[0]
-    if len(columns) > 1:
-        best = F.coalesce(F.array_min(F.filter(F.array(*columns), lambda x: x > 0)), F.lit(0))
-    return df.withColumn(out, best.cast("bigint"))
+    listed = headings.where(F.col("heading_id").isNotNull()).select("heading_id", "heading", "category")
+    total = listed.count()
+    df = df.drop(out)
+    key = "__pair"
+    # a null and an empty text are told apart
+    keyed = df.withColumn(key, F.xxhash64(F.coalesce(F.concat(F.lit("="), normalized), F.lit("")), F.coalesce(F.concat(F.lit("="), surface), F.lit(""))))
+    pairs = keyed.groupBy(F.col(normalized).alias("n"), F.col(surface).alias("s"), key).agg(F.count(F.lit(1)).alias("rows"))
+    if total <= most_entries:
+        shared = spark.sparkContext.broadcast(Canon.of([tuple(r) for r in listed.collect()]))
+        found = pairs.withColumn(out, _resolver(shared)("n", "s"))
+    else:
+        found = _in_parts(cut_lineage(pairs), listed, -(-total // most_entries), out)
+    found = cut_lineage(found.select(key, F.col("n").alias("__n"), F.col("s").alias("__s"), out, "rows"))
+    return left_join_pairs(keyed, found, key, normalized, surface, out)
+
+
+def left_join_pairs(keyed: DataFrame, found: DataFrame, key: str, normalized: str, surface: str, out: str) -> DataFrame:
+    """Each row with the id of its pair; the few pairs of an outsized share of the rows are broadcast.
+
+    At most 1,000 pairs can hold a thousandth of the rows each, which bounds what is broadcast.
+    """
+    total = found.agg(F.sum("rows")).first()[0] or 0
+    least = max(1_000, total // 1_000)
+    hot, cold = found.where(F.col("rows") >= least), found.where(F.col("rows") < least)
+    same = [F.col("__n").eqNullSafe(F.col(normalized)), F.col("__s").eqNullSafe(F.col(surface))]
+    names = [c for c in keyed.columns if c != key]
+    marked = keyed.join(F.broadcast(hot.select(F.col(key).alias("__k"), "__n", "__s", F.col(out).alias("__hot"))), [F.col(key) == F.col("__k"), *same], "left").drop("__k", "__n", "__s")
+    done = marked.where(F.col("__hot").isNotNull()).select(*names, F.col("__hot").alias(out))
+    rest = marked.where(F.col("__hot").isNull()).drop("__hot").join(cold.select(F.col(key).alias("__k"), "__n", "__s", out), [F.col(key) == F.col("__k"), *same]).select(*names, out)
+    return done.unionByName(rest)
+
+
+def _in_parts(pairs: DataFrame, listed: DataFrame, parts: int, out: str) -> DataFrame:
+    """The pairs with the id that the offers of all parts of the list come to; one part is broadcast at a time."""
+    spark = pairs.sparkSession
+    kind = "array<struct<" + ",".join(c.replace(" ", ":") for c in _OFFER.split(", ")) + ">>"
+    pairs = pairs.withColumn("offers", F.lit(None).cast(kind))
+    for i in range(parts):
+        part = [tuple(r) for r in listed.where(F.pmod(F.xxhash64("heading_id"), F.lit(parts)) == i).collect()]
+        shared = spark.sparkContext.broadcast(Canon.of(part))
+
+        @F.pandas_udf(_OFFER)
+        def offer(normalized: pd.Series, surface: pd.Series) -> pd.DataFrame:
+            rows = [shared.value.evidence(*pair) for pair in zip(normalized, surface)]  # noqa: B023 (run before the next part)
+            return pd.DataFrame(rows, columns=[c.split()[0] for c in _OFFER.split(", ")]).astype({"n_cost": "float64", "s_cost": "float64"})
+
+        pairs = cut_lineage(pairs.withColumn("offers", F.concat(F.coalesce("offers", F.array().cast(kind)), F.array(offer("n", "s")))))
+        shared.unpersist()
+
+    @F.pandas_udf("bigint")
+    def decide(normalized: pd.Series, surface: pd.Series, offers: pd.Series) -> pd.Series:
+        ids = []
+        for n, s, rows in zip(normalized, surface, offers):
+            kept = [tuple(None if v is None or v != v else v for v in (r["n_cost"], r["n_id"], r["s_cost"], r["s_id"], r["below"])) for r in rows]
+            ids.append(settle(nearest(kept), n, s))
+        return pd.Series(ids, dtype="int64")
+
+    return pairs.withColumn(out, decide("n", "s", "offers")).drop("offers")

@@ -31,6 +31,8 @@ NICKNAMES = {
 
 def fold(text: str) -> str:
     """Lower case without accents, soft hyphens and invisible characters."""
+    if text.isascii() and text.isprintable():
+        return text.lower()
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c) and unicodedata.category(c) != "Cf").lower()
 
 

@@ -1,7 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexiloom.llm.headings import Canon, Trie, map_to_list, unwrap
+from lexiloom.llm.headings import Canon, Trie, TwoWay, map_to_list, unwrap
 from lexiloom.llm.names import edits
 
 LIST = [
@@ -13,11 +13,11 @@ LIST = [
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text("abc", min_size=1, max_size=7), max_size=25), st.text("abc", max_size=7), st.integers(1, 2))
 def test_the_automaton_finds_all_within_the_distance(paths, word, most):
-    trie = Trie()
-    for i, p in enumerate(paths):
-        trie.add(p, i)
     expected = {i: edits(word, p, most) for i, p in enumerate(paths)}
-    assert {v: d for d, v in trie.near(word, most)} == {i: d for i, d in expected.items() if d <= most}
+    for trie in (Trie(), TwoWay()):
+        for i, p in enumerate(paths):
+            trie.add(p, i)
+        assert {v: d for d, v in trie.near(word, most)} == {i: d for i, d in expected.items() if d <= most}
 
 
 def test_unwrap():
@@ -47,3 +47,19 @@ def test_mapping_rows(spark):
         assert sorted(((r["id"], r["heading_id"]) for r in out.collect()), key=str) == expected
     assert map_to_list(df.limit(0), "normalized", "surface", headings).count() == 0
     assert {r["heading_id"] for r in map_to_list(df, "normalized", "surface", headings.limit(0)).collect()} == {0}
+
+
+def test_parts_of_a_list_are_compared_by_cost(spark):
+    headings = spark.createDataFrame([(1, "BERLINS", "place"), (2, "BERLIN", "place"), (3, "PARIS", "place")], "heading_id long, heading string, category string")
+    df = spark.createDataFrame([(1, "BERLIN ", None), (2, "Berlyn", ""), (3, "", "pariss"), (4, "Berli", "Berlin (q.v.)"), (5, None, None)], "id long, n string, s string")
+    at_once = sorted((r["id"], r["heading_id"]) for r in map_to_list(df, "n", "s", headings).collect())
+    assert at_once == [(1, 2), (2, 2), (3, 3), (4, 2), (5, 0)]
+    for most in (1, 2):
+        assert sorted((r["id"], r["heading_id"]) for r in map_to_list(df, "n", "s", headings, most_entries=most).collect()) == at_once
+
+
+def test_a_hot_pair_keeps_all_its_rows(spark):
+    headings = spark.createDataFrame([(1, "BERLIN", "place")], "heading_id long, heading string, category string")
+    df = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 7 = 0 THEN concat('x', id) ELSE 'berlin' END AS n", "CASE WHEN id % 2 = 0 THEN '' END AS s")
+    got = map_to_list(df, "n", "s", headings)
+    assert got.count() == 5000 and got.where("heading_id = 1").count() == df.where("n = 'berlin'").count()
