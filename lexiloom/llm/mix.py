@@ -1,11 +1,11 @@
 """Problem 8: mixing sources to target weights by Poisson replication.
 
 Each document draws its number of repetitions from a Poisson distribution by inverting it at a
-hash-seeded uniform number.  Seen the other way round, copy ``k`` of a document comes to be at the
-rate at which the chance of at least ``k`` events passes that number; the rates of a document rise
-with ``k``.  The rate of a source is then found so that the tokens of the copies that it calls forth
-meet the source's goal: a weighted quantile, found by a few rounds of histograms.  Copies beyond
-``max_repeats`` never come to be.
+hash-seeded uniform number: it is repeated as often as the chance of at least so many events is not
+below that number, at most ``max_repeats`` times.  The number rises with the rate, so the rate of a
+source is found that brings its tokens to the source's goal: every round sums the tokens at a row of
+rates between the two that the round before left.  Nothing is written for the copies until the rate
+is known; then each document is exploded by its own number, and all are shuffled once.
 """
 
 from __future__ import annotations
@@ -48,19 +48,18 @@ def goals(sizes: dict[str, int], shares: dict[str, float], repeats: dict[str, in
     return given
 
 
-def critical_rates(chance: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """The rate at which P(at least ``k`` events) reaches ``chance``, by bisection."""
-    low, high = np.zeros(len(chance)), k + 40.0 + 10 * np.sqrt(k)
-    most = int(k.max()) if len(k) else 0
-    for _ in range(56):
-        rate = (low + high) / 2
-        term, below = np.exp(-rate), np.zeros(len(rate))
-        for j in range(most):
-            below += np.where(j < k, term, 0.0)
-            term = term * rate / (j + 1)
-        under = 1.0 - below < chance
-        low, high = np.where(under, rate, low), np.where(under, high, rate)
-    return high
+def chances(rate: float, most: int) -> np.ndarray:
+    """P(at least ``k`` events) for ``k`` from 1 to ``most``; falling, and sums of logarithms, so no rate is too great."""
+    k = np.arange(most)
+    if rate <= 0 or not most:
+        return np.zeros(most)
+    logs = k * math.log(rate) - rate - np.concatenate(([0.0], np.cumsum(np.log(np.maximum(k[1:], 1)))))
+    return np.minimum.accumulate(np.maximum(1.0 - np.cumsum(np.exp(logs)), 0.0))
+
+
+def repetitions(rate: float, most: int, chance: np.ndarray) -> np.ndarray:
+    """How often documents with these uniform numbers are repeated at the rate."""
+    return np.searchsorted(-chances(rate, most), -chance, side="right")
 
 
 def uniform(seed: int, *columns: str) -> Column:
@@ -68,8 +67,8 @@ def uniform(seed: int, *columns: str) -> Column:
     return (F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 
-def count_tokens(documents: DataFrame, targets: DataFrame, automaton: Automaton) -> tuple[DataFrame, dict[str, tuple[float, int]]]:
-    """Columns ``doc_id, source, n_tokens`` of the documents of listed sources, and the target table.
+def count_tokens(documents: DataFrame, targets: DataFrame, automaton: Automaton, with_text: bool = False) -> tuple[DataFrame, dict[str, tuple[float, int]]]:
+    """Columns ``doc_id, source, n_tokens`` (and ``text``) of the documents of listed sources, and the target table.
 
     Copies of a target row count once.  A null share is 0, a null ``max_repeats`` is 1; a null source
     is not listed, and so are the documents without one.
@@ -79,70 +78,72 @@ def count_tokens(documents: DataFrame, targets: DataFrame, automaton: Automaton)
         raise ValueError("the target table is too long")
     listed = {r["source"]: (float(r["target_share"] or 0), 1 if r["max_repeats"] is None else int(r["max_repeats"])) for r in rows}
     wanted = F.broadcast(targets.select("source").where(F.col("source").isNotNull()).distinct())
-    counted = encode_column(documents.select("doc_id", "source", "text").join(wanted, "source", "left_semi"), "text", automaton, "n_tokens", counts_only=True)
-    return cut_lineage(counted), listed
+    rows = documents.select("doc_id", "source", "text").join(wanted, "source", "left_semi")
+    if with_text:
+        rows = rows.withColumn("__encoded", F.col("text"))
+    return cut_lineage(encode_column(rows, "__encoded" if with_text else "text", automaton, "n_tokens", counts_only=True)), listed
 
 
-def _thresholds(copies: DataFrame, goal: dict[str, float], rounds: int = 5, buckets: int = 256) -> dict[str, float]:
-    """For each source the rate whose copies' tokens come nearest to the goal.
+def _rates(drawn: DataFrame, goal: dict[str, float], caps: dict[str, int], rounds: int = 7, points: int = 20) -> dict[str, float]:
+    """For each source the rate at which the tokens of its copies come nearest to the goal.
 
-    Every round counts tokens in ``buckets`` ranges of the range that the round before chose; the
-    driver sees ``buckets`` numbers for each source.
+    Every round sums the tokens at ``points`` rates between the two that the round before left; the
+    driver sees ``points`` numbers for each source.  What is left in the end is narrower than a double
+    can divide much further, and of its two ends the nearer one is taken.
     """
-    spark = copies.sparkSession
-    state = {s: (0.0, 0.0, None) for s in goal}  # lower end, tokens below it, width of a bucket
-    top = {r["source"]: r["top"] for r in copies.groupBy("source").agg(F.max("rate").alias("top")).collect()}
-    state = {s: (0.0, 0.0, (top[s] * (1 + 1e-12) + 1e-12) / buckets) for s in goal if s in top}
+    # at this rate every document has all its repetitions
+    ends = {s: (0.0, caps[s] + 40.0 + 10 * math.sqrt(caps[s])) for s in goal}
+    tokens = {s: (0.0, math.inf) for s in goal}
     for _ in range(rounds):
-        frame = F.broadcast(spark.createDataFrame([(s, low, width) for s, (low, _, width) in state.items()], "source string, low double, width double"))
-        here = copies.join(frame, "source").where((F.col("rate") >= F.col("low")) & (F.col("rate") <= F.col("low") + F.col("width") * buckets))
-        inside = here.withColumn("at", F.least(F.floor((F.col("rate") - F.col("low")) / F.col("width")), F.lit(buckets - 1)))
-        counted = inside.groupBy("source", "at").agg(F.sum("n_tokens").alias("n")).collect()
-        tokens: dict[str, np.ndarray] = {s: np.zeros(buckets) for s in state}
+        grid = {s: np.linspace(low, high, points + 1)[1:] for s, (low, high) in ends.items()}
+
+        def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = {s: np.zeros(points) for s in grid}  # noqa: B023 (run before the next round)
+            for f in frames:
+                for source, rows in f.groupby("source"):
+                    n, chance = rows["n_tokens"].to_numpy(), rows["chance"].to_numpy()
+                    total[source] += [float(n @ repetitions(r, caps[source], chance)) for r in grid[source]]  # noqa: B023
+            yield pd.DataFrame([(s, i, x) for s, xs in total.items() for i, x in enumerate(xs)], columns=["source", "at", "n"])
+
+        # whole numbers below 2 ** 53 add up exactly in any order
+        counted = drawn.select("source", "n_tokens", "chance").mapInPandas(sums, "source string, at int, n double").groupBy("source", "at").agg(F.sum("n").alias("n")).collect()
+        found = {s: np.zeros(points) for s in goal}
         for r in counted:
-            tokens[r["source"]][r["at"]] = r["n"]
-        for s, (low, below, width) in state.items():
-            upto = below + np.cumsum(tokens[s])
-            chosen = min(int(np.searchsorted(upto, goal[s])), buckets - 1)
-            state[s] = (low + chosen * width, float(upto[chosen] - tokens[s][chosen]), width / buckets)
-    # the copies of the last range are taken or left together, whichever is nearer
-    frame = F.broadcast(spark.createDataFrame([(s, low, low + width * buckets) for s, (low, _, width) in state.items()], "source string, low double, high double"))
-    last = copies.join(frame, "source").where((F.col("rate") >= F.col("low")) & (F.col("rate") <= F.col("high"))).groupBy("source").agg(F.sum("n_tokens").alias("n"))
-    extra = {r["source"]: float(r["n"]) for r in last.collect()}
-    out = {}
-    for s, (low, below, width) in state.items():
-        over = below + extra.get(s, 0.0)
-        out[s] = low + width * buckets if abs(over - goal[s]) <= abs(below - goal[s]) else math.nextafter(low, -1)
-    return out
-
-
-def mixture(documents: DataFrame, targets: DataFrame, automaton: Automaton, seed: int = 42) -> tuple[DataFrame, list[tuple]]:
-    """The copies ``doc_id, source, n_tokens, copy_no, rate`` of the mixture, and the shares.
+            found[r["source"]][r["at"]] = r["n"]
+        for s, (low, _) in ends.items():
+            reached = int(np.searchsorted(found[s], goal[s]))
+            at = min(reached, points - 1)
+            below = (low, tokens[s][0]) if at == 0 else (float(grid[s][at - 1]), float(found[s][at - 1]))
+            ends[s], tokens[s] = (below[0], float(grid[s][at])), (below[1], float(found[s][at]))
+    return {s: ends[s][1] if abs(tokens[s][1] - goal[s]) <= abs(tokens[s][0] - goal[s]) else ends[s][0] for s in goal}
+
+
+def mixture(documents: DataFrame, targets: DataFrame, automaton: Automaton, seed: int = 42, with_text: bool = False) -> tuple[DataFrame, list[tuple]]:
+    """The documents of the mixture, ``doc_id, source, n_tokens, copies`` (and ``text``), and the shares.
 
     Shares are tuples ``(source, target_share, max_repeats, source_tokens, goal_tokens)`` for every
     listed source; one without documents has 0 tokens.  Documents of no tokens never repeat.
     """
-    counted, listed = count_tokens(documents, targets, automaton)
+    counted, listed = count_tokens(documents, targets, automaton, with_text)
     sizes = {s: 0 for s in listed} | {r["source"]: int(r["n"]) for r in counted.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     goal = goals(sizes, {s: x[0] for s, x in listed.items()}, {s: x[1] for s, x in listed.items()})
     shares = [(s, listed[s][0], listed[s][1], sizes[s], goal[s]) for s in sorted(listed)]
+    wanted = {s: g for s, g in goal.items() if g > 0}
+    caps = {s: listed[s][1] for s in wanted}
+    drawn = counted.where((F.col("n_tokens") > 0) & F.col("source").isin(list(wanted) or [""])).withColumn("chance", uniform(seed, "doc_id"))
+    rates = _rates(drawn, wanted, caps) if wanted else {}
+
+    @F.pandas_udf("int")
+    def copies(source: pd.Series, chance: pd.Series) -> pd.Series:
+        out = np.zeros(len(source), dtype="int64")
+        for s, rows in chance.groupby(source):
+            out[rows.index] = repetitions(rates[s], caps[s], rows.to_numpy())
+        return pd.Series(out)
+
+    return drawn.withColumn("copies", copies("source", "chance")).drop("chance").where("copies > 0"), shares
+
 
-    def rates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(rate=critical_rates(f["chance"].to_numpy(), f["copy_no"].to_numpy())).drop(columns="chance")
-
-    spark = counted.sparkSession
-    caps = spark.createDataFrame([(s, x[1]) for s, x in listed.items() if goal[s] > 0] or [("", 0)], "source string, cap int")
-    drawn = counted.where(F.col("n_tokens") > 0).join(F.broadcast(caps.where(F.col("cap") > 0)), "source")
-    drawn = drawn.select("doc_id", "source", "n_tokens", uniform(seed, "doc_id").alias("chance"), F.explode(F.sequence(F.lit(1), F.col("cap"))).alias("copy_no"))
-    copies = cut_lineage(drawn.select("doc_id", "source", "n_tokens", "copy_no", "chance").mapInPandas(rates, "doc_id bigint, source string, n_tokens bigint, copy_no int, rate double"))
-    limits = _thresholds(copies, {s: g for s, g in goal.items() if g > 0})
-    bound = spark.createDataFrame(list(limits.items()) or [("", -1.0)], "source string, bound double")
-    chosen = copies.join(F.broadcast(bound), "source").where(F.col("rate") <= F.col("bound")).drop("bound")
-    return chosen, shares
-
-
-def shuffled(chosen: DataFrame, documents: DataFrame, seed: int = 42) -> DataFrame:
-    """The mixture with its texts, in a global order that a hash of document and copy decides."""
-    full = chosen.join(documents.select("doc_id", "text"), "doc_id")
-    return full.withColumn("shuffle_key", F.xxhash64(F.lit(seed + 1), "doc_id", "copy_no")).orderBy("shuffle_key", "doc_id", "copy_no")
+def shuffled(chosen: DataFrame, seed: int = 42) -> DataFrame:
+    """Each copy as a row with ``copy_no``, in a global order that a hash of document and copy decides."""
+    rows = chosen.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no")).drop("copies")
+    return rows.withColumn("shuffle_key", F.xxhash64(F.lit(seed + 1), "doc_id", "copy_no")).orderBy("shuffle_key", "doc_id", "copy_no")

@@ -77,16 +77,22 @@ def byte_pieces(text: Column, capacity: int) -> Column:
     return F.when(size > capacity, cut(F.when(size > capacity, text))).when(text.isNotNull(), whole)
 
 
-def pack(items: DataFrame, item_id: str, size: str, capacity: int, nearly_full: float = 0.98, per_task: int = 20_000, max_rounds: int = 8) -> DataFrame:
+def pack(items: DataFrame, item_id: list[str], size: str, capacity: int, nearly_full: float = 0.98, per_task: int = 20_000, least_saving: float = 0.001) -> DataFrame:
     """``items`` with ``container_id`` and ``container_fill``.
 
-    ``item_id`` must be unique and not null; rows of a null size are left out.  A size of 0 counts as
-    1, so that a container holds at most ``capacity`` items, and one above the capacity is an error.
-    A task gets about ``per_task`` bins in every round, whatever the size of the input; the rounds
-    end when one task has packed all that was left or a round saves less than 1 % of its bins.
+    The columns ``item_id`` together must be unique and not null; a container is named by the least of
+    its items' ids, written with ``/`` between the columns.  Rows of a null size are left out.  A size of
+    0 counts as 1, so that a container holds at most ``capacity`` items, and one above the capacity is
+    an error.  ``items`` is written down once, so what it is made from is read once.
+
+    A task gets about ``per_task`` bins in every round, whatever the size of the input, and bins meet
+    others in every round.  The rounds end when one task has packed all that was left, or when a round
+    has saved less than ``least_saving`` of its bins: then what is left does not fit together.
     """
-    bins_schema = "bin long, fill int, members array<long>"
-    work = items.where(F.col(size).isNotNull()).select(F.col(item_id).cast("long").alias("bin"), F.greatest(F.lit(1), F.col(size).cast("int")).alias("fill"))
+    bins_schema = "bin string, fill int, members array<string>"
+    key = F.concat_ws("/", *[F.col(c).cast("string") for c in item_id])
+    items = cut_lineage(items.where(F.col(size).isNotNull()).withColumn("__item", key))
+    work = items.select(F.col("__item").alias("bin"), F.greatest(F.lit(1), F.col(size).cast("int")).alias("fill"))
     work = work.withColumn("fill", F.when(F.col("fill") <= capacity, F.col("fill")).otherwise(F.raise_error(F.lit("an item exceeds the capacity")).cast("int")))
     bins = work.withColumn("members", F.array("bin"))
 
@@ -103,19 +109,20 @@ def pack(items: DataFrame, item_id: str, size: str, capacity: int, nearly_full:
         yield pd.DataFrame(out, columns=["bin", "fill", "members"])
 
     final: list[DataFrame] = []
-    count = bins.count()
-    for _ in range(max_rounds):
+    count, turn = bins.count(), 0
+    while True:
         tasks = max(1, math.ceil(count / per_task))
-        packed = cut_lineage(bins.repartition(tasks, F.xxhash64("bin")).mapInPandas(merge, bins_schema))
+        packed = cut_lineage(bins.repartition(tasks, F.xxhash64(F.lit(turn), "bin")).mapInPandas(merge, bins_schema))
         full = F.col("fill") >= F.lit(int(capacity * nearly_full))
         final.append(packed.where(full))
         bins = packed.where(~full)
-        before, (count, made) = count, packed.agg(F.count(F.when(~full, 1)), F.count(F.lit(1))).first()
-        if tasks == 1 or count == 0 or made > 0.99 * before:
+        before, turn = count, turn + 1
+        count, made = packed.agg(F.count(F.when(~full, 1)), F.count(F.lit(1))).first()
+        if tasks == 1 or count == 0 or made > (1 - least_saving) * before:
             break
     final.append(bins)
     done = final[0]
     for more in final[1:]:
         done = done.unionByName(more)
-    homes = done.select(F.col("bin").alias("container_id"), F.col("fill").alias("container_fill"), F.explode("members").alias(item_id))
-    return items.join(homes, item_id)
+    homes = done.select(F.col("bin").alias("container_id"), F.col("fill").alias("container_fill"), F.explode("members").alias("__item"))
+    return items.join(homes, "__item").drop("__item")

@@ -130,8 +130,7 @@ def _containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = rows.select(F.col("id").alias("article_id"), "__version", pack.byte_pieces(F.col("body"), CAPACITY).alias("pieces"))
     valid = sized.groupBy("article_id").agg(F.max_by(F.struct("pieces"), "__version").alias("v"))
     items = valid.select("article_id", F.size("v.pieces").alias("n_pieces"), F.explode("v.pieces").alias("p")).select("article_id", "n_pieces", "p.*")
-    items = items.withColumn("item_id", F.xxhash64("article_id", "piece_no"))
-    return pack.pack(items, "item_id", "piece_bytes", CAPACITY)
+    return pack.pack(items, ["article_id", "piece_no"], "piece_bytes", CAPACITY)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,15 +189,15 @@ def p7_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture in its shuffled order."""
     documents = table(spark, sf_dir, "documents")
-    chosen, _ = mix.mixture(documents, table(spark, sf_dir, "mix_targets"), automaton())
-    return mix.shuffled(chosen, documents).select("shuffle_key", "doc_id", "copy_no", "source", "n_tokens", "text")
+    chosen, _ = mix.mixture(documents.select("doc_id", "source", "text"), table(spark, sf_dir, "mix_targets"), automaton(), with_text=True)
+    return mix.shuffled(chosen).select("shuffle_key", "doc_id", "copy_no", "source", "n_tokens", "text")
 
 
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share that each source has of the mixture's tokens."""
     chosen, shares = mix.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), automaton())
     listed = spark.createDataFrame(shares, "source string, target_share double, max_repeats int, source_tokens bigint, goal_tokens double")
-    sums = chosen.groupBy("source").agg(F.sum("n_tokens").alias("mixed_tokens"), F.count(F.lit(1)).alias("n_copies"), F.countDistinct("doc_id").alias("n_documents"))
+    sums = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mixed_tokens"), F.sum(F.col("copies").cast("bigint")).alias("n_copies"), F.count(F.lit(1)).alias("n_documents"))
     rows = listed.join(sums, "source", "left").fillna(0, ["mixed_tokens", "n_copies", "n_documents"])
     total = F.sum("mixed_tokens").over(mix_window())
     return rows.withColumn("actual_share", F.when(total > 0, F.col("mixed_tokens") / total).otherwise(0.0))

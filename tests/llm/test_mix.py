@@ -26,12 +26,17 @@ def inverted(chance, rate):
 
 @settings(max_examples=200, deadline=None)
 @given(st.floats(0.001, 0.999), st.floats(0.01, 12))
-def test_critical_rates_are_the_inverted_distribution(chance, rate):
-    ks = np.arange(1, 40)
-    rates = mix.critical_rates(np.full(len(ks), chance), ks)
-    assert np.all(np.diff(rates) > 0)
-    if np.min(np.abs(rates - rate)) > 1e-9:
-        assert int((rates <= rate).sum()) == inverted(chance, rate)
+def test_repetitions_are_the_inverted_distribution(chance, rate):
+    edge = np.abs(mix.chances(rate, 60) - chance).min()
+    if edge > 1e-12:
+        assert mix.repetitions(rate, 60, np.array([chance]))[0] == inverted(chance, rate)
+        assert mix.repetitions(rate, 2, np.array([chance]))[0] == min(2, inverted(chance, rate))
+
+
+def test_great_rates_do_not_underflow():
+    counts = mix.repetitions(1000.0, 5000, np.array([0.999, 0.5, 0.001]))
+    assert 890 < counts[0] < 910 and abs(counts[1] - 1000) <= 1 and 1090 < counts[2] < 1110
+    assert mix.repetitions(0.0, 5, np.array([0.5]))[0] == 0 and len(mix.chances(1.0, 0)) == 0
 
 
 def test_shares_are_met_and_caps_kept(spark):
@@ -43,14 +48,22 @@ def test_shares_are_met_and_caps_kept(spark):
     rows = chosen.collect()
     sizes = {s[0]: s[3] for s in shares}
     total = sum(sizes.values())
-    got = {s: sum(r["n_tokens"] for r in rows if r["source"] == s) for s in sizes}
+    got = {s: sum(r["n_tokens"] * r["copies"] for r in rows if r["source"] == s) for s in sizes}
     # the absent source's share goes to the others in proportion
     assert abs(got["big"] - total * 5 / 9) < 15 and abs(got["small"] - total * 4 / 9) < 15 and got["absent"] == got["tiny"] == 0
-    copies = [(r["doc_id"], r["copy_no"]) for r in rows]
-    assert len(set(copies)) == len(copies) and all(r["copy_no"] <= (1 if r["source"] == "big" else 2) for r in rows)
-    assert {(d, 1) for d, k in copies if k == 2} <= set(copies)
-    again = mix.shuffled(mix.mixture(documents, wanted, automaton())[0], documents).collect()
-    assert sorted((r["doc_id"], r["copy_no"]) for r in again) == sorted(copies)
-    assert [r["shuffle_key"] for r in again] == sorted(r["shuffle_key"] for r in again)
+    assert len({r["doc_id"] for r in rows}) == len(rows) and all(1 <= r["copies"] <= (1 if r["source"] == "big" else 2) for r in rows)
+    again = mix.shuffled(mix.mixture(documents, wanted, automaton(), with_text=True)[0]).collect()
+    assert sorted((r["doc_id"], r["copy_no"]) for r in again) == sorted((r["doc_id"], k) for r in rows for k in range(1, r["copies"] + 1))
+    assert [r["shuffle_key"] for r in again] == sorted(r["shuffle_key"] for r in again) and all(r["text"] for r in again)
     empty, _ = mix.mixture(documents.limit(0), wanted, automaton())
     assert empty.count() == 0
+
+
+def test_a_small_source_may_be_repeated_very_often(spark):
+    docs = [(0, "rare words", "tiny")] + [(i, "word " * 20, "big") for i in range(1, 400)]
+    documents = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    wanted = spark.createDataFrame([("tiny", 0.5, 2000), ("big", 0.5, 1)], "source string, target_share double, max_repeats int")
+    chosen, shares = mix.mixture(documents, wanted, automaton())
+    tiny = next(r for r in chosen.collect() if r["doc_id"] == 0)
+    goal = next(s[4] for s in shares if s[0] == "tiny")
+    assert tiny["copies"] > 745 and abs(tiny["copies"] * tiny["n_tokens"] - goal) <= tiny["n_tokens"]

@@ -36,16 +36,16 @@ def test_cut_bytes_spells_the_text(text):
 def test_rounds_merge_what_is_left(spark):
     sizes = [(i, (i * 37) % 90 + 5) for i in range(400)]
     df = spark.createDataFrame([*sizes, (1000, None), (1001, 0)], "item long, size int")
-    out = pack(df, "item", "size", 100, per_task=60).collect()
+    out = pack(df, ["item"], "size", 100, per_task=60).collect()
     assert sorted(r["item"] for r in out) == [*range(400), 1001]
     fills = {}
     for r in out:
         fills[r["container_id"]] = fills.get(r["container_id"], 0) + max(1, r["size"])
     assert all(v <= 100 for v in fills.values()) and all(fills[r["container_id"]] == r["container_fill"] for r in out)
     assert len(fills) <= 1.08 * math.ceil(sum(s for _, s in sizes) / 100)
-    assert pack(df.limit(0), "item", "size", 100).count() == 0
+    assert pack(df.limit(0), ["item"], "size", 100).count() == 0
     with pytest.raises(Exception, match="exceeds"):
-        pack(spark.createDataFrame([(1, 101)], "item long, size int"), "item", "size", 100).count()
+        pack(spark.createDataFrame([(1, 101)], "item long, size int"), ["item"], "size", 100).count()
 
 
 def test_byte_pieces(spark):
@@ -53,3 +53,10 @@ def test_byte_pieces(spark):
     got = {r["id"]: r["p"] for r in df.select("id", byte_pieces(F.col("body"), 10).alias("p")).collect()}
     assert got[1] is None and got[2][0]["piece_bytes"] == 0 and len(got[3]) == 1
     assert [p["piece_bytes"] for p in got[4]] == [10, 10, 4]
+
+
+def test_ids_of_several_columns_and_items_that_do_not_fit_together(spark):
+    df = spark.createDataFrame([(a, b, 60) for a in range(40) for b in range(3)], "a long, b int, size int")
+    out = pack(df, ["a", "b"], "size", 100, per_task=10).collect()
+    assert sorted((r["a"], r["b"]) for r in out) == [(a, b) for a in range(40) for b in range(3)]
+    assert len({r["container_id"] for r in out}) == 120 and all(r["container_id"] == f"{r['a']}/{r['b']}" for r in out)
