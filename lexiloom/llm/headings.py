@@ -169,19 +169,18 @@ class Trie:
             stack += self.arcs[node].values()
         return out
 
-    def near(self, word: str, most: int, early: int | None = None) -> list[tuple[int, int]]:
+    def near(self, word: str, most: int, floors: tuple[int, ...] | None = None) -> list[tuple[int, int]]:
         """``(distance, value)`` of every path within ``most`` errors of the word.
 
-        With ``early``, of those that take no more than so many errors before the middle of the word.
+        With ``floors``, of those that are at position ``floors[d]`` or later when they have ``d`` errors.
         """
         size = len(word)
-        late = -1 if early is None else -1 << size // 2  # positions that may be reached with more
-        early = most if early is None else early
+        late = [-1 << f for f in floors or (0,) * (most + 1)]
         masks: dict[str, int] = {}
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | 1 << i
         limit, last = (1 << size + 1) - 1, 1 << size
-        start = tuple((1 << d + 1) - 1 & (-1 if d <= early else late) for d in range(most + 1))
+        start = tuple((1 << d + 1) - 1 & late[d] for d in range(most + 1))
         empty = (0,) * (most + 1)
         best: dict[int, int] = {}
         stack = [(0, start, empty, 0, size)]  # node, positions by errors, those before the last arc, mask of the last arc, letters that should follow
@@ -205,14 +204,14 @@ class Trie:
                 row = [(now[0] & m) << 1]
                 for d in range(1, most + 1):
                     low = now[d - 1]
-                    row.append(((now[d] & m) << 1 | low | low << 1 | row[d - 1] << 1 | (before[d - 1] & m & mask >> 1) << 2) & limit & (-1 if d <= early else late))
+                    row.append(((now[d] & m) << 1 | low | low << 1 | row[d - 1] << 1 | (before[d - 1] & m & mask >> 1) << 2) & limit & late[d])
                 if any(row):
                     stack.append((child, tuple(row), now, m, rest - 1))
         return [(d, v) for v, d in best.items()]
 
 
     def near_one(self, word: str) -> list[tuple[int, int]]:
-        """``near(word, 1, 0)``, the commonest case, with its two sets of positions by name."""
+        """``near(word, 1, (0, len(word) // 2))``, the commonest case, with its two sets of positions by name."""
         size = len(word)
         masks: dict[str, int] = {}
         for i, c in enumerate(word):
@@ -244,8 +243,9 @@ class Trie:
 class TwoWay:
     """The trie of paths and that of the paths read backwards.
 
-    Of up to ``most`` errors at most half are met before the middle in one of the two directions, so
-    both walks keep close to single paths in their first half.
+    One error is met after the middle in one of the two directions.  Of two errors, either none is in
+    the first third in one direction, or one is there and the other in the last third.  So all walks
+    keep close to single paths for a part of the word.
     """
 
     def __init__(self) -> None:
@@ -258,10 +258,15 @@ class TwoWay:
     def near(self, word: str, most: int) -> list[tuple[int, int]]:
         """As of ``Trie``, all within the distance."""
         best: dict[int, int] = {}
-        one = most == 1
-        onward = self.onward.near_one(word) if one else self.onward.near(word, most, most // 2)
-        back = self.backward.near_one(word[::-1]) if one else self.backward.near(word[::-1], most, most // 2)
-        for d, v in onward + back:
+        if most == 1:
+            found = self.onward.near_one(word) + self.backward.near_one(word[::-1])
+        elif most == 2:
+            third = len(word) // 3
+            ends = (0, third, third)
+            found = self.onward.near(word, 2, ends) + self.backward.near(word[::-1], 2, ends) + self.onward.near(word, 2, (0, 0, len(word) - third))
+        else:
+            found = self.onward.near(word, most)
+        for d, v in found:
             best[v] = min(d, best.get(v, d))
         return [(d, v) for v, d in best.items()]
 

@@ -10,8 +10,8 @@ LIST = [
 ]
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.text("abc", min_size=1, max_size=7), max_size=25), st.text("abc", max_size=7), st.integers(1, 2))
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text("abc", min_size=1, max_size=7), max_size=25), st.text("abc", max_size=7), st.integers(1, 3))
 def test_the_automaton_finds_all_within_the_distance(paths, word, most):
     expected = {i: edits(word, p, most) for i, p in enumerate(paths)}
     for trie in (Trie(), TwoWay()):
