@@ -119,7 +119,7 @@ def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_misreadings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The misread word forms with the words they stand for."""
-    return scan.misread_forms(scan.counts(scan.long_pages(table(spark, sf_dir, "source_pages"))))
+    return scan.noise(scan.long_pages(table(spark, sf_dir, "source_pages")))[1]
 
 
 # --- 6: containers -----------------------------------------------------------------------------
