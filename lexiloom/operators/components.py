@@ -22,10 +22,11 @@ def _minimum(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """Columns ``node, component``: every node of ``edges(u, v)`` with the least node it reaches.
 
-    Null ends and loops are left out; an isolated node has no edge and hence no row.
+    Null ends and loops are left out; an isolated node has no edge and hence no row.  The rounds grow
+    as the logarithm of the longest chain; if they do not end within ``max_rounds``, that is an error.
     """
     edges = edges.select("u", "v").where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
     edges = cut_lineage(edges.distinct())
@@ -44,5 +45,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
         if state == last:
             break
         last = state
+    else:
+        raise RuntimeError(f"the components have not settled in {max_rounds} rounds")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(nodes.select(F.col("component").alias("node"), "component").distinct())

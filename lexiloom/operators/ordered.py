@@ -74,3 +74,14 @@ def next_known(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     rows = rows.withColumn(out, F.first("__value", ignorenulls=True).over(after))
     joined = _with_carry(rows, keys, starts, F.first("__start", ignorenulls=True).over(following), count)
     return joined.withColumn(out, F.coalesce(F.col(out), F.col("__carry"))).drop(BLOCK, "__carry", "__value")
+
+
+def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, blocks: int | None = None) -> DataFrame:
+    """``df`` with ``out``: the ``value`` of the row before within its key; null for the first."""
+    rows, count = _blocks(df, keys, order, blocks)
+    before = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    ends = rows.groupBy(*keys, BLOCK).agg(F.max_by(value, F.struct(*order)).alias("__end"))
+    carried = F.lag("__end").over(Window.partitionBy(*keys).orderBy(BLOCK))
+    rows = rows.withColumn("__first", F.row_number().over(before) == 1).withColumn(out, F.lag(value).over(before))
+    joined = _with_carry(rows, keys, ends, carried, count)
+    return joined.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col(out))).drop(BLOCK, "__carry", "__first")

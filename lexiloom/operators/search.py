@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as X
+from lexiloom.operators.ordered import previous
 
 
 def terms(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -64,9 +67,12 @@ def ranked(df: DataFrame, key: str, title: str, body: str, question: str, limit:
 
 
 def deltas(found: DataFrame, key: str) -> DataFrame:
-    """Columns ``term, key, gap``: how many ids lie between a posting and the one before it."""
-    before = F.lag(key).over(Window.partitionBy("term").orderBy(key))
-    return found.withColumn("gap", F.coalesce(F.col(key) - before - 1, F.col(key)))
+    """Columns ``term, key, gap``: how many ids lie between a posting and the one before it.
+
+    The postings of a word that is everywhere are spread over blocks.
+    """
+    rows = previous(found.select("term", key), ["term"], [key], key, "__before")
+    return rows.select("term", key, F.coalesce(F.col(key) - F.col("__before") - 1, F.col(key)).alias("gap"))
 
 
 #: The 64 digits of postings.
@@ -94,3 +100,48 @@ def unvarint(text: str) -> list[int]:
             out.append(n)
             n, shift = 0, 0
     return out
+
+
+@dataclass
+class Question:
+    """A question taken apart: its words, and what its filters ask for."""
+
+    words: list[str]
+    volume: int | None = None
+    by: str | None = None
+
+
+def parse_question(text: str) -> Question:
+    """``vol:4``, ``by:smith`` and ``by:"john smith"`` are filters, the rest are words; a filter of no use is a word."""
+    words, volume, by = [], None, None
+    for name, quoted, plain in re.findall(r'(?:\b(vol|by):)?(?:"([^"]*)"|(\S+))', text):
+        value = quoted or plain
+        if name == "vol" and value.isdigit():
+            volume = int(value)
+        elif name == "by" and value.strip():
+            by = value.strip()
+        else:
+            words += re.findall(r"\w+", f"{name}:{value}" if name else value)
+    return Question([w.lower() for w in words], volume, by)
+
+
+def ask(articles: DataFrame, authors: DataFrame, question: str, key: str = "id") -> DataFrame:
+    """The ``key`` of the articles that a question finds, plates excluded.
+
+    ``articles`` has ``key, volume, article_type, title, body``; every word must be in title or body.
+    ``authors`` has ``key, full_name``; *by* asks for its words in one author's name.
+    """
+    asked = parse_question(question)
+    rows = articles.where("article_type IS NULL OR article_type <> 'plate'")
+    if asked.volume is not None:
+        rows = rows.where(F.col("volume") == asked.volume)
+    text = F.lower(X.fold_accents(F.concat_ws(" ", "title", "body")))
+    for word in asked.words:
+        rows = rows.where(text.contains(F.lower(X.fold_accents(F.lit(word)))))
+    if asked.by:
+        name = F.concat(F.lit(" "), F.regexp_replace(F.lower(X.fold_accents("full_name")), "[^a-z]+", " "), F.lit(" "))
+        wrote = authors
+        for word in re.findall("[a-z]+", asked.by.lower()):
+            wrote = wrote.where(name.contains(f" {word} "))
+        rows = rows.join(wrote.select(key), key, "left_semi")
+    return rows.select(key)

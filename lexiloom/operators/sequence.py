@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 
 import pandas as pd
@@ -80,6 +82,16 @@ def unique_ids(df: DataFrame, base: str, other: str, order: Sequence[str], out:
     return kept.select(*df.columns, out).unionByName(claimed.select(*df.columns, out)).unionByName(rest.select(*df.columns, out))
 
 
+def reachable(values: Sequence[float | None]) -> list[bool]:
+    """For each value whether at least half of the later ones are not below it; a null is not."""
+    later: list[float] = []
+    out = []
+    for v in reversed(values):
+        out.append(v is not None and 2 * (len(later) - bisect_left(later, v)) >= len(later))
+        insort(later, float("-inf") if v is None else v)
+    return out[::-1]
+
+
 def rising(df: DataFrame, key: str, order: str, value: str, schema: str) -> DataFrame:
     """``df`` with ``kept``: whether the value is greater than the last kept one and not beyond what can follow.
 
@@ -89,11 +101,10 @@ def rising(df: DataFrame, key: str, order: str, value: str, schema: str) -> Data
 
     def scan(frame: pd.DataFrame) -> pd.DataFrame:
         rows = frame.sort_values(order, kind="stable")
-        values = rows[value].tolist()
+        values = [None if pd.isna(v) else v for v in rows[value]]
         kept, last = [], float("-inf")
-        for i, v in enumerate(values):
-            later = values[i + 1 :]
-            fine = v is not None and v > last and 2 * sum(x >= v for x in later) >= len(later)
+        for v, fine in zip(values, reachable(values)):
+            fine = fine and v > last
             kept.append(bool(fine))
             last = v if fine else last
         return rows.assign(kept=kept)
@@ -141,26 +152,44 @@ def known_order(df: DataFrame, key: str, order: str, name: str, openers: list[li
     return df.groupBy(key).applyInPandas(walk, schema)
 
 
-def locate(letters: str, signs: list[str], expected: list[int], beam: int = 48, gap: float = 4.0) -> list[int | None]:
-    """Places of page signatures in a text, rising, as near to the expected places as possible.
+def locate(text: str, signs: Sequence[str], expected: Sequence[int]) -> list[int | None]:
+    """Places of signs in a text that never go back: as many as can be placed, as near as can be to where they are expected.
 
-    Every sign may stand at any of its occurrences or be left out at the price ``gap`` (in units of
-    a thousand characters off); the cheapest ``beam`` states are kept after each sign.
+    The candidates are all occurrences of all signs.  A chain of them is best that has the most, and of
+    those the one with the least sum of distances; the best chain that ends at or before a place is
+    looked up in a tree of minima over places, so the search is exact and takes the number of
+    occurrences times its logarithm.  A sign that the chain leaves out is null.
     """
-    states: list[tuple[float, int, list[int | None]]] = [(0.0, -1, [])]
-    for sign, wanted in zip(signs, expected):
-        places, at = [], letters.find(sign) if sign else -1
-        while at >= 0:
-            places.append(at)
-            at = letters.find(sign, at + 1)
-        grown: dict[int, tuple[float, int, list[int | None]]] = {}
-        for cost, last, chosen in states:
-            options = [(cost + gap, last, [*chosen, None])] + [(cost + abs(p - wanted) / 1000, p, [*chosen, p]) for p in places if p > last]
-            for option in options:
-                if option[1] not in grown or option[0] < grown[option[1]][0]:
-                    grown[option[1]] = option
-        states = sorted(grown.values(), key=lambda s: (s[0], s[1]))[:beam]
-    return min(states, key=lambda s: (s[0], s[1]))[2] if states else []
+    found = [[m.start() for m in re.finditer(f"(?={re.escape(s)})", text)] if s else [] for s in signs]
+    places = sorted({p for ps in found for p in ps})
+    rank = {p: i + 1 for i, p in enumerate(places)}
+    none = (0, 0, -1)
+    tree = [none] * (len(places) + 1)  # of chains: minus their length, their distances, their last link
+    links: list[tuple[int, int, int]] = []  # sign, place, link before
+    for sign, (ps, wanted) in enumerate(zip(found, expected)):
+        new = []
+        for p in ps:
+            best, i = none, rank[p]
+            while i:
+                best = min(best, tree[i], key=lambda c: c[:2])
+                i &= i - 1
+            new.append((p, (best[0] - 1, best[1] + abs(p - wanted), len(links))))
+            links.append((sign, p, best[2]))
+        for p, chain in new:  # a sign is placed once: its own places are no beginning for each other
+            i = rank[p]
+            while i < len(tree):
+                if chain[:2] < tree[i][:2]:
+                    tree[i] = chain
+                i += i & -i
+    best, i = none, len(places)
+    while i:
+        best = min(best, tree[i], key=lambda c: c[:2])
+        i &= i - 1
+    out: list[int | None] = [None] * len(signs)
+    at = best[2]
+    while at >= 0:
+        sign, out[sign], at = links[at][0], links[at][1], links[at][2]
+    return out
 
 
 def clamp(found: list[int | None], expected: list[int], size: int) -> list[int]:

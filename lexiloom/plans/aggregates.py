@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as X
+from lexiloom.functions.types import rows
 from lexiloom.operators import sequence, votes
 from lexiloom.operators.intervals import first_wins
 from lexiloom.operators.ordered import running_sum
@@ -42,9 +45,11 @@ def ag2(spark, d):
     return votes.mode(rows.select("id", F.lower(F.trim("surface_text")).alias("alias"), F.upper(F.trim("normalized_target")).alias("t")), ["alias"], "t", F.col("id"), "target")
 
 
-@query("ag3_unambiguous_section", f"WITH {VA} SELECT section_name, min(title) AS title FROM va WHERE section_name IS NOT NULL AND title IS NOT NULL GROUP BY 1 HAVING count(DISTINCT title) = 1")
+@query("ag3_unambiguous_section", f"WITH {VA} SELECT volume || ' ' || section_name AS section, min(title) AS title FROM va WHERE section_name IS NOT NULL AND title IS NOT NULL GROUP BY 1 HAVING count(DISTINCT title) = 1")
 def ag3(spark, d):
-    return votes.unambiguous(valid(spark, d), "section_name", "title").select("section_name", "title")
+    """Sections of a volume that only one article has."""
+    rows = valid(spark, d).select(F.concat_ws(" ", F.col("volume").cast("string"), F.col("section_name")).alias("section"), "title", "section_name", "volume")
+    return votes.unambiguous(rows.where("section_name IS NOT NULL AND volume IS NOT NULL"), "section", "title").select("section", "title")
 
 
 @query("ag4_unique_titles", f"WITH {VA} SELECT regexp_replace(upper(strip_accents(title)), '[^A-Z0-9]+', '', 'g') AS k, min(id) AS id FROM va GROUP BY 1 HAVING count(DISTINCT id) = 1")
@@ -240,7 +245,12 @@ def wn6(spark, d):
     return runs.groupBy("volume", "island").agg(F.min("off").alias("off"), F.count(F.lit(1)).alias("n_pages"))
 
 
-@query("wn7_rising")
+#: The readings of each volume in order, for walks by recursion.
+_WALK = f"WITH RECURSIVE {_READ}, s AS (SELECT *, row_number() OVER (PARTITION BY volume ORDER BY page_number, id) AS i, lead(off) OVER (PARTITION BY volume ORDER BY page_number, id) AS following FROM o)"
+
+
+@query("wn7_rising", f"""{_WALK}, q AS (SELECT a.volume, a.i, any_value(a.id) AS id, any_value(a.printed) AS printed, 2 * count(*) FILTER (b.printed >= a.printed) >= count(b.i) AS fine FROM s a LEFT JOIN s b ON b.volume = a.volume AND b.i > a.i GROUP BY 1, 2),
+w AS (SELECT volume, i, id, printed, fine AS kept, CASE WHEN fine THEN printed ELSE -1 END AS last FROM q WHERE i = 1 UNION ALL SELECT q.volume, q.i, q.id, q.printed, q.fine AND q.printed > w.last, CASE WHEN q.fine AND q.printed > w.last THEN q.printed ELSE w.last END FROM w JOIN q ON q.volume = w.volume AND q.i = w.i + 1) SELECT id, printed, kept FROM w""")
 def wn7(spark, d):
     rows = _readings(spark, d).select("volume", "id", "at", "printed")
     return sequence.rising(rows, "volume", "at", "printed", "volume int, id bigint, at bigint, printed int, kept boolean").select("id", "printed", "kept")
@@ -252,7 +262,8 @@ def wn8(spark, d):
     return sequence.fill_gaps(_readings(spark, d), ["volume"], "page_number", "printed")
 
 
-@query("wn9_plus_one_pins")
+@query("wn9_plus_one_pins", f"""{_WALK}, w AS (SELECT volume, i, id, coalesce(off = following, FALSE) AS kept, CASE WHEN off = following THEN off END AS current FROM s WHERE i = 1
+UNION ALL SELECT s.volume, s.i, s.id, CASE WHEN w.current IS NULL THEN coalesce(s.off = s.following, FALSE) ELSE s.off - w.current BETWEEN 0 AND 1 END, CASE WHEN (w.current IS NULL AND s.off = s.following) OR s.off - w.current BETWEEN 0 AND 1 THEN s.off ELSE w.current END FROM w JOIN s ON s.volume = w.volume AND s.i = w.i + 1) SELECT id, kept FROM w""")
 def wn9(spark, d):
     """Readings that continue the walk of one printed page to a page, by volume."""
     rows = _readings(spark, d).select("volume", "id", "at", "off")
@@ -331,7 +342,7 @@ def wn15(spark, d):
     return sequence.first_met_number(rows, ["article_id"], "name", "id", "number").select("id", "number")
 
 
-@query("wn17_known_order")
+@query("wn17_known_order", "WITH RECURSIVE s AS (SELECT category AS part, heading, substr(heading, 1, 1) AS letter, row_number() OVER (PARTITION BY category ORDER BY heading) AS i FROM headings), w AS (SELECT part, heading, i, CASE WHEN letter = 'A' THEN 0 ELSE -1 END AS category FROM s WHERE i = 1 UNION ALL SELECT s.part, s.heading, s.i, CASE WHEN s.letter = chr(66 + w.category) THEN w.category + 1 ELSE w.category END FROM w JOIN s ON s.part = w.part AND s.i = w.i + 1) SELECT part, heading, category FROM w")
 def wn17(spark, d):
     """The letter that each heading's volume order has reached, advancing one letter at a time."""
     rows = table(spark, d, "headings").select("category", "heading", F.substring("heading", 1, 1).alias("letter"))
@@ -339,11 +350,34 @@ def wn17(spark, d):
     return sequence.known_order(rows.withColumnRenamed("category", "part"), "part", "heading", "letter", openers, "part string, heading string, letter string, category int").select("part", "heading", "category")
 
 
-@query("wn18_table_grid")
+@F.pandas_udf(rows("row:int, col:int, cell:string"))
+def _grids(texts: pd.Series) -> pd.Series:
+    """The columns of figures of a page as the cells of a table, in which a figure that stands under its like is the same cell going down, spread out again."""
+    out = []
+    for text in texts:
+        lines = [(i, re.split(r"\s{2,}", x.strip())) for i, x in enumerate((text or "").split("\n")) if re.match(r"^\d+\s{2,}\d+\s{2,}\d+$", x)]
+        cells: list[list[list]] = []
+        above: list[list] = []  # for each column the cell that goes on
+        for _, figures in lines:
+            row = []
+            for col, figure in enumerate(figures):
+                if col < len(above) and above[col][0] == figure:
+                    above[col][1] += 1
+                    continue
+                cell = [figure, 1, 1]
+                row.append(cell)
+                above[col : col + 1] = [cell]
+            cells.append(row)
+        grid = sequence.spread_cells([[tuple(c) for c in row] for row in cells])
+        out.append([{"row": i, "col": j, "cell": c} for (i, _), row in zip(lines, grid) for j, c in enumerate(row)])
+    return pd.Series(out, dtype=object)
+
+
+@query("wn18_table_grid", r"""WITH l AS (SELECT id, unnest(range(0, len(s))) AS row, unnest(s) AS line FROM (SELECT DISTINCT id, string_split(raw_text, chr(10)) AS s FROM source_pages)), c AS (SELECT id, row, regexp_split_to_array(trim(line), '\s{2,}') AS c FROM l WHERE regexp_matches(line, '^\d+\s{2,}\d+\s{2,}\d+$'))
+SELECT id, CAST(row AS INT) AS row, CAST(unnest(range(0, len(c))) AS INT) AS col, unnest(c) AS cell FROM c""")
 def wn18(spark, d):
     """The tabular lines of the pages as cells of a full grid."""
-    lines = table(spark, d, "source_pages").select("id", F.posexplode(F.split("raw_text", "\n")).alias("row", "line")).where(F.col("line").rlike(r"^\d+\s{2,}\d+\s{2,}\d+$"))
-    return lines.select("id", "row", F.posexplode(F.split(F.trim("line"), r"\s{2,}")).alias("col", "cell")).distinct()
+    return once(spark, d, "source_pages", "id", "raw_text").select("id", F.explode(_grids("raw_text")).alias("c")).select("id", "c.row", "c.col", "c.cell")
 
 
 # --- sorts -------------------------------------------------------------------------------------

@@ -130,10 +130,10 @@ def _equation(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([(a, b) for a, b in parts], columns=["expression", "label"])
 
 
-@query("xa20_equation_labels", "SELECT DISTINCT doc_id, regexp_extract(s, '\\((\\d+)\\)$', 1) AS label FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z ]+ \\(\\d+\\)')) AS s FROM documents)")
+@query("xa20_equation_labels", "SELECT DISTINCT doc_id, regexp_extract(s, '\\((\\d+)\\)$', 1) AS label, trim(regexp_extract(s, '^(.*)\\(\\d+\\)$', 1)) AS expression FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^().\\n]*\\(\\d+\\)')) AS s FROM documents)")
 def xa20(spark, d):
-    found = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z ]+ \(\d+\)"), F.lit(0))).alias("s"))
-    return found.select("doc_id", _equation("s").alias("e")).select("doc_id", F.col("e.label").alias("label")).distinct()
+    found = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[^().\n]*\(\d+\)"), F.lit(0))).alias("s"))
+    return found.select("doc_id", _equation("s").alias("e")).select("doc_id", F.col("e.label").alias("label"), F.trim("e.expression").alias("expression")).distinct()
 
 
 @F.pandas_udf(rows("label:string, inner:string"))
@@ -206,7 +206,7 @@ def ud3(spark, d):
     return resolve.only(rows_, "ref", F.col("lead").contains("the")).select("ref", "id")
 
 
-@query("ud4_salience")
+@query("ud4_salience", "WITH h AS (SELECT upper(split_part(heading, ',', 1)) AS ref, heading_id, category FROM headings), k AS (SELECT ref, min(heading_id) AS heading_id FROM h WHERE category = 'place' GROUP BY ref HAVING count(*) = 1) SELECT ref, heading_id, 'kind' AS method FROM k UNION ALL SELECT ref, min(heading_id), 'salience' FROM h WHERE ref NOT IN (SELECT ref FROM k) GROUP BY ref")
 def ud4(spark, d):
     """A pick with an injected salience, used only where nothing before it decides."""
     h = table(spark, d, "headings").select(F.upper(F.substring_index("heading", ",", 1)).alias("ref"), "heading_id", "category")

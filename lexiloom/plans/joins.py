@@ -8,7 +8,7 @@ from lexiloom.functions import text as X
 from lexiloom.operators import intervals, ladder
 from lexiloom.operators.ordered import last_known
 from lexiloom.operators.skew import left_join_unique
-from lexiloom.plans.common import REFS, VA, VC, Registry, once, valid
+from lexiloom.plans.common import HEAD, REFS, VA, VC, Registry, head_key, once, valid
 from lexiloom.tables import table
 
 query = Registry()
@@ -144,12 +144,17 @@ def jn15(spark, d):
     return left_join_unique(refs(spark, d).withColumn("k", norm("ref")), by_fold, "k").join(written, "ref", "left").select("ref", "by_fold", "as_written")
 
 
-@query("jn16_cascade")
-def jn16(spark, d):
-    return ladder.cascade(refs(spark, d), titles(spark, d), aggressive=True)
+_SPELLED = r"""WITH {refs}, {titles}, v AS (SELECT ref, 1 AS place, 'plural' AS how, CASE WHEN ends_with(ref, 'IES') THEN left(ref, length(ref) - 3) || 'Y' END AS title FROM refs UNION ALL SELECT ref, 2, 'plural', CASE WHEN ends_with(ref, 'ES') THEN left(ref, length(ref) - 2) END FROM refs
+UNION ALL SELECT ref, 3, 'plural', CASE WHEN ends_with(ref, 'S') AND NOT ends_with(ref, 'SS') THEN left(ref, length(ref) - 1) END FROM refs UNION ALL SELECT ref, 4, 'plural', ref || 'S' FROM refs UNION ALL SELECT ref, 5, 'plural', ref || 'ES' FROM refs
+UNION ALL SELECT ref, 6, 'plural', CASE WHEN ends_with(ref, 'Y') THEN left(ref, length(ref) - 1) || 'IES' END FROM refs
+UNION ALL SELECT ref, 7, 'inversion', CASE WHEN contains(ref, ' ') AND NOT contains(ref, ',') THEN string_split(ref, ' ')[-1] || ', ' || array_to_string(string_split(ref, ' ')[:-2], ' ') END FROM refs
+UNION ALL SELECT ref, 8, 'inversion', CASE WHEN contains(ref, ', ') THEN substr(ref, strpos(ref, ', ') + 2) || ' ' || left(ref, strpos(ref, ', ') - 1) END FROM refs
+UNION ALL SELECT ref, 9, 'article', CASE WHEN ends_with(ref, ', THE') THEN left(ref, length(ref) - 5) ELSE ref || ', THE' END FROM refs UNION ALL SELECT ref, 10, 'period', CASE WHEN ends_with(ref, '.') THEN rtrim(ref, '.') ELSE ref || '.' END FROM refs
+UNION ALL SELECT ref, 12, 'section', CASE WHEN contains(ref, ': ') THEN trim(regexp_extract(ref, '^(.*): ', 1)) END FROM refs UNION ALL SELECT ref, 13, 'bracket', trim(regexp_extract(ref, '^(.+?)\s*\([^)]+\)\s*$', 1)) FROM refs)
+SELECT ref, min_by(title, (place, title)) AS title, min_by(how, (place, title)) AS how FROM v JOIN titles USING (title) WHERE length(title) >= 3 GROUP BY ref""".replace("{refs}", REFS).replace("{titles}", _T)
 
 
-@query("st18_spellings")
+@query("st18_spellings", _SPELLED)
 def st18(spark, d):
     return ladder.spelled(refs(spark, d), titles(spark, d))
 
@@ -173,16 +178,36 @@ query("jn18_edit1_blocked", f"WITH {REFS}, {_T} SELECT ref, min_by(title, (lengt
 
 
 @query("jn20_plate_parent", f"""WITH {VA}, p AS (SELECT id, volume, page_start, title FROM va WHERE article_type = 'plate'), a AS (SELECT id, volume, page_start, page_end, title FROM va WHERE article_type IS DISTINCT FROM 'plate')
-SELECT p.id AS plate_id, min_by(a.id, (CASE WHEN a.title = p.title THEN 0 WHEN starts_with(p.title, a.title) THEN 1 ELSE 2 END, CASE WHEN p.page_start BETWEEN a.page_start AND a.page_end THEN 0 ELSE 1 END, abs(p.page_start - a.page_start), a.id)) AS parent_id
-FROM p JOIN a ON a.volume = p.volume AND a.page_start BETWEEN p.page_start - 20 AND p.page_start GROUP BY p.id""")
+SELECT p.id AS plate_id, min_by(a.id, (CASE WHEN a.title = p.title THEN 0 WHEN starts_with(p.title, a.title) THEN 1 ELSE 2 END, CASE WHEN p.page_start BETWEEN a.page_start AND a.page_end THEN 0 ELSE 1 END, p.page_start - a.page_start, a.id)) AS parent_id
+FROM p JOIN a ON a.volume = p.volume AND a.page_start <= p.page_start GROUP BY p.id""")
 def jn20(spark, d):
+    """A plate's article: one of its title, of a beginning of its title, on its page, or the last before it, in this order.
+
+    The first two are equi-joins on the title and its beginnings, the third a range join and the last an
+    as-of join, so an article at any distance is met and no plate meets all of its volume.
+    """
     rows = valid(spark, d).select("id", "volume", "page_start", "page_end", "title", F.coalesce("article_type", F.lit("")).alias("kind"))
-    plates = rows.where("kind = 'plate'").select(F.col("id").alias("plate_id"), "volume", F.col("page_start").alias("at"), F.col("title").alias("plate_title"), (F.col("page_start") - 20).alias("low"))
+    plates = rows.where("kind = 'plate'").select(F.col("id").alias("plate_id"), "volume", F.col("page_start").alias("at"), F.col("title").alias("plate_title"))
     parents = rows.where("kind <> 'plate'").select("id", "volume", "page_start", "page_end", "title")
-    met = intervals.range_join(plates, parents, ["volume"], "low", "at", "page_start", 32)
+    heads = plates.withColumn("title", F.explode(F.transform(F.sequence(F.lit(1), F.length("plate_title")), lambda i: F.substring(F.col("plate_title"), F.lit(1), i))))
+    named = heads.join(parents, ["volume", "title"]).where("page_start <= at").select("plate_id", "at", "plate_title", *[F.col(c) for c in ("id", "page_start", "page_end", "title")])
+    covering = intervals.range_join(parents, plates, ["volume"], "page_start", "page_end", "at", 32).select("plate_id", "at", "plate_title", "id", "page_start", "page_end", "title")
+    marks = parents.groupBy("volume", "page_start").agg(F.min(F.struct("id", "page_start", "page_end", "title")).alias("near"))
+    nearest = intervals.asof(plates, marks, ["volume"], "at", "page_start", "near", "near").where("near IS NOT NULL").select("plate_id", "at", "plate_title", "near.*")
     likeness = F.when(F.col("title") == F.col("plate_title"), 0).when(F.col("plate_title").startswith(F.col("title")), 1).otherwise(2)
     covers = F.when(F.col("at").between(F.col("page_start"), F.col("page_end")), 0).otherwise(1)
-    return met.groupBy("plate_id").agg(F.min_by("id", F.struct(likeness, covers, F.abs(F.col("at") - F.col("page_start")), "id")).alias("parent_id"))
+    met = named.unionByName(covering).unionByName(nearest)
+    return met.groupBy("plate_id").agg(F.min_by("id", F.struct(likeness, covers, F.col("at") - F.col("page_start"), "id")).alias("parent_id"))
+
+
+_STEPS = [("exact", f"WITH {REFS}, {_T} SELECT ref, title FROM refs JOIN titles ON ref = title"), ("spelling", _SPELLED)]
+_STEPS += [(how, SQL[name]) for how, name in (("initials", "st20_initials"), ("prefix", "jn17_prefix"), ("qualifier", "st21_qualifier_cut"), ("fold", "st22_fold_strategy"), ("edit", "jn18_edit1_blocked"))]
+
+
+@query("jn16_cascade", "WITH u AS (" + " UNION ALL ".join(f"SELECT ref, min(title) AS title, '{how}' AS how, {i} AS place FROM ({sql}) GROUP BY ref" for i, (how, sql) in enumerate(_STEPS)) + ") SELECT ref, min_by(title, place) AS title, min_by(how, place) AS how FROM u GROUP BY ref")
+def jn16(spark, d):
+    """Each strategy on what the ones before it left."""
+    return ladder.cascade(refs(spark, d), titles(spark, d), aggressive=True)
 
 
 _SNAP = "old AS (SELECT DISTINCT volume, regexp_replace(upper(strip_accents(title)), '[^A-Z0-9]+', '', 'g') AS k FROM articles WHERE loaded_at < TIMESTAMP '2024-01-01'), new AS (SELECT DISTINCT volume, regexp_replace(upper(strip_accents(title)), '[^A-Z0-9]+', '', 'g') AS k FROM articles WHERE loaded_at >= TIMESTAMP '2023-06-01')"
@@ -205,12 +230,13 @@ def jn22(spark, d):
     return table(spark, d, "headings").join(known, "heading", "left_anti").select("heading_id", "heading")
 
 
-@query("jn23_uncovered", "SELECT DISTINCT id, volume, page_number FROM source_pages p WHERE length(raw_text) >= 200 AND NOT EXISTS (SELECT 1 FROM article_segments s WHERE s.source_page_id = p.id) AND page_number >= (SELECT min(page_start) FROM articles a WHERE a.volume = p.volume)")
+@query("jn23_uncovered", "SELECT DISTINCT id, volume, page_number FROM source_pages p WHERE length(raw_text) >= 200 AND NOT EXISTS (SELECT 1 FROM article_segments s WHERE s.source_page_id = p.id AND s.loaded_at < TIMESTAMP '2023-01-01') AND page_number >= (SELECT min(page_start) FROM articles a WHERE a.volume = p.volume)")
 def jn23(spark, d):
+    """Pages of text inside a volume that no article covered yet in the snapshot of a day."""
     first = table(spark, d, "articles").groupBy("volume").agg(F.min("page_start").alias("first"))
     pages = table(spark, d, "source_pages").where(F.length("raw_text") >= 200).select("id", "volume", "page_number")
-    open_ = pages.join(table(spark, d, "article_segments").select(F.col("source_page_id").alias("id")), "id", "left_anti")
-    return open_.join(first, "volume").where("page_number >= first").select("id", "volume", "page_number").distinct()
+    covered = table(spark, d, "article_segments").where("loaded_at < TIMESTAMP_NTZ '2023-01-01 00:00:00'").select(F.col("source_page_id").alias("id"))
+    return pages.join(covered, "id", "left_anti").join(first, "volume").where("page_number >= first").select("id", "volume", "page_number").distinct()
 
 
 @query("jn24_snapshot_diff", """WITH b AS (SELECT id, max_by(sha256(body), loaded_at) AS h, max_by(title, loaded_at) AS t FROM articles WHERE loaded_at < TIMESTAMP '2024-01-01' GROUP BY id), n AS (SELECT id, max_by(sha256(body), loaded_at) AS h, max_by(title, loaded_at) AS t FROM articles WHERE loaded_at >= TIMESTAMP '2023-06-01' GROUP BY id)
@@ -241,19 +267,29 @@ def jn26(spark, d):
     return links.join(known, "k", "left_anti").groupBy("target").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("jn27_homonym_frame", f"WITH {VA}, g AS (SELECT upper(title) AS k, count(*) AS n FROM va GROUP BY 1 HAVING count(*) > 1) SELECT DISTINCT x.id, g.k, g.n FROM xrefs x JOIN g ON g.k = upper(trim(x.normalized_target))")
+@query("jn27_homonym_frame", f"WITH g AS (SELECT {HEAD.format('heading')} AS k, count(*) AS n FROM headings GROUP BY 1 HAVING count(*) > 1) SELECT DISTINCT x.id, g.k, g.n FROM xrefs x JOIN g ON g.k = {HEAD.format('x.normalized_target')}")
 def jn27(spark, d):
-    families = valid(spark, d).groupBy(F.upper("title").alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = table(spark, d, "xrefs").select("id", F.upper(F.trim("normalized_target")).alias("k")).distinct()
+    """References to what several headings are called, such as a river and the town on it."""
+    families = table(spark, d, "headings").groupBy(head_key("heading").alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    links = table(spark, d, "xrefs").select("id", head_key("normalized_target").alias("k")).distinct()
     return links.join(families, "k").select("id", "k", "n")
 
 
-@query("jn28_bind_subjects", f"WITH {VA}, e AS (SELECT DISTINCT id AS entry_id, upper(unnest(articles)) AS k FROM vol29_entries) SELECT DISTINCT e.entry_id, va.id AS article_id FROM e JOIN va ON upper(va.title) = e.k WHERE va.id NOT IN (SELECT article_id FROM article_contributors WHERE article_id IS NOT NULL AND seq_no = 1)")
+#: Credits: who or what an author reference names, and the article that makes it.
+_CREDITS = "SELECT DISTINCT id AS credit_id, article_id AS by_article, normalized_target AS subject FROM xrefs WHERE xref_type = 'author' AND normalized_target IS NOT NULL"
+
+
+def credits(spark, d):
+    rows = table(spark, d, "xrefs").where("xref_type = 'author' AND normalized_target IS NOT NULL")
+    return rows.select(F.col("id").alias("credit_id"), F.col("article_id").alias("by_article"), F.col("normalized_target").alias("subject")).distinct()
+
+
+@query("jn28_bind_subjects", f"WITH {VA}, c AS ({_CREDITS}) SELECT DISTINCT c.credit_id, va.id AS article_id FROM c JOIN va ON {HEAD.format('va.title')} = {HEAD.format('c.subject')} WHERE va.id NOT IN (SELECT target_article_id FROM xrefs WHERE target_article_id IS NOT NULL AND xref_type = 'see')")
 def jn28(spark, d):
-    credits = table(spark, d, "vol29_entries").select(F.col("id").alias("entry_id"), F.explode("articles").alias("a")).select("entry_id", F.upper("a").alias("k")).distinct()
-    rows = valid(spark, d).select(F.col("id").alias("article_id"), F.upper("title").alias("k"))
-    bound = table(spark, d, "article_contributors").where("seq_no = 1").select("article_id")
-    return credits.join(rows, "k").join(bound, "article_id", "left_anti").select("entry_id", "article_id").distinct()
+    """Articles that a credit's subject names and that no *see* is bound to already."""
+    rows = valid(spark, d).select(F.col("id").alias("article_id"), head_key("title").alias("k"))
+    bound = table(spark, d, "xrefs").where("xref_type = 'see'").select(F.col("target_article_id").alias("article_id"))
+    return credits(spark, d).withColumn("k", head_key("subject")).join(rows, "k").join(bound, "article_id", "left_anti").select("credit_id", "article_id").distinct()
 
 
 @query("jn29_credit_candidates", f"""WITH {VA}, c AS (SELECT DISTINCT normalized_target AS credit FROM xrefs WHERE xref_type = 'author' AND normalized_target IS NOT NULL),

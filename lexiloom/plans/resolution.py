@@ -11,9 +11,12 @@ from lexiloom.functions import vectors as V
 from lexiloom.operators import graph, ladder, resolve, search
 from lexiloom.operators.components import connected_components
 from lexiloom.operators.intervals import range_join
+from lexiloom.operators.ordered import running_sum
 from lexiloom.operators.sequence import greedy_bins
-from lexiloom.plans.common import REFS, VA, VC, Registry, once, valid
-from lexiloom.plans.joins import refs, titles
+from lexiloom.operators.skew import left_join_unique
+from lexiloom.plans.common import HEAD, REFS, VA, VC, Registry, head_key, once, valid
+from lexiloom.plans.joins import _CREDITS, credits, refs, titles
+from lexiloom.plans.joins import SQL as JOIN_SQL
 from lexiloom.tables import table
 
 query = Registry()
@@ -29,7 +32,12 @@ def name_key(c):
 # --- picking -----------------------------------------------------------------------------------
 
 
-@query("rs2_topic_resolve")
+_RS2 = f"WITH c AS (SELECT l.ref, l.title, l.rung, (h.category = 'biography') = contains(l.ref, ',') AS kind FROM ({JOIN_SQL['rs1_ladder']}) l JOIN headings h ON upper(h.heading) = l.title)"
+
+
+@query("rs2_topic_resolve", _RS2 + """, e AS (SELECT ref, min(title) AS title FROM c WHERE rung = 'exact' GROUP BY ref HAVING count(*) = 1), k AS (SELECT ref, min(title) AS title FROM c WHERE kind AND ref NOT IN (SELECT ref FROM e) GROUP BY ref HAVING count(*) = 1),
+r AS (SELECT *, min(length(title)) OVER (PARTITION BY ref) AS least FROM c WHERE ref NOT IN (SELECT ref FROM e) AND ref NOT IN (SELECT ref FROM k)), l AS (SELECT ref, min(title) AS title FROM r WHERE length(title) = least GROUP BY ref HAVING count(*) = 1)
+SELECT ref, title, 'exact' AS method FROM e UNION ALL SELECT ref, title, 'kind' FROM k UNION ALL SELECT ref, title, 'length' FROM l UNION ALL SELECT DISTINCT ref, NULL, 'abstain' FROM r WHERE ref NOT IN (SELECT ref FROM l)""")
 def rs2(spark, d):
     """Every reference through the ladder, then the pick by category and the least title."""
     rows = ladder.ladder(refs(spark, d), titles(spark, d)).join(table(spark, d, "headings").select(F.upper("heading").alias("title"), "category"), "title")
@@ -91,13 +99,14 @@ def rs9(spark, d):
     return parts.where("section <> ''").join(titles(spark, d), "title").select("ref", "title", "section")
 
 
-@query("rs10_cosine_margin", "WITH s AS (SELECT a.vec_id AS q, b.vec_id AS c, round(list_dot_product(a.embedding, b.embedding) / (sqrt(list_dot_product(a.embedding, a.embedding)) * sqrt(list_dot_product(b.embedding, b.embedding))), 4) AS score FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS k FROM s), p AS (SELECT q, max(CASE WHEN k = 1 THEN c END) AS c, max(CASE WHEN k = 1 THEN score END) AS score, max(CASE WHEN k = 2 THEN score END) AS second FROM r GROUP BY q) SELECT q, c, score FROM p WHERE score >= 0.45 AND coalesce(score - second, 1) >= 0.02")
+@query("rs10_cosine_margin", "WITH s AS (SELECT a.vec_id AS q, b.vec_id AS c, round(list_dot_product(a.embedding, b.embedding) / (sqrt(list_dot_product(a.embedding, a.embedding)) * sqrt(list_dot_product(b.embedding, b.embedding))), 4) AS score FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS k FROM s), p AS (SELECT q, max(CASE WHEN k = 1 THEN c END) AS c, max(CASE WHEN k = 1 THEN score END) AS score, max(CASE WHEN k = 2 THEN score END) AS second FROM r GROUP BY q) SELECT q, c, score FROM p WHERE score >= 0.25 AND coalesce(score - second, 1) >= 0.01")
 def rs10(spark, d):
     v = table(spark, d, "embeddings")
     q = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e1"), "label")
     c = v.select(F.col("vec_id").alias("c"), F.col("embedding").alias("e2"), "label")
     scored = q.join(c, "label").where("q <> c").select("q", "c", F.round(V.cosine("e1", "e2"), 4).alias("score"))
-    return resolve.best_by_margin(scored, "q", "c", "score", resolve.COSINE_ABSTAIN, resolve.COSINE_MARGIN)
+    # vectors of these tables are less alike than those the pickers' own thresholds are for
+    return resolve.best_by_margin(scored, "q", "c", "score", 0.25, 0.01)
 
 
 @query("rs11_unique_kind", f"WITH {VA} SELECT upper(split_part(title, ',', 1)) AS ref, min(id) AS id FROM va WHERE article_type = 'article' AND NOT regexp_matches(title, '(?i),\\s*(BATTLE|TREATY|SIEGE)\\b') GROUP BY 1 HAVING count(*) = 1")
@@ -141,12 +150,30 @@ def rs15(spark, d):
     return resolve.fish(e.join(p, "sur"), "entry_id", "id", [("name", score)]).where("id IS NOT NULL").select("entry_id", "id")
 
 
+_SIGNED = "s AS (SELECT DISTINCT contributor_id AS id, regexp_replace(upper(strip_accents(initials)), '[^A-Z]', '', 'g') AS k FROM contributor_initials WHERE initials IS NOT NULL)"
+
+
 @query("rs16_signature_conflicts", "SELECT regexp_replace(upper(strip_accents(initials)), '[^A-Z]', '', 'g') AS signature, count(DISTINCT contributor_id) AS n FROM contributor_initials WHERE initials IS NOT NULL GROUP BY 1 HAVING count(DISTINCT contributor_id) > 1")
 def rs16(spark, d):
     rows = table(spark, d, "contributor_initials").where("initials IS NOT NULL AND contributor_id IS NOT NULL").select(X.initials_key("initials").alias("signature"), "contributor_id").distinct()
     return rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+@query("rs16_bind", f"""WITH {VC}, {_SIGNED}, c AS (SELECT DISTINCT article_id, contributor_id FROM article_contributors WHERE article_id IS NOT NULL), u AS (SELECT k, min(s.id) AS id FROM s JOIN vc ON vc.id = s.id WHERE k <> '' GROUP BY k HAVING count(DISTINCT s.id) = 1),
+o AS (SELECT s.id AS contributor_id, min(u.id) AS id FROM s JOIN u USING (k) GROUP BY 1 HAVING count(DISTINCT u.id) = 1)
+SELECT article_id, contributor_id AS credited, coalesce(vc.id, o.id) AS bound, CASE WHEN vc.id IS NOT NULL THEN 'roster' WHEN o.id IS NOT NULL THEN 'signature' WHEN contributor_id IS NULL THEN 'uncredited' ELSE 'unbound' END AS how FROM c LEFT JOIN vc ON vc.id = c.contributor_id LEFT JOIN o USING (contributor_id)""")
+def rs16_bind(spark, d):
+    """Every credit bound to a person who is there: by the roster, else by a signature that one person alone has."""
+    credited = table(spark, d, "article_contributors").where("article_id IS NOT NULL").select("article_id", "contributor_id").distinct()
+    roster = valid(spark, d, "contributors").select(F.col("id").alias("contributor_id"), F.col("id").alias("here"))
+    signed = table(spark, d, "contributor_initials").where("initials IS NOT NULL").select("contributor_id", X.initials_key("initials").alias("k")).distinct()
+    unique = signed.where("k <> ''").join(roster, "contributor_id").groupBy("k").agg(F.min("here").alias("owner"), F.max("here").alias("other")).where("owner = other").select("k", "owner")
+    other = signed.join(unique, "k").groupBy("contributor_id").agg(F.min("owner").alias("owner"), F.max("owner").alias("m")).where("owner = m").select("contributor_id", "owner")
+    how = F.when(F.col("here").isNotNull(), "roster").when(F.col("owner").isNotNull(), "signature").when(F.col("contributor_id").isNull(), "uncredited").otherwise("unbound")
+    bound = left_join_unique(left_join_unique(credited, roster, "contributor_id"), other, "contributor_id")
+    return bound.select("article_id", F.col("contributor_id").alias("credited"), F.coalesce("here", "owner").alias("bound"), how.alias("how"))
+
+
 @query("rs17_roster_accretion", "WITH e AS (SELECT DISTINCT id, full_name, lower(strip_accents(string_split(trim(full_name), ' ')[-1])) || '|' || lower(strip_accents(substr(full_name, 1, 1))) AS k FROM vol29_entries WHERE full_name IS NOT NULL) SELECT k, max_by(full_name, (length(full_name), full_name)) AS full_name, count(*) AS n FROM e GROUP BY k")
 def rs17(spark, d):
     key = F.concat(F.lower(X.fold_accents(F.element_at(F.split(F.trim("full_name"), " "), -1))), F.lit("|"), F.lower(X.fold_accents(F.substring("full_name", 1, 1))))
@@ -154,11 +181,12 @@ def rs17(spark, d):
     return rows.groupBy("k").agg(F.max_by("full_name", F.struct(F.length("full_name"), "full_name")).alias("full_name"), F.count(F.lit(1)).alias("n"))
 
 
-@query("rs18_credit_pick", f"WITH {VA}, c AS (SELECT DISTINCT id AS entry_id, upper(unnest(articles)) AS t FROM vol29_entries), m AS (SELECT entry_id, va.id FROM c JOIN va ON upper(va.title) = c.t WHERE va.article_type = 'article') SELECT entry_id, min(id) AS id FROM m GROUP BY entry_id HAVING count(DISTINCT id) = 1")
+@query("rs18_credit_pick", f"WITH {VA}, c AS ({_CREDITS}), m AS (SELECT DISTINCT credit_id, va.id FROM c JOIN va ON {HEAD.format('va.title')} = {HEAD.format('c.subject')} WHERE va.article_type = 'article' AND contains(va.title, ',') = contains(c.subject, ',')) SELECT credit_id, min(id) AS id FROM m GROUP BY credit_id HAVING count(*) = 1")
 def rs18(spark, d):
-    credits = table(spark, d, "vol29_entries").select(F.col("id").alias("entry_id"), F.explode("articles").alias("a")).select("entry_id", F.upper("a").alias("t")).distinct()
-    rows = valid(spark, d).where("article_type = 'article'").select("id", F.upper("title").alias("t"))
-    return resolve.only(credits.join(rows, "t").select("entry_id", "id").distinct(), "entry_id")
+    """The article of a credit's name where one alone is of the kind that the credit's form expects: persons are filed with a comma."""
+    rows = valid(spark, d).where("article_type = 'article'").select("id", "title", head_key("title").alias("k"))
+    met = credits(spark, d).withColumn("k", head_key("subject")).join(rows, "k").where(F.col("title").contains(",") == F.col("subject").contains(","))
+    return resolve.only(met.select("credit_id", "id").distinct(), "credit_id")
 
 
 @query("rs19_link_actions", f"WITH {VC}, e AS (SELECT DISTINCT id, {_NK.format('full_name')} AS k, regexp_replace(upper(initials), '[^A-Z]', '', 'g') AS s FROM vol29_entries), p AS (SELECT {_NK.format('full_name')} AS k, count(*) AS n, min(id) AS cid FROM vc GROUP BY 1), i AS (SELECT contributor_id, max(regexp_replace(upper(initials), '[^A-Z]', '', 'g')) AS s FROM contributor_initials GROUP BY 1) SELECT e.id, CASE WHEN e.k IS NULL OR e.k = '' THEN 'NEEDS_REVIEW' WHEN p.n IS NULL THEN 'INSERT' WHEN p.n > 1 THEN 'NEEDS_REVIEW' WHEN i.s IS NULL AND e.s IS NOT NULL THEN 'ADD_INITIALS' ELSE 'NO_OP' END AS action FROM e LEFT JOIN p ON p.k = e.k LEFT JOIN i ON i.contributor_id = p.cid")
@@ -178,6 +206,39 @@ def rs20(spark, d):
     return connected_components(edges).groupBy(F.col("component").alias("canonical")).agg(F.count(F.lit(1)).alias("n"))
 
 
+_MERGED = f"{VC}, m AS (SELECT id, min(id) OVER (PARTITION BY {_NK.format('full_name')}) AS canonical FROM vc WHERE {_NK.format('full_name')} <> '')"
+
+
+def _merged(spark, d):
+    """Every contributor with a readable name and the record that its duplicates are merged into."""
+    rows = valid(spark, d, "contributors").select("id", name_key("full_name").alias("k"), "credentials", "description").where("k <> ''")
+    return rows.join(rows.groupBy("k").agg(F.min("id").alias("canonical")), "k")
+
+
+@query("rs20_credits", f"WITH {_MERGED} SELECT a.article_id, coalesce(m.canonical, a.contributor_id) AS contributor_id, min(a.seq_no) AS seq_no FROM article_contributors a LEFT JOIN m ON m.id = a.contributor_id GROUP BY 1, 2")
+def rs20_credits(spark, d):
+    """Credits after the merge: moved to the record that stays, and once where both had one."""
+    moved = left_join_unique(table(spark, d, "article_contributors").select("article_id", "contributor_id", "seq_no"), _merged(spark, d).select(F.col("id").alias("contributor_id"), "canonical"), "contributor_id")
+    return moved.groupBy("article_id", F.coalesce("canonical", "contributor_id").alias("contributor_id")).agg(F.min("seq_no").alias("seq_no"))
+
+
+@query("rs20_initials", f"WITH {_MERGED} SELECT coalesce(m.canonical, i.contributor_id) AS contributor_id, i.initials, min(i.id) AS id FROM contributor_initials i LEFT JOIN m ON m.id = i.contributor_id GROUP BY 1, 2")
+def rs20_initials(spark, d):
+    """Signatures after the merge, once for each notation."""
+    moved = left_join_unique(table(spark, d, "contributor_initials").select("id", "contributor_id", "initials"), _merged(spark, d).select(F.col("id").alias("contributor_id"), "canonical"), "contributor_id")
+    return moved.groupBy(F.coalesce("canonical", "contributor_id").alias("contributor_id"), "initials").agg(F.min("id").alias("id"))
+
+
+@query("rs20_promoted", f"WITH {_MERGED} SELECT m.canonical AS id, coalesce(max(CASE WHEN m.id = m.canonical THEN vc.credentials END), min_by(vc.credentials, m.id) FILTER (vc.credentials IS NOT NULL)) AS credentials, coalesce(max(CASE WHEN m.id = m.canonical THEN vc.description END), min_by(vc.description, m.id) FILTER (vc.description IS NOT NULL)) AS description, count(*) AS n_records FROM m JOIN vc USING (id) GROUP BY 1")
+def rs20_promoted(spark, d):
+    """The records that stay; a field that is empty there is filled from the first of the others that has it."""
+    def kept(c):
+        own = F.max(F.when(F.col("id") == F.col("canonical"), F.col(c)))
+        return F.coalesce(own, F.min_by(c, F.when(F.col(c).isNotNull(), F.col("id")))).alias(c)
+
+    return _merged(spark, d).groupBy(F.col("canonical")).agg(kept("credentials"), kept("description"), F.count(F.lit(1)).alias("n_records")).withColumnRenamed("canonical", "id")
+
+
 _BLOCKS = f"{VC}, n AS (SELECT id, lower(strip_accents(string_split(trim(full_name), ' ')[-1])) AS sur, substr(full_name, 1, 1) AS f, credentials FROM vc), k AS (SELECT sur, f, credentials, min(id) AS first_id, count(*) AS n FROM n WHERE sur IS NOT NULL GROUP BY ALL)"
 
 
@@ -207,12 +268,14 @@ def rs21_members(spark, d):
     return n.join(first, ["sur", "f", "k"]).select("id", "class_id")
 
 
-@query("rs22_bio_articles", f"WITH {VC}, {VA} SELECT vc.id, min(va.id) AS article_id FROM vc JOIN va ON upper(va.title) = upper(string_split(trim(vc.full_name), ' ')[-1] || ', ' || string_split(trim(vc.full_name), ' ')[1]) GROUP BY vc.id")
+@query("rs22_bio_articles", f"WITH {VA}, c AS (SELECT DISTINCT trim(subject) AS name FROM ({_CREDITS}) WHERE NOT contains(subject, ',') AND contains(trim(subject), ' ')) SELECT name, min(va.id) AS article_id FROM c JOIN va ON upper(strip_accents(va.title)) = upper(strip_accents(string_split(name, ' ')[-1] || ', ' || array_to_string(list_slice(string_split(name, ' '), 1, len(string_split(name, ' ')) - 1), ' '))) GROUP BY name")
 def rs22(spark, d):
-    words = F.split(F.trim("full_name"), " ")
-    people = valid(spark, d, "contributors").select(F.col("id").alias("cid"), F.upper(F.concat(F.element_at(words, -1), F.lit(", "), F.element_at(words, 1))).alias("k"))
-    rows = valid(spark, d).select(F.col("id").alias("aid"), F.upper("title").alias("k"))
-    return people.join(rows, "k").groupBy(F.col("cid").alias("id")).agg(F.min("aid").alias("article_id"))
+    """The biography of a person that a credit names in reading order."""
+    words = F.split("name", " ")
+    filed = F.concat(F.element_at(words, -1), F.lit(", "), F.array_join(F.slice(words, 1, F.size(words) - 1), " "))
+    people = credits(spark, d).select(F.trim("subject").alias("name")).where(~F.col("name").contains(",") & F.col("name").contains(" ")).distinct().withColumn("k", F.upper(X.fold_accents(filed)))
+    rows = valid(spark, d).select(F.col("id").alias("aid"), F.upper(X.fold_accents("title")).alias("k"))
+    return people.join(rows, "k").groupBy("name").agg(F.min("aid").alias("article_id"))
 
 
 def _tree(spark, d):
@@ -248,18 +311,34 @@ def rs25(spark, d):
     return graph.parents_by_level(rows, ["volume"], "at", "level", "id").select("id", "parent")
 
 
-@query("rs26_note_pointers", "WITH p AS (SELECT DISTINCT id, upper(split_part(display, ',', 1)) AS k, 'biography' AS cat FROM vol29_entries), h AS (SELECT heading_id, upper(split_part(heading, ',', 1)) AS k, category FROM headings), c AS (SELECT p.id, h.heading_id, h.category = p.cat AS same, count(*) OVER (PARTITION BY p.id) AS n, count(*) FILTER (h.category = p.cat) OVER (PARTITION BY p.id) AS m FROM p JOIN h USING (k)) SELECT id, heading_id FROM c WHERE (m = 1 AND same) OR (m <> 1 AND n = 1)")
+_INDEX = f"l AS (SELECT heading_id, category, heading, {HEAD.format('heading')} AS k, regexp_replace(heading, '\\s*\\(.*\\)|,.*$', '', 'g') AS head FROM headings WHERE category IS NOT NULL AND heading IS NOT NULL), g AS (SELECT category, k, min(head) AS head FROM l GROUP BY 1, 2 HAVING count(*) > 1)"
+
+
+@query("rs25_index_tree", f"WITH {_INDEX} SELECT DISTINCT category AS path, NULL AS parent, 0 AS level FROM l UNION ALL SELECT category || '/' || head, category, 1 FROM g UNION ALL SELECT l.category || coalesce('/' || g.head, '') || '/' || l.heading, l.category || coalesce('/' || g.head, ''), CASE WHEN g.k IS NULL THEN 1 ELSE 2 END FROM l LEFT JOIN g ON g.category = l.category AND g.k = l.k")
+def rs25_index_tree(spark, d):
+    """The list of headings as a tree: categories, sections of entries that share their head (merged under its least spelling), and the entries, each seated in its section."""
+    lines = table(spark, d, "headings").where("category IS NOT NULL AND heading IS NOT NULL").select("category", "heading", head_key("heading").alias("k"), F.regexp_replace("heading", r"\s*\(.*\)|,.*$", "").alias("head"))
+    sections = lines.groupBy("category", "k").agg(F.min("head").alias("section"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    tops = lines.select(F.col("category").alias("path"), F.lit(None).cast("string").alias("parent"), F.lit(0).alias("level")).distinct()
+    inner = sections.select(F.concat_ws("/", "category", "section").alias("path"), F.col("category").alias("parent"), F.lit(1).alias("level"))
+    seat = F.concat_ws("/", "category", "section")
+    leaves = lines.join(sections, ["category", "k"], "left").select(F.concat_ws("/", seat, "heading").alias("path"), seat.alias("parent"), F.when(F.col("section").isNull(), 1).otherwise(2).alias("level"))
+    return tops.unionByName(inner).unionByName(leaves)
+
+
+@query("rs26_note_pointers", f"WITH p AS (SELECT DISTINCT id, {HEAD.format('normalized_target')} AS k, contains(normalized_target, ',') AS person FROM xrefs WHERE xref_type IN ('see', 'see_also') AND normalized_target IS NOT NULL), h AS (SELECT heading_id, {HEAD.format('heading')} AS k, category = 'biography' AS person FROM headings), c AS (SELECT p.id, h.heading_id, h.person = p.person AS same, count(*) OVER (PARTITION BY p.id) AS n, count(*) FILTER (h.person = p.person) OVER (PARTITION BY p.id) AS m FROM p JOIN h USING (k)) SELECT id, heading_id FROM c WHERE (m = 1 AND same) OR (m <> 1 AND n = 1)")
 def rs26(spark, d):
-    p = table(spark, d, "vol29_entries").select("id", F.upper(F.substring_index("display", ",", 1)).alias("k")).distinct()
-    h = table(spark, d, "headings").select("heading_id", F.upper(F.substring_index("heading", ",", 1)).alias("k"), (F.col("category") == "biography").alias("same"))
+    """Where a *see* points: to the one heading of its name and kind, else to the one of its name."""
+    p = table(spark, d, "xrefs").where("xref_type IN ('see', 'see_also') AND normalized_target IS NOT NULL").select("id", head_key("normalized_target").alias("k"), F.col("normalized_target").contains(",").alias("person")).distinct()
+    h = table(spark, d, "headings").select("heading_id", head_key("heading").alias("k"), (F.col("category") == "biography").alias("is_person"))
     w = Window.partitionBy("id")
-    met = p.join(h, "k").withColumn("n", F.count(F.lit(1)).over(w)).withColumn("m", F.count_if("same").over(w))
+    met = p.join(h, "k").withColumn("same", F.col("person") == F.col("is_person")).withColumn("n", F.count(F.lit(1)).over(w)).withColumn("m", F.count_if("same").over(w))
     return met.where("(m = 1 AND same) OR (m <> 1 AND n = 1)").select("id", "heading_id")
 
 
-@query("rs27_ambiguities", "SELECT upper(split_part(heading, ',', 1)) AS k, count(*) AS n, string_agg(CAST(heading_id AS VARCHAR), ',' ORDER BY heading_id) AS ids FROM headings GROUP BY 1 HAVING count(*) > 1")
+@query("rs27_ambiguities", f"SELECT {HEAD.format('heading')} AS k, count(*) AS n, string_agg(CAST(heading_id AS VARCHAR), ',' ORDER BY heading_id) AS ids FROM headings GROUP BY 1 HAVING count(*) > 1")
 def rs27(spark, d):
-    rows = table(spark, d, "headings").groupBy(F.upper(F.substring_index("heading", ",", 1)).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("heading_id")).alias("i")).where("n > 1")
+    rows = table(spark, d, "headings").groupBy(head_key("heading").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("heading_id")).alias("i")).where("n > 1")
     return rows.select("k", "n", F.array_join(F.transform("i", lambda x: x.cast("string")), ",").alias("ids"))
 
 
@@ -292,10 +371,22 @@ def se5(spark, d):
     return search.all_terms(search.terms(table(spark, d, "documents"), "doc_id", "text"), "doc_id", ["abbey", "copper", "country"])
 
 
-@query("ft2_filtered_search", f"WITH {VA} SELECT id FROM va WHERE article_type IS DISTINCT FROM 'plate' AND volume = 4 AND contains(lower(strip_accents(body)), 'harbour')")
+_ASKED = ("harbour", 'copper vol:2', 'by:john', 'abbey by:"john" vol:3', "the saint")
+_FT2 = f"WITH {VA}, {VC}, w AS (SELECT DISTINCT a.article_id AS id, ' ' || regexp_replace(lower(strip_accents(vc.full_name)), '[^a-z]+', ' ', 'g') || ' ' AS name FROM article_contributors a JOIN vc ON vc.id = a.contributor_id), t AS (SELECT id, volume, lower(strip_accents(concat_ws(' ', title, body))) AS t FROM va WHERE article_type IS DISTINCT FROM 'plate')"
+
+
+@query("ft2_filtered_search", f"""{_FT2} SELECT 'harbour' AS question, id FROM t WHERE contains(t, 'harbour') UNION ALL SELECT 'copper vol:2', id FROM t WHERE volume = 2 AND contains(t, 'copper')
+UNION ALL SELECT 'by:john', id FROM t WHERE id IN (SELECT id FROM w WHERE contains(name, ' john ')) UNION ALL SELECT 'abbey by:"john" vol:3', id FROM t WHERE volume = 3 AND contains(t, 'abbey') AND id IN (SELECT id FROM w WHERE contains(name, ' john '))
+UNION ALL SELECT 'the saint', id FROM t WHERE contains(t, 'the') AND contains(t, 'saint')""")
 def ft2(spark, d):
-    rows = valid(spark, d).where("volume = 4 AND (article_type IS NULL OR article_type <> 'plate')")
-    return rows.where(F.lower(X.fold_accents("body")).contains("harbour")).select("id")
+    """What some questions with filters find."""
+    names = valid(spark, d, "contributors").select(F.col("id").alias("contributor_id"), "full_name")
+    authors = table(spark, d, "article_contributors").join(names, "contributor_id").select(F.col("article_id").alias("id"), "full_name")
+    out = None
+    for question in _ASKED:
+        hits = search.ask(valid(spark, d), authors, question).select(F.lit(question).alias("question"), "id")
+        out = hits if out is None else out.unionByName(hits)
+    return out
 
 
 @query("so8_ranked_search", f"""WITH {VA}, f AS (SELECT id, title, lower(strip_accents(title)) AS t, lower(strip_accents(body)) AS b, ' ' || regexp_replace(lower(strip_accents(title)), '[^a-z0-9]+', ' ', 'g') || ' ' AS w FROM va)
@@ -311,13 +402,15 @@ def ma7(spark, d):
 
 @query("ma7_postings")
 def ma7_postings(spark, d):
-    """The postings of every term as text."""
+    """The postings of every term as text, in parts of a bounded number of documents that follow each other; a part's first gap counts from 0."""
     @F.pandas_udf("string")
     def encode(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda gaps: "".join(search.varint(int(g)) for g in gaps))
+        return lists.map(lambda ids: "".join(search.varint(int(b - a - 1) if a >= 0 else int(b)) for a, b in zip([-1, *ids], ids)))
 
-    gaps = ma7(spark, d).groupBy("term").agg(F.array_sort(F.collect_list(F.struct("doc_id", "gap"))).alias("p"))
-    return gaps.select("term", encode(F.transform("p", lambda x: x["gap"])).alias("postings"))
+    chunk = 100_000
+    placed = running_sum(search.terms(table(spark, d, "documents"), "doc_id", "text").withColumn("one", F.lit(1)), ["term"], ["doc_id"], "one", "before")
+    parts = placed.groupBy("term", F.floor(F.col("before") / chunk).alias("part")).agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    return parts.select("term", "part", encode("ids").alias("postings"))
 
 
 # --- vectors and scores ------------------------------------------------------------------------
@@ -331,13 +424,14 @@ def ma1(spark, d):
     return a.join(b, ["b", "label"]).select("a", "b", F.round(V.cosine("e1", "e2"), 3).alias("cosine"))
 
 
-@query("ma2_centroids")
+@query("ma2_centroids", """WITH u AS (SELECT label, list_transform(embedding, lambda x: x / sqrt(list_dot_product(embedding, embedding))) AS u FROM embeddings WHERE list_dot_product(embedding, embedding) > 0), s AS (SELECT label, pos, sum(x) AS s FROM (SELECT label, unnest(u) AS x, unnest(range(0, len(u))) AS pos FROM u) GROUP BY 1, 2),
+n AS (SELECT label, sqrt(sum(s * s)) AS n FROM s GROUP BY 1) SELECT label, CAST(pos AS INT) AS pos, round(s / n, 4) AS x FROM s JOIN n USING (label)""")
 def ma2(spark, d):
-    """The mean direction of the vectors of each label: sums by place of the unit vectors, at length 1."""
+    """The mean direction of the vectors of each label, place by place: sums of the unit vectors, at length 1."""
     unit = table(spark, d, "embeddings").select("label", F.posexplode(V.unit("embedding")).alias("pos", "x"))
     sums = unit.groupBy("label", "pos").agg(F.sum("x").alias("s"))
-    whole = sums.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("v"))
-    return whole.select("label", V.unit(F.transform("v", lambda p: p["s"])).alias("centroid"))
+    length = sums.groupBy("label").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("n"))
+    return sums.join(length, "label").select("label", "pos", F.round(F.col("s") / F.col("n"), 4).alias("x"))
 
 
 @query("ma3_hashed_vectors")
@@ -391,9 +485,9 @@ def ma10(spark, d):
     return graph.flatten(_tree(spark, d)).where("depth < 2").select("id", F.array_join(F.transform(F.split("path", "/"), X.slug), "/").alias("slug"))
 
 
-@query("ma11_collision_keys", "SELECT upper(split_part(heading, ',', 1)) || '|' || string_agg(heading, ',' ORDER BY heading) AS k FROM headings GROUP BY upper(split_part(heading, ',', 1)) HAVING count(*) > 1")
+@query("ma11_collision_keys", f"SELECT {HEAD.format('heading')} || '|' || string_agg(heading, ',' ORDER BY heading) AS k FROM headings GROUP BY {HEAD.format('heading')} HAVING count(*) > 1")
 def ma11(spark, d):
-    g = table(spark, d, "headings").groupBy(F.upper(F.substring_index("heading", ",", 1)).alias("t")).agg(F.array_sort(F.collect_list("heading")).alias("c")).where(F.size("c") > 1)
+    g = table(spark, d, "headings").groupBy(head_key("heading").alias("t")).agg(F.array_sort(F.collect_list("heading")).alias("c")).where(F.size("c") > 1)
     return g.select(F.concat_ws("|", "t", F.array_join("c", ",")).alias("k"))
 
 
@@ -409,7 +503,8 @@ def ma13(spark, d):
     return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.concat((F.col("s_suppkey") % 90).cast("string"), F.lit("°"), (F.col("s_suppkey") % 60).cast("string"), F.lit("′N")).alias("place"))
 
 
-@query("pk1_greedy_chunks")
+@query("pk1_greedy_chunks", f"""WITH RECURSIVE {VA}, s AS (SELECT volume, id, length(body) AS n, row_number() OVER (PARTITION BY volume ORDER BY page_start, id) AS i FROM va),
+w AS (SELECT volume, id, i, 0 AS bin, n AS used FROM s WHERE i = 1 UNION ALL SELECT s.volume, s.id, s.i, CASE WHEN w.used > 0 AND w.used + s.n > 100000 THEN w.bin + 1 ELSE w.bin END, CASE WHEN w.used > 0 AND w.used + s.n > 100000 THEN s.n ELSE w.used + s.n END FROM w JOIN s ON s.volume = w.volume AND s.i = w.i + 1) SELECT id, bin FROM w""")
 def pk1(spark, d):
     """Articles of each volume in order, in chunks of about 100,000 characters."""
     rows = valid(spark, d).select("volume", "id", "page_start", F.length("body").alias("size"))
@@ -437,9 +532,12 @@ def xa2(spark, d):
     return table(spark, d, "source_pages").select("id", F.coalesce(*[F.nullif(F.regexp_extract(c, p, 1), F.lit("")).try_cast("int") for c, p in ladder_]).alias("printed")).distinct()
 
 
-@query("xa3_alias_harvest", f"WITH {VA} SELECT DISTINCT trim(split_part(m, '|', 1)) AS target, trim(split_part(m, '|', 2)) AS display FROM (SELECT unnest(regexp_extract_all(body, '«LN:([^«»]*)', 1)) AS m FROM va) WHERE contains(m, '|') AND trim(split_part(m, '|', 1)) <> trim(split_part(m, '|', 2)) AND length(split_part(m, '|', 2)) <= 50")
+@query("xa3_alias_harvest", f"WITH {VA}, m AS (SELECT unnest(regexp_extract_all(body, '«LN:([^«»]*)', 1)) AS m FROM va UNION ALL SELECT unnest(regexp_extract_all(surface_text, '«[AL][LN]:([^«»]*)', 1)) FROM xrefs) SELECT DISTINCT trim(split_part(m, '|', 1)) AS target, trim(split_part(m, '|', 2)) AS display FROM m WHERE contains(m, '|') AND trim(split_part(m, '|', 1)) <> trim(split_part(m, '|', 2)) AND length(split_part(m, '|', 2)) <= 50")
 def xa3(spark, d):
-    m = valid(spark, d).select(F.explode(F.regexp_extract_all("body", F.lit("«LN:([^«»]*)"), F.lit(1))).alias("m")).where(F.col("m").contains("|"))
+    """What links show that is not what they point to, in the bodies and in the references' own marks."""
+    inside = valid(spark, d).select(F.explode(F.regexp_extract_all("body", F.lit("«LN:([^«»]*)"), F.lit(1))).alias("m"))
+    marks = table(spark, d, "xrefs").select(F.explode(F.regexp_extract_all("surface_text", F.lit("«[AL][LN]:([^«»]*)"), F.lit(1))).alias("m"))
+    m = inside.unionByName(marks).where(F.col("m").contains("|"))
     parts = m.select(F.trim(F.split_part("m", F.lit("|"), F.lit(1))).alias("target"), F.split_part("m", F.lit("|"), F.lit(2)).alias("d"))
     return parts.where(F.length("d") <= 50).select("target", F.trim("d").alias("display")).where("target <> display").distinct()
 
@@ -479,11 +577,20 @@ def xa11(spark, d):
     return table(spark, d, "vol29_entries").select("id", F.explode("articles").alias("a")).select("id", F.trim("a").alias("article")).distinct()
 
 
-@query("xa12_mentions", f"WITH {VC}, n AS (SELECT DISTINCT full_name AS n FROM vc WHERE length(full_name) > 8), w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Z][\\p{{L}}-]+ [A-Z][\\p{{L}}-]+')) AS n FROM documents) SELECT w.doc_id, n.n AS name FROM w JOIN n USING (n)")
+#: Name variants: the whole name, and the surname after initials or a forename.
+_NAMED = "[A-Z][\\p{L}.-]*(?: [A-Z][\\p{L}.-]*)* ([A-Z][\\p{L}-]{3,})"
+
+
+@query("xa12_mentions", f"WITH {VC}, {VA}, n AS (SELECT upper(strip_accents(string_split(trim(full_name), ' ')[-1])) AS s, upper(substr(trim(full_name), 1, 1)) AS f FROM vc WHERE full_name IS NOT NULL UNION SELECT upper(strip_accents(split_part(title, ', ', 1))), upper(substr(split_part(title, ', ', 2), 1, 1)) FROM va WHERE contains(title, ', ')), t AS (SELECT 'document' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'reference', id, surface_text FROM xrefs), w AS (SELECT DISTINCT kind, id, unnest(regexp_extract_all(text, '{_NAMED.replace(chr(92) * 2, chr(92))}')) AS said FROM t) SELECT DISTINCT w.kind, w.id, w.said FROM w JOIN n ON n.s = upper(strip_accents(string_split(w.said, ' ')[-1])) AND n.f = upper(substr(w.said, 1, 1))")
 def xa12(spark, d):
-    names = valid(spark, d, "contributors").where(F.length("full_name") > 8).select(F.col("full_name").alias("name")).distinct()
-    said = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[A-Z][\p{L}-]+ [A-Z][\p{L}-]+"), F.lit(0))).alias("name")).distinct()
-    return said.join(names, "name").select("doc_id", "name")
+    """Names in the documents and references that may mean a contributor or the subject of a biography: same surname and first initial."""
+    people = valid(spark, d, "contributors").where("full_name IS NOT NULL").select(F.element_at(F.split(F.trim("full_name"), " "), -1).alias("s"), F.substring(F.trim("full_name"), 1, 1).alias("f"))
+    filed = valid(spark, d).where(F.col("title").contains(", ")).select(F.split_part("title", F.lit(", "), F.lit(1)).alias("s"), F.substring(F.split_part("title", F.lit(", "), F.lit(2)), 1, 1).alias("f"))
+    names = people.unionByName(filed).select(F.upper(X.fold_accents("s")).alias("s"), F.upper("f").alias("f")).distinct()
+    texts = table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text").unionByName(table(spark, d, "xrefs").select(F.lit("reference").alias("kind"), "id", F.col("surface_text").alias("text")))
+    said = texts.select("kind", "id", F.explode(F.regexp_extract_all("text", F.lit(_NAMED.replace("\\\\", "\\")), F.lit(0))).alias("said")).distinct()
+    said = said.withColumn("s", F.upper(X.fold_accents(F.element_at(F.split("said", " "), -1)))).withColumn("f", F.upper(F.substring("said", 1, 1)))
+    return said.join(names, ["s", "f"]).select("kind", "id", "said").distinct()
 
 
 @query("xa29_rule_scan", "WITH r AS (SELECT * FROM (VALUES ('double space', '  '), ('figure', 'Fig\\. '), ('see', '\\(see ')) AS v(rule, pattern)) SELECT rule, count(*) AS n FROM documents, r WHERE regexp_matches(text, pattern) GROUP BY rule")
@@ -522,15 +629,16 @@ def xa34(spark, d):
     return e.groupBy(X.digest("e").alias("k")).agg(F.min("e").alias("expression"), F.count(F.lit(1)).alias("n"))
 
 
-@query("xa35_unique_context")
+@query("xa35_unique_context", r"""WITH p AS (SELECT DISTINCT id, raw_text AS t FROM source_pages), w AS (SELECT DISTINCT id, t, unnest(regexp_extract_all(t, '[a-z]*[0-9@ſ][a-z]+')) AS w FROM p), c AS (SELECT id, t, w, pad, substr(t, greatest(0, strpos(t, w) - 1 - pad) + 1, strpos(t, w) - 1 + length(w) + pad - greatest(0, strpos(t, w) - 1 - pad)) AS part FROM (SELECT *, unnest(range(0, length(t) + 4, 4)) AS pad FROM w))
+SELECT id, w, min_by(part, pad) AS context FROM c WHERE strpos(substr(t, strpos(t, part) + 1), part) = 0 GROUP BY id, w""")
 def xa35(spark, d):
     """For each rare word of a page the least context around it that the page has only once."""
-    def grow(text: str, at: int, size: int, most: int = 40) -> str | None:
-        for pad in range(0, most, 4):
+    def grow(text: str, at: int, size: int) -> str:
+        for pad in range(0, len(text) + 4, 4):
             part = text[max(0, at - pad) : at + size + pad]
-            if text.count(part) == 1:
-                return part
-        return None
+            if text.find(part, text.find(part) + 1) < 0:
+                break
+        return part
 
     @F.pandas_udf("string")
     def context(texts: pd.Series, words: pd.Series) -> pd.Series:
@@ -540,12 +648,15 @@ def xa35(spark, d):
     return words.select("id", "w", context("raw_text", "w").alias("context"))
 
 
-@query("xa36_leak_pages", "SELECT DISTINCT d.doc_id, p.id AS page_id FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'died in \\d{4}')) AS s FROM documents) d JOIN (SELECT id, unnest(regexp_extract_all(raw_text, 'died in \\d{4}')) AS s FROM source_pages) p USING (s)")
+@query("xa36_leak_pages", "WITH d AS (SELECT DISTINCT doc_id AS id, unnest(regexp_extract_all(text, 'died in \\d{4}')) AS phrase FROM documents), p AS (SELECT DISTINCT id, unnest(regexp_extract_all(raw_text, 'died in \\d{4}')) AS phrase FROM source_pages) SELECT phrase, 'document' AS side, id FROM d WHERE phrase IN (SELECT phrase FROM p) UNION ALL SELECT phrase, 'page', id FROM p WHERE phrase IN (SELECT phrase FROM d)")
 def xa36(spark, d):
-    def said(df, key, text):
-        return df.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"died in \d{4}"), F.lit(0))).alias("s")).distinct()
+    """Phrases that documents and pages share, each with its documents and its pages: classes, not all pairs."""
+    def said(df, key, text, side):
+        return df.select(F.col(key).alias("id"), F.lit(side).alias("side"), F.explode(F.regexp_extract_all(text, F.lit(r"died in \d{4}"), F.lit(0))).alias("phrase")).distinct()
 
-    return said(table(spark, d, "documents"), "doc_id", "text").join(said(table(spark, d, "source_pages").withColumnRenamed("id", "page_id"), "page_id", "raw_text"), "s").select("doc_id", "page_id").distinct()
+    both = said(table(spark, d, "documents"), "doc_id", "text", "document").unionByName(said(table(spark, d, "source_pages"), "id", "raw_text", "page"))
+    shared = both.groupBy("phrase").agg(F.countDistinct("side").alias("n")).where("n = 2").select("phrase")
+    return both.join(shared, "phrase", "left_semi").select("phrase", "side", "id")
 
 
 @query("xa37_asset_references", "SELECT name, count(DISTINCT id) AS n FROM (SELECT id, unnest(regexp_extract_all(wikitext, '\\{\\{(?:rh|[A-Z]+ Page Heading)\\|([^|{}]+)\\|', 1)) AS name FROM source_pages) WHERE name NOT IN (SELECT heading FROM headings) GROUP BY name")

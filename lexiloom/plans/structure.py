@@ -180,10 +180,16 @@ def pf5(spark, d):
 #: Single words that are never a target.
 NO_TARGET = "a above also although an and at bel below but by dr emperor for founded further he her his in is it its not of on or s son spread the their these they this those to under was were which with".split()
 #: What a target never has.
-_REJECT = [r"^(?i)(also|although|and|especially|for|further|particularly|separate|the)\b", r"\b(p\.|pp\.|vol\.|Ber\.|Journ\.|Proc\.|Hist\.|Dict\.|Biog\.|Gesch\.|Zeits\.|\d{4})", r"'s\s+(Dict|Hist|Bibl|Life|Lives|Memoir)", ";", r"^\s*(?i):[a-z]{2,3}:"]
+_REJECT = [
+    r"^(?i)(also|although|and|especially|for|further|particularly|separate|the)\b", r"\b(p\.|pp\.|vol\.|Ber\.|Journ\.|Proc\.|Hist\.|Dict\.|Biog\.|Gesch\.|Zeits\.|\d{4})", r"'s\s+(Dict|Hist|Bibl|Life|Lives|Memoir)", ";", r"^\s*(?i):[a-z]{2,3}:",
+    r"(?i)^[A-Z]\.[A-Z]\.[A-Z]\.,?\s*[A-Z]?\.\s*[ivxlcdm]+\b",
+]
 
 
-@query("pf6_plausible_target", "SELECT DISTINCT normalized_target AS t, NOT (lower(t) IN (" + ", ".join(f"'{w}'" for w in NO_TARGET) + ") OR length(t) <= 2 OR length(t) > 200 OR " + " OR ".join("regexp_matches(t, '{}')".format(p.replace("'", "''")) for p in _REJECT) + " OR (length(t) <= 12 AND regexp_matches(t, '\\b[A-Z]\\.?\\s*$'))) AS plausible FROM xrefs WHERE normalized_target IS NOT NULL")
+@query("pf6_plausible_target", """WITH t AS (SELECT DISTINCT normalized_target AS t, lower(normalized_target) AS l FROM xrefs WHERE normalized_target IS NOT NULL) SELECT t, length(t) BETWEEN 3 AND 200
+AND l NOT IN ('above', 'also', 'although', 'and', 'bel', 'below', 'but', 'emperor', 'for', 'founded', 'further', 'her', 'his', 'its', 'not', 'son', 'spread', 'the', 'their', 'these', 'they', 'this', 'those', 'under', 'was', 'were', 'which', 'with')
+AND NOT regexp_matches(l, '^(also|although|and|especially|for|further|particularly|separate|the)\\b') AND NOT regexp_matches(t, '\\bpp?\\.|\\bvol\\.|\\b(Ber|Journ|Proc|Hist|Dict|Biog|Gesch|Zeits)\\.|\\b[0-9]{4}') AND NOT regexp_matches(t, chr(39) || 's\\s+(Dict|Hist|Bibl|Life|Lives|Memoir)') AND NOT contains(t, ';')
+AND NOT regexp_matches(l, '^\\s*:[a-z][a-z][a-z]?:') AND NOT (length(t) < 13 AND regexp_matches(t, '\\b[A-Z]\\.?\\s*$')) AND NOT regexp_matches(l, '^[a-z]\\.[a-z]\\.[a-z]\\.,?\\s*[a-z]?\\.\\s*[ivxlcdm]+\\b') AS plausible FROM t""")
 def pf6(spark, d):
     t = F.col("t")
     bad = F.lower(t).isin(*NO_TARGET) | (F.length(t) <= 2) | (F.length(t) > 200) | ((F.length(t) <= 12) & t.rlike(r"\b[A-Z]\.?\s*$"))
@@ -199,28 +205,51 @@ def pf7(spark, d):
 
 #: Nouns by which an article says what it is about, and the kinds they mean.
 LEAD_NOUNS = {
-    "capital": "city", "seaport": "town", "town": "town", "city": "city", "village": "town", "province": "division", "district": "division", "kingdom": "division", "duchy": "division",
-    "river": "river", "lake": "lake", "mountain": "mountain", "island": "island", "chemist": "chemist", "botanist": "naturalist", "geologist": "geologist", "historian": "historian",
-    "painter": "painter", "general": "general", "engineer": "engineer", "saint": "saint", "bishop": "bishop", "king": "king", "poet": "poet", "philosopher": "philosopher",
+    "capital": "city", "chief town": "city", "chief city": "city", "seaport": "town", "town": "town", "city": "city", "borough": "town", "village": "town", "watering-place": "town",
+    "canton": "division", "county": "division", "shire": "division", "province": "division", "department": "division", "government": "division", "district": "division", "kingdom": "division", "duchy": "division",
+    "principality": "division", "governorate": "division", "prefecture": "division", "arrondissement": "division", "state": "division", "commonwealth": "division",
+    "river": "river", "stream": "river", "tributary": "river", "affluent": "river", "lake": "lake", "loch": "lake", "lough": "lake", "mountain": "mountain", "peak": "mountain", "volcano": "mountain",
+    "island": "island", "isle": "island", "archipelago": "island",
+    "chemist": "chemist", "mathematician": "mathematician", "physicist": "physicist", "astronomer": "astronomer", "naturalist": "naturalist", "zoologist": "naturalist", "botanist": "naturalist", "geologist": "geologist",
+    "philosopher": "philosopher", "historian": "historian", "theologian": "theologian", "divine": "theologian", "poet": "poet", "novelist": "writer", "dramatist": "writer", "playwright": "writer", "author": "writer",
+    "painter": "painter", "sculptor": "sculptor", "architect": "architect", "composer": "musician", "musician": "musician", "organist": "musician", "physician": "physician", "surgeon": "physician",
+    "general": "general", "admiral": "admiral", "statesman": "statesman", "politician": "statesman", "engineer": "engineer", "king": "king", "emperor": "emperor", "pope": "pope", "saint": "saint", "bishop": "bishop",
+    "actor": "actor", "actress": "actor", "tragedian": "actor", "comedian": "actor", "dancer": "actor",
+    "tribe": "ethnic", "people": "ethnic", "race": "ethnic", "nation": "ethnic", "caste": "ethnic", "nomad": "ethnic",
+    "bird": "nature", "mammal": "nature", "fish": "nature", "insect": "nature", "plant": "nature", "genus": "nature", "tree": "nature", "shrub": "nature", "reptile": "nature", "mollusc": "nature", "fungus": "nature",
+    "flower": "nature", "batrachian": "nature",
 }
 
 
 def lead_kind(text):
-    """The kind of the first noun of the list in the first 220 characters; plurals only in *one of the ...s*."""
+    """The kind of the first noun of the list in the first 220 characters; plurals only in *one of the ...s*.
+
+    The nouns are looked for in one pass; of those at one place the longest counts.
+    """
     head = F.lower(F.substring(text, 1, 220))
-    found = [F.struct(F.regexp_instr(head, F.lit(rf"(^|[^a-z])({w}|one of[^.]{{0,30}}?[^a-z]{w}s)([^a-z]|$)")).alias("at"), F.lit(kind).alias("kind")) for w, kind in LEAD_NOUNS.items()]
-    return F.array_min(F.filter(F.array(*found), lambda x: x["at"] > 0))["kind"]
+    nouns = "|".join(sorted(LEAD_NOUNS, key=lambda w: (-len(w), w)))
+    said = F.regexp_extract(head, rf"(?:^|[^a-z])(?:one of[^.]{{0,30}}?[^a-z]({nouns})s|({nouns}))(?:[^a-z]|$)", 0)
+    noun = F.regexp_extract(said, rf"({nouns})s?[^a-z]?$", 1)
+    kinds = F.create_map(*[F.lit(x) for pair in LEAD_NOUNS.items() for x in pair])
+    return F.when(noun != "", F.try_element_at(kinds, noun))
+
+
+_NOUNS = "n AS (SELECT * FROM (VALUES " + ", ".join(f"('{w}', '{k}')" for w, k in LEAD_NOUNS.items()) + ") AS v(noun, kind))"
 
 
-@query("pf8_lead_kind")
+@query("pf8_lead_kind", f"""WITH {VA}, {_NOUNS}, h AS (SELECT id, lower(substr(trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(body, '(?s)«FN(\\[[^«»]*\\])?:.*?«/FN»', '', 'g'), '«(LN|AL|XL)(\\[[^«»]*\\])?:([^«»|]*\\|)*([^«»|]*)(»|«/(LN|AL|XL)»)', '\\4', 'g'), '«P»', ' '), '«/?[A-Z][A-Za-z0-9_]*(\\[[^«»]*\\])?(:[^«»]*»|:|»)', '', 'g'), '\\s+', ' ', 'g')), 1, 220)) AS h FROM va),
+m AS (SELECT id, kind, noun, length(regexp_extract(h, '^(.*?)(?:^|[^a-z])(' || noun || '|one of[^.]{{0,30}}?[^a-z]' || noun || 's)(?:[^a-z]|$)', 1)) AS at FROM h, n WHERE regexp_matches(h, '(?:^|[^a-z])(' || noun || '|one of[^.]{{0,30}}?[^a-z]' || noun || 's)(?:[^a-z]|$)'))
+SELECT h.id, min_by(m.kind, (m.at, -length(m.noun))) AS kind FROM h LEFT JOIN m USING (id) GROUP BY h.id""")
 def pf8(spark, d):
     return valid(spark, d).select("id", lead_kind(X.opening("body")).alias("kind"))
 
 
 @query("pf9_kind_qualifies", "SELECT a.category AS kind, b.category AS wanted, CASE WHEN b.category = 'place' THEN a.category IN ('place', 'subject') ELSE a.category = b.category END AS fits FROM (SELECT DISTINCT category FROM headings) a, (SELECT DISTINCT category FROM headings) b")
 def pf9(spark, d):
-    kinds = table(spark, d, "headings").select("category").distinct()
-    pairs = kinds.select(F.col("category").alias("kind"), F.lit(1).alias("k")).join(kinds.select(F.col("category").alias("wanted"), F.lit(1).alias("k")), "k")
+    """Which categories satisfy which; a table of categories is short, and that is checked."""
+    kinds = table(spark, d, "headings").select("category").distinct().agg(F.array_sort(F.collect_list("category")).alias("k"))
+    kinds = kinds.withColumn("k", F.when(F.size("k") <= 1000, F.col("k")).otherwise(F.raise_error(F.lit("too many categories")).cast("array<string>")))
+    pairs = kinds.select(F.explode("k").alias("kind"), "k").select("kind", F.explode("k").alias("wanted"))
     return pairs.select("kind", "wanted", F.when(F.col("wanted") == "place", F.col("kind").isin("place", "subject")).otherwise(F.col("kind") == F.col("wanted")).alias("fits"))
 
 
@@ -244,7 +273,7 @@ def pf12(spark, d):
     return met.groupBy("id").agg(F.min("level").alias("lowest"), F.count_if(F.col("level") == 1).alias("unproofed"), F.count(F.lit(1)).alias("n_pages"))
 
 
-@query("pf13_preview")
+@query("pf13_preview", f"WITH {VA}, p AS (SELECT id, string_split(regexp_replace(trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(body, '(?s)«FN(\\[[^«»]*\\])?:.*?«/FN»', '', 'g'), '«(LN|AL|XL)(\\[[^«»]*\\])?:([^«»|]*\\|)*([^«»|]*)(»|«/(LN|AL|XL)»)', '\\4', 'g'), '«P»', ' '), '«/?[A-Z][A-Za-z0-9_]*(\\[[^«»]*\\])?(:[^«»]*»|:|»)', '', 'g'), '\\s+', ' ', 'g')), '^\\s*\\([^)]*\\)\\s*', ''), ' ') AS w FROM va) SELECT id, CASE WHEN len(w) > 12 THEN array_to_string(w[1:12], ' ') || '…' ELSE array_to_string(w, ' ') END AS preview FROM p")
 def pf13(spark, d):
     words = F.split(F.regexp_replace(X.plain_text("body"), r"^\s*\([^)]*\)\s*", ""), " ")
     return valid(spark, d).select("id", F.when(F.size(words) > 12, F.concat(F.array_join(F.slice(words, 1, 12), " "), F.lit("…"))).otherwise(F.array_join(words, " ")).alias("preview"))
@@ -354,7 +383,7 @@ def tx12(spark, d):
     return valid(spark, d).select("id", F.explode(markup.cells("body")).alias("c")).select("id", "c.row", "c.col", "c.text")
 
 
-@query("tx15_section_anchors")
+@query("tx15_section_anchors", "WITH l AS (SELECT id, unnest(range(0, len(s))) AS pos, unnest(s) AS name FROM (SELECT DISTINCT id, string_split(raw_text, chr(10)) AS s FROM source_pages)) SELECT DISTINCT id, CAST(pos AS INT) AS pos, name, lower(name) AS slug FROM l WHERE regexp_matches(name, '^[A-Z]{4,}$')")
 def tx15(spark, d):
     """Lines of capitals that stand alone in the pages, as anchors."""
     lines = table(spark, d, "source_pages").select("id", F.posexplode(F.split("raw_text", "\n")).alias("pos", "line")).where(F.col("line").rlike("^[A-Z]{4,}$"))

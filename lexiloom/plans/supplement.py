@@ -13,7 +13,9 @@ from lexiloom.functions import text as X
 from lexiloom.functions.types import BOOLEAN, STRING, rows
 from lexiloom.kernel import markers, wikitext
 from lexiloom.operators import sequence
-from lexiloom.plans.common import VA, VC, Registry, once, valid
+from lexiloom.plans.aggregates import SQL as AGGREGATE_SQL
+from lexiloom.plans.common import HEAD, VA, VC, Registry, head_key, once, valid
+from lexiloom.plans.joins import _CREDITS, credits
 from lexiloom.streaming import events as S
 from lexiloom.tables import table
 
@@ -26,14 +28,19 @@ QUERIES, SQL = query.queries, query.sql
 
 @query("st15_match_section", "WITH s AS (SELECT DISTINCT section_name AS s FROM articles WHERE section_name IS NOT NULL), n AS (SELECT DISTINCT target_section AS n FROM xrefs WHERE target_section IS NOT NULL), m AS (SELECT n, s, CASE WHEN lower(n) = lower(s) THEN 1 WHEN ends_with(lower(s), lower(n)) THEN 2 WHEN contains(lower(s), lower(n)) THEN 3 END AS tier FROM n JOIN s ON contains(lower(s), lower(n)) OR lower(s) = lower(n)) SELECT n, min(s) AS s FROM (SELECT *, dense_rank() OVER (PARTITION BY n ORDER BY tier) AS r FROM m) WHERE r = 1 GROUP BY n HAVING count(*) = 1")
 def st15(spark, d):
-    """Sections by exact name, then as an ending, then inside, if only one fits; names are cut into all their parts, so this is an equi-join."""
+    """Sections by exact name, then as an ending, then inside, if only one fits.
+
+    A name is inside another only where its first three letters (or all, if it is shorter) are, so names
+    are cut into their runs of up to three letters and this is an equi-join.
+    """
     s = table(spark, d, "articles").where("section_name IS NOT NULL").select(F.col("section_name").alias("s")).distinct()
     n = table(spark, d, "xrefs").where("target_section IS NOT NULL").select(F.col("target_section").alias("n")).distinct()
     low = F.lower("s")
-    ends = F.flatten(F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.transform(F.sequence(i, F.length("s")), lambda j: F.substring(low, i, j - i + 1))))
-    parts = s.select("s", F.explode(F.array_distinct(ends)).alias("k"))
-    tier = F.when(F.col("k") == low, 1).when(low.endswith(F.col("k")), 2).otherwise(3)
-    met = n.withColumn("k", F.lower("n")).join(parts, "k").select("n", "s", tier.alias("tier"))
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(3), F.length("s") - i + 1)), lambda k: F.substring(low, i, k))))
+    parts = s.where("s <> ''").select("s", F.explode(F.array_distinct(runs)).alias("run"))
+    k = F.lower("n")
+    tier = F.when(k == low, 1).when(low.endswith(k), 2).when(low.contains(k), 3)
+    met = n.where("n <> ''").withColumn("run", F.substring(k, 1, 3)).join(parts, "run").select("n", "s", tier.alias("tier")).where("tier IS NOT NULL")
     best = met.groupBy("n").agg(F.min("tier").alias("tier"))
     return met.join(best, ["n", "tier"]).groupBy("n").agg(F.min("s").alias("s"), F.count(F.lit(1)).alias("c")).where("c = 1").select("n", "s")
 
@@ -77,7 +84,8 @@ def _next(at, g, b):
     return F.coalesce(F.array_min(places), F.lit(0))
 
 
-@query("st32_given_compatible")
+@query("st32_given_compatible", rf"""WITH {VC}, a AS (SELECT DISTINCT id AS entry_id, list_filter(regexp_split_to_array(lower(strip_accents(full_name)), '[^a-z]+'), lambda x: x <> '') AS w FROM vol29_entries WHERE full_name IS NOT NULL), b AS (SELECT id, list_filter(regexp_split_to_array(lower(strip_accents(full_name)), '[^a-z]+'), lambda x: x <> '') AS w FROM vc)
+SELECT entry_id, id FROM a JOIN b ON a.w[-1] = b.w[-1] WHERE regexp_matches(array_to_string(b.w[:-2], ' ') || ' ', '^(?:[a-z]+ )*' || array_to_string(list_transform(a.w[:-2], lambda g: CASE WHEN length(g) = 1 THEN g || '[a-z]* ' ELSE g || ' ' END), '(?:[a-z]+ )*')) OR len(a.w) = 1""")
 def st32(spark, d):
     """Contributors and entries of one surname whose forenames go together."""
     def parts(df, name):
@@ -122,7 +130,7 @@ def st50(spark, d):
 # --- source text -------------------------------------------------------------------------------
 
 
-@query("st35_dehyphenate")
+@query("st35_dehyphenate", r"WITH v AS (" + AGGREGATE_SQL["ag1_hyphen_map"] + r"), c AS (SELECT DISTINCT id, lower(replace(unnest(regexp_extract_all(raw_text, '[A-Za-z]+-\n[A-Za-z]+')), chr(10), '')) AS pair FROM source_pages) SELECT id, c.pair, CASE WHEN coalesce(verdict, 'drop') = 'drop' THEN replace(c.pair, '-', '') ELSE c.pair END AS made FROM c LEFT JOIN v ON v.pair = c.pair")
 def st35(spark, d):
     """Pairs that a line end divides, joined or kept as the rest of the corpus writes them."""
     from lexiloom.plans.aggregates import ag1
@@ -277,13 +285,11 @@ def xa5(spark, d):
     return table(spark, d, "xrefs").select("id", F.upper(F.trim("normalized_target")).alias("k")).join(one, "k").select("id", "article_id").distinct()
 
 
-@query("xa8_bind_credits", f"WITH {VA}, e AS (SELECT DISTINCT id AS entry_id, trim(regexp_replace(upper(unnest(articles)), '[^A-Z0-9]+', ' ', 'g')) AS k FROM vol29_entries), t AS (SELECT trim(regexp_replace(upper(title), '[^A-Z0-9]+', ' ', 'g')) AS k, id FROM va) SELECT entry_id, id AS article_id FROM e JOIN t USING (k)")
+@query("xa8_bind_credits", f"WITH {VA}, c AS ({_CREDITS}) SELECT c.credit_id, min(va.id) AS article_id FROM c JOIN va ON {HEAD.format('va.title')} = {HEAD.format('c.subject')} GROUP BY 1")
 def xa8(spark, d):
-    def norm(c):
-        return F.trim(F.regexp_replace(F.upper(c), "[^A-Z0-9]+", " "))
-
-    e = table(spark, d, "vol29_entries").select(F.col("id").alias("entry_id"), F.explode("articles").alias("a")).select("entry_id", norm("a").alias("k")).distinct()
-    return e.join(valid(spark, d).select(norm("title").alias("k"), F.col("id").alias("article_id")), "k").select("entry_id", "article_id")
+    """The first article that goes by the name of a credit."""
+    rows = valid(spark, d).groupBy(head_key("title").alias("k")).agg(F.min("id").alias("article_id"))
+    return credits(spark, d).withColumn("k", head_key("subject")).join(rows, "k").select("credit_id", "article_id")
 
 
 @query("xa13_parts", "WITH p AS (SELECT DISTINCT id, string_split(raw_text, chr(10) || chr(10)) AS p FROM source_pages WHERE raw_text IS NOT NULL) SELECT id, unnest(range(1, len(p) + 1)) AS part, length(unnest(p)) AS chars FROM p")
@@ -291,7 +297,7 @@ def xa13(spark, d):
     return once(spark, d, "source_pages", "id", "raw_text").where("raw_text IS NOT NULL").select("id", F.posexplode(F.split("raw_text", "\n\n")).alias("pos", "t")).select("id", (F.col("pos") + 1).cast("bigint").alias("part"), F.length("t").cast("bigint").alias("chars"))
 
 
-@query("xa14_band_sequence")
+@query("xa14_band_sequence", f"WITH RECURSIVE {VA}, s AS (SELECT volume, id, substr(title, 1, 1) AS letter, row_number() OVER (PARTITION BY volume ORDER BY page_start, id) AS i FROM va WHERE title IS NOT NULL), w AS (SELECT volume, id, i, CASE WHEN letter = 'A' THEN 0 ELSE -1 END AS category FROM s WHERE i = 1 UNION ALL SELECT s.volume, s.id, s.i, CASE WHEN s.letter = chr(66 + w.category) THEN w.category + 1 ELSE w.category END FROM w JOIN s ON s.volume = w.volume AND s.i = w.i + 1) SELECT id, category FROM w")
 def xa14(spark, d):
     """The letter that each volume's titles have reached when read in page order."""
     rows_ = valid(spark, d).where("title IS NOT NULL").select("volume", "page_start", "id", F.substring("title", 1, 1).alias("letter"))
@@ -338,21 +344,23 @@ def xa28(spark, d):
     return valid(spark, d).where("article_type = 'plate'").select("id", F.element_at(F.array_distinct(F.array("title", F.substring_index("title", ",", 1))), 1).alias("signal"))
 
 
-@query("ud2_value_of")
+@query("ud2_value_of", "SELECT regexp_replace(upper(strip_accents(heading)), '[^A-Z0-9]+', '', 'g') AS key, min_by(category, (category, heading_id)) AS category, min_by(heading_id, (category, heading_id)) AS heading_id, count(*) AS n FROM headings GROUP BY 1")
 def ud2(spark, d):
     """An index whose value is any expression of the row."""
     def index(df, key, value):
         return df.groupBy(key.alias("key")).agg(F.min(value).alias("value"), F.count(F.lit(1)).alias("n"))
 
-    return index(table(spark, d, "headings"), X.article_norm("heading"), F.struct("category", "heading_id"))
+    return index(table(spark, d, "headings"), X.article_norm("heading"), F.struct("category", "heading_id")).select("key", "value.*", "n")
 
 
 # --- streams -----------------------------------------------------------------------------------
 
 
-@query("stream_event_windows")
+@query("stream_event_windows", "WITH w AS (SELECT date_trunc('day', ts) AS starts, event_type, count(*) AS n, round(sum(value), 3) AS total FROM events GROUP BY 1, 2) SELECT * FROM w WHERE starts + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)")
 def stream_windows(spark, d):
-    return S.drain(S.windowed_counts(S.read_table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "value"))
+    """Windows of a day that can get no more events: those that end an hour before the last one, or earlier."""
+    counted = S.windowed_counts(S.read_table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "value")
+    return S.drain(counted).select(F.col("starts").cast("timestamp_ntz").alias("starts"), "event_type", "n", F.round("total", 3).alias("total"))
 
 
 @query("stream_distinct_events", "SELECT event_id, event_type FROM events GROUP BY ALL")
@@ -365,5 +373,5 @@ def stream_distinct(spark, d):
 def stream_upsert(spark, d):
     target = S.shared_folder(spark, "pages")
     S.ingest(S.read_table(spark, d, "source_pages").select("id", "volume", "page_number"), target, ["id"])
-    return spark.read.parquet(f"{target}/current")
+    return spark.read.parquet(target).drop("batch")
 

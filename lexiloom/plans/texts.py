@@ -150,11 +150,12 @@ def st53_index_topic(spark, d):
     return table(spark, d, "vol29_entries").select("display", topic.alias("topic"), F.when(F.length("display") < 20, "short").otherwise("long").alias("size")).distinct()
 
 
-@query("st24_alternates")
+@query("st24_alternates", r"""WITH t AS (SELECT DISTINCT title, trim(regexp_replace(regexp_replace(title, '\s*\([^()]*\)', '', 'g'), '\s+', ' ', 'g')) AS bare FROM articles WHERE title IS NOT NULL),
+u AS (SELECT title, trim(regexp_replace(title, '\s+', ' ', 'g')) AS spelling FROM t UNION SELECT title, bare FROM t UNION SELECT title, trim(regexp_extract(title, '\(([^()]*)\)', 1)) FROM t UNION SELECT title, trim(unnest(regexp_split_to_array(bare, '(?i)\s+or\s+'))) FROM t) SELECT * FROM u WHERE spelling <> ''""")
 def st24_alternates(spark, d):
     return _titles(spark, d).select("title", F.explode(X.alternates("title")).alias("spelling"))
 
 
-@query("st27_honorific_set")
+@query("st27_honorific_set", r"SELECT DISTINCT full_name, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(regexp_extract(full_name, '(?i)^\s*((sir|rev|revd|the|hon|dr|prof|lord|lady|capt|col|general|gen|major|maj|very|right|rt|mr|mrs|miss)\b\.?\s*)+')), '[\s.]+'), lambda w: w <> ''))), ' ') AS titles FROM contributors")
 def st27_honorific_set(spark, d):
     return table(spark, d, "contributors").select("full_name", F.array_join(X.honorific_set("full_name"), " ").alias("titles")).distinct()

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.session import ensure_checkpoint_dir
-from lexiloom.sources.readers import upsert
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -43,24 +42,29 @@ def windowed_counts(events: DataFrame, at: str, kind: str, value: str, width: st
     return counted.select(F.col("w.start").alias("starts"), kind, "n", "total")
 
 
-def ingest(arrivals: DataFrame, target: str, keys: Sequence[str], overwrite: bool = False) -> None:
-    """Bring arriving rows into the table at ``target``: new keys are added, known ones stay or are replaced.
+def known_keys(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame | None:
+    """The keys of what has been ingested into ``target``, null if that is nothing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.parquet(target).select(*keys)
 
-    Each batch is written to a folder of its own before the pointer file moves on, so that a lost
-    batch can be run again.
+
+def ingest(arrivals: DataFrame, target: str, keys: Sequence[str], state: str | None = None) -> None:
+    """Add arriving rows whose keys are new to the table at ``target``.
+
+    Every batch is appended as the partition ``batch`` of its number and written over if it is run again,
+    so neither a lost batch nor a restart (with the same ``state``) loses or doubles a row, and no batch
+    rewrites what is there.  Of rows of one key in a batch the one with the greatest digest is taken.
     """
     spark = arrivals.sparkSession
-    state = shared_folder(spark, "ingest")
-    current = {"path": None}
 
     def merge(batch: DataFrame, number: int) -> None:
-        new = batch.dropDuplicates(list(keys))
-        old = spark.read.parquet(current["path"]) if current["path"] else None
-        merged = new if old is None else upsert(old, new, keys, overwrite)
-        path = f"{target}/version-{number:06d}"
-        merged.write.mode("overwrite").parquet(path)
-        current["path"] = path
-
-    arrivals.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    if current["path"]:
-        spark.read.parquet(current["path"]).write.mode("overwrite").parquet(f"{target}/current")
+        rest = [c for c in batch.columns if c not in keys]
+        new = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.xxhash64(*rest)).alias("__v")).select(*keys, "__v.*") if rest else batch.distinct()
+        old = known_keys(spark, target, [*keys, "batch"])
+        if old is not None:
+            new = new.join(old.where(F.col("batch") != number).select(*keys), list(keys), "left_anti")
+        new.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(target)
+
+    arrivals.writeStream.foreachBatch(merge).option("checkpointLocation", state or shared_folder(spark, "ingest")).trigger(availableNow=True).start().awaitTermination()

@@ -1,6 +1,6 @@
 import random
 
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -158,3 +158,91 @@ def test_unique_ids_are_unique(spark):
         df = spark.createDataFrame(rows, "id int, base string, other string")
         made = [r["made"] for r in sequence.unique_ids(df, "base", "other", ["id"], "made").collect()]
         assert len(made) == len(rows) == len(set(made))
+
+
+def chains(text, signs, expected):
+    """All chains by brute force: the greatest number placed, then the least distance."""
+    best = (0, 0)
+    found = [[i for i in range(len(text)) if s and text.startswith(s, i)] for s in signs]
+
+    def walk(at, last, placed, cost):
+        nonlocal best
+        if at == len(signs):
+            best = min(best, (-placed, cost))
+            return
+        walk(at + 1, last, placed, cost)
+        for p in found[at]:
+            if p >= last:
+                walk(at + 1, p, placed + 1, cost + abs(p - expected[at]))
+
+    walk(0, 0, 0, 0)
+    return best
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab", max_size=12), st.lists(st.tuples(st.text("ab", max_size=2), st.integers(0, 12)), max_size=5))
+def test_places_are_the_best_chain(text, wanted):
+    signs, expected = [w[0] for w in wanted], [w[1] for w in wanted]
+    got = sequence.locate(text, signs, expected)
+    placed = [(p, e) for p, e in zip(got, expected) if p is not None]
+    assert all(text.startswith(s, p) for s, p in zip(signs, got) if p is not None)
+    assert [p for p, _ in placed] == sorted(p for p, _ in placed)
+    assert (-len(placed), sum(abs(p - e) for p, e in placed)) == chains(text, signs, expected)
+
+
+def test_a_far_page_is_placed_all_the_same():
+    text = "x" * 20_000 + "theabbey"
+    assert sequence.locate(text, ["theabbey"], [0]) == [20_000] and sequence.locate("", ["a", ""], [0, 0]) == [None, None]
+
+
+@given(st.lists(st.one_of(st.none(), st.integers(0, 9)), max_size=12))
+def test_reachable(values):
+    for i, (v, fine) in enumerate(zip(values, sequence.reachable(values))):
+        later = values[i + 1 :]
+        assert fine == (v is not None and 2 * sum(x is not None and x >= v for x in later) >= len(later))
+
+
+def test_previous_over_blocks(spark):
+    from lexiloom.operators.ordered import previous
+
+    df = spark.range(200).selectExpr("CASE WHEN id % 5 = 0 THEN 'rare' ELSE 'hot' END AS k", "id")
+    got = {(r["k"], r["id"]): r["p"] for r in previous(df, ["k"], ["id"], "id", "p", blocks=7).collect()}
+    for k in ("rare", "hot"):
+        ids = sorted(i for kk, i in got if kk == k)
+        assert [got[k, i] for i in ids] == [None, *ids[:-1]]
+
+
+def test_outlines_of_any_depth_and_circles(spark):
+    rows = [("a", i, i % 12, f"n{i}") for i in range(60)] + [("a", 60, None, "last")]
+    df = spark.createDataFrame(rows, "k string, at int, level int, id string")
+    got = {r["id"]: r["parent"] for r in graph.parents_by_level(df, ["k"], "at", "level", "id").collect()}
+    for _, i, level, name in rows[:-1]:
+        before = [n for _, j, l, n in rows[:i] if l < level]
+        assert got[name] == (before[-1] if before else None)
+    assert got["last"] == "n59"
+    deep = spark.createDataFrame([(str(i), str(i - 1) if i else None, "n") for i in range(70)] + [("x", "y", "x"), ("y", "x", "y")], "id string, parent string, name string")
+    assert graph.flatten(deep).count() == 70
+
+
+def test_valid_rows_are_whole(spark, tmp_path):
+    from datetime import datetime
+
+    from lexiloom.plans.common import valid
+
+    at = datetime(2024, 1, 1)
+    rows = [(1, "a", 1, "x", at, None), (1, "b", 2, "y", at, None), (2, "c", 3, "old", at, None), (2, "d", 4, None, datetime(2024, 2, 1), None), (3, "e", 5, "z", at, at), (None, "f", 6, "n", at, None)]
+    spark.createDataFrame(rows, "id long, title string, volume int, body string, loaded_at timestamp_ntz, deleted_at timestamp_ntz").write.parquet(str(tmp_path / "articles.parquet"))
+    got = {r["id"]: (r["title"], r["volume"], r["body"]) for r in valid(spark, str(tmp_path)).collect()}
+    assert got[1] in {("a", 1, "x"), ("b", 2, "y")} and got[2] == ("d", 4, None) and set(got) == {1, 2}
+
+
+def test_ingest_appends_and_may_be_run_again(spark, tmp_path):
+    from lexiloom.streaming import events as S
+
+    source, target, state = (str(tmp_path / n) for n in ("source", "target", "state"))
+    schema = "id long, v string"
+    for batch in ([(1, "a"), (1, "b"), (2, "c")], [(2, "new"), (3, "d")]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        S.ingest(spark.readStream.schema(schema).parquet(source), target, ["id"], state)
+    got = {r["id"]: (r["v"], r["batch"]) for r in spark.read.parquet(target).collect()}
+    assert got[1][0] in ("a", "b") and got[2] == ("c", 0) and got[3] == ("d", 1)

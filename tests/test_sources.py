@@ -80,4 +80,4 @@ def test_streams(spark, tmp_path):
     days = S.drain(S.windowed_counts(S.read_table(spark, str(tmp_path), "events"), "ts", "event_type", "value")).collect()
     assert all(r["n"] == 24 for r in days) and len(days) == 4
     S.ingest(S.read_table(spark, str(tmp_path), "events").select("event_id"), str(tmp_path / "target"), ["event_id"])
-    assert spark.read.parquet(str(tmp_path / "target" / "current")).count() == 40
+    assert spark.read.parquet(str(tmp_path / "target")).count() == 40

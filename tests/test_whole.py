@@ -41,14 +41,28 @@ def test_all_alike_names_of_a_surname(spark, tmp_path):
     assert run(spark, tmp_path, "jn19_ratio_pairs", contributors=contributors(rows)) == sorted(expected)
 
 
+def expanded(pairs, members):
+    """The pairs of all members of two classes that their representatives are paired for, and the pairs within a class."""
+    classes = {}
+    for i, c in members:
+        classes.setdefault(c, []).append(i)
+    across = [(min(x, y), max(x, y), *rest) for a, b, *rest in pairs for x in classes[a] for y in classes[b]]
+    within = [p for ids in classes.values() for p in itertools.combinations(sorted(ids), 2)]
+    return sorted(across), sorted(within)
+
+
 def test_pairs_that_differ_in_credentials_without_the_first_record(spark, tmp_path):
     rows = [(1, "John Lee", "M.A."), (2, "James Lee", "M.A."), (3, "Jane Lée", None), (4, "Jo Lee", ""), (5, "Jack Lee", None), (6, "Ann Lee", "B.A."), (7, None, "x")]
-    assert run(spark, tmp_path, "rs21_dedup_gate", contributors=contributors(rows)) == [(1, 3), (1, 4), (1, 5), (2, 3), (2, 4), (2, 5), (3, 4), (4, 5)]
+    pairs = run(spark, tmp_path, "rs21_dedup_gate", contributors=contributors(rows))
+    assert pairs == [(1, 3), (1, 4), (3, 4)]
+    assert expanded(pairs, run(spark, tmp_path, "rs21_class_members"))[0] == [(1, 3), (1, 4), (1, 5), (2, 3), (2, 4), (2, 5), (3, 4), (4, 5)]
 
 
 def test_forename_scores_without_the_first_record(spark, tmp_path):
     rows = [(1, "Ann Lee", None), (2, "John Lee", None), (3, "John Lee", None), (4, "James Lee", None), (5, "Lee", None), (6, None, None), (7, "ann Quill", None)]
-    assert run(spark, tmp_path, "st33_first_name_score", contributors=contributors(rows)) == [
+    pairs = run(spark, tmp_path, "st33_first_name_score", contributors=contributors(rows))
+    across, within = expanded(pairs, run(spark, tmp_path, "st33_classes"))
+    assert sorted(across + [(*p, 2) for p in within]) == [
         (1, 2, 0), (1, 3, 0), (1, 4, 0), (1, 5, 0), (2, 3, 2), (2, 4, 1), (2, 5, 0), (3, 4, 1), (3, 5, 0), (4, 5, 0)
     ]
 
@@ -79,41 +93,3 @@ def test_articles_of_all_volumes_are_written(spark, tmp_path):
 def test_entities_of_pages_that_have_some(spark, tmp_path):
     rows = [(1, 1, 1, None, "Caf&eacute; &amp; &lt;b&gt; &#60; &vert; &mdash;"), (2, 1, 2, None, "plain"), (3, 1, 3, None, None)]
     assert run(spark, tmp_path, "st37_entities", source_pages=pages(rows)) == [(1, "Café & &lt;b&gt; &#60; &vert; —"), (2, "plain")]
-
-
-def test_variants_of_a_common_surname_are_linked(spark):
-    from lexiloom.llm import people
-
-    firsts = "Bernard Clement Douglas Ernest Frederick Gilbert Herbert Isaac Kenneth Leonard Maurice Norman Oliver Percival Quentin Reginald Stephen Theodore Ursula Vincent Walter Xavier".split()
-    rows = [(i, f"{f} Smith", None, None, None) for i, f in enumerate(firsts)]
-    rows += [(100, "John Smith", "F.L.S.", "ferns", None), (101, "John Arthur Smith", "F.L.S.", "ferns", None), (102, "SMITH, J.", "FLS", "ferns", None), (103, "John A. Smyth", "F.L.S.", "ferns", None), (104, "John Smith", "M.A.", "coins", None)]
-    draw = random.Random(1)
-    rows += [(200 + i, f"{draw.choice(firsts)} {''.join(draw.choices('bcdefghiklmnoprstuvw', k=9))}", None, None, None) for i in range(400)]
-    df = spark.createDataFrame(rows, "rid long, name string, letters string, field string, signature string")
-    linked = {r["rid"]: r["entity"] for r in people.link_names(df).collect()}
-    assert [linked[i] for i in (100, 101, 102, 103, 104)] == [100, 100, 100, 100, 104]
-    assert all(linked[i] == i for i in range(len(firsts)))
-
-
-def scanned(spark, lines):
-    return spark.createDataFrame([(1, 1, 1, "raw_text", "\n".join(lines))], "page_id long, volume int, page_number int, field_name string, text string")
-
-
-def test_a_misread_form_of_the_fifth_form_of_its_group(spark):
-    from lexiloom.llm import scan
-
-    frequent = ["soil", "soll", "sorl", "sori", "son"]
-    assert len({scan.skeleton(w) for w in [*frequent, "sou"]}) == 1
-    counted = spark.createDataFrame([("word", w, 9000 - i) for i, w in enumerate(frequent[:4])] + [("word", "son", 600), ("word", "sou", 10)], "kind string, word string, n long")
-    expected = {w for w in frequent if scan.misreads("sou", 10, w, 9000 if w != "son" else 600)}
-    assert expected == {"son"}, expected
-    assert {tuple(r) for r in scan.misread_forms(counted).collect()} == {("sou", "son")}
-
-
-def test_words_beyond_the_most_frequent_may_be_contested(spark, monkeypatch):
-    from lexiloom.llm import scan
-
-    monkeypatch.setattr(scan, "FREQUENT", 3)
-    lines = ["but it had fallen on some of the great old"] * 60 + ["see if the merchants of the great old"] * 60 + ["but if had fallen on some of the great old"]
-    found, _, _ = scan.noise(scanned(spark, lines))
-    assert (121, "misread") in {(r["line_no"], r["kind"]) for r in found.collect()}
