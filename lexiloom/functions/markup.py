@@ -46,6 +46,7 @@ def _named(names: str, f: Callable[[str], list]) -> Callable[[str], list]:
 elements = _rows(_named("path depth ord label raw", lambda t: list(wikitext.rows(wikitext.parse(t)))), rows("path:string,depth:int,ord:int,label:string,raw:string"))
 links = _rows(_named("type target display surface", lambda t: list(markers.links(t))), rows("type:string,target:string,display:string,surface:string"))
 sections = _rows(_named("kind level name", markers.sections), rows("kind:string,level:int,name:string"))
+notes = _rows(_named("number name text uses", markers.notes), rows("number:int,name:string,text:string,uses:int"))
 spans = _rows(_named("name start end", markers.spans), rows("name:string,start:int,end:int"))
 dangling = _rows(markers.dangling, array("string"))
 cells = _rows(

@@ -99,6 +99,23 @@ def plain(nodes: list) -> str:
     return "".join(n if isinstance(n, str) else "" if n.name in ("FN", "MATH", "EQN", "IMG", "ANCHOR") else " " if n.name in EMPTY else plain(n.children) or n.payload.split("|")[-1] for n in nodes)
 
 
+def notes(text: str) -> list[tuple[int, str, str, int]]:
+    """``(number, name, text, uses)`` of the notes of a stream by their first place; repetitions of a name share a number, and the first of them that says something is the note."""
+    found: dict[object, list] = {}
+
+    def walk(nodes: list) -> None:
+        for n in nodes:
+            if isinstance(n, Mark):
+                if n.name == "FN":
+                    inner = n.raw[n.raw.index(":") + 1 : -len("«/FN»")]
+                    note = found.setdefault(n.attrs or len(found), [len(found) + 1, n.attrs, "", 0])
+                    note[2], note[3] = note[2] or inner, note[3] + 1
+                walk(n.children)
+
+    walk(parse(text))
+    return [tuple(n) for n in found.values()]
+
+
 def sections(text: str) -> list[tuple[str, int, str]]:
     """``(kind, level, name)`` of section marks, shoulder heads and anchors in order."""
     kinds = {"SEC": ("sec", 1), "SH": ("sh", 2), "ANCHOR": ("anchor", 3)}

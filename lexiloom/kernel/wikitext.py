@@ -37,6 +37,8 @@ def construct_end(text: str, start: int) -> int:
     if opener == "<!--":
         end = text.find("-->", start)
         return end + 3 if end >= 0 else -1
+    if text.startswith("{{{", start) and not text.startswith("{{{{", start):
+        return _balanced(text, start + 3, "}}}")
     if opener == "{{":
         return _balanced(text, m.end(), "}}")
     if opener == "{|":
@@ -163,18 +165,109 @@ TEMPLATES = {
     "x-larger": "STYLE", "hws": "SPLIT_WORD", "hwe": "SPLIT_WORD", "anchor": "ANCHOR", "anchor+": "ANCHOR", "dhr": "SPACER", "rule": "RULE", "nop": "STRIP", "-": "STRIP", "lang": "LANG",
     "fraction": "FRACTION", "frac": "FRACTION", "sfrac": "FRACTION", "ref": "REF", "shoulder": "SHOULDER", "sidenote": "SHOULDER", "hanging indent": "HANGING_INDENT", "ppoem": "PPOEM",
     "author link": "AUTHOR_LINK", "article link": "ARTICLE_LINK", "link": "ARTICLE_LINK", "image": "IMAGE", "img float": "IMAGE", "coords": "COORDINATES", "missing image": "MISSING", "missing math": "MISSING",
-    "dropinitial": "DROP_INITIAL", "di": "DROP_INITIAL", "nobr": "STYLE", "sup": "SUP", "sub": "SUB", "ts": "TABLE_STYLE",
+    "dropinitial": "DROP_INITIAL", "drop initial": "DROP_INITIAL", "di": "DROP_INITIAL", "nobr": "STYLE", "sup": "SUP", "sub": "SUB", "ts": "TABLE_STYLE",
+    "cite": "CITE", "lb": "LB", "lb-": "LB", "lps": "SPLIT_WORD", "lpe": "SPLIT_WORD", "main other": "MAIN_OTHER", "fs": "PARAM", "font size": "PARAM", "size": "PARAM", "ti": "PARAM", "margin-left": "PARAM",
+    "csc": "CENTER", "hi": "HANGING_INDENT", "outdent": "HANGING_INDENT", "brace2": "BRACE", "dual line": "DUAL_LINE", "equation": "MATH_EQUATION", "mathform1": "MATH_EQUATION", "ne": "MATH_EQUATION",
+    "hieroglyph": "HIEROGLYPH", "reflist": "REFS", "smallrefs": "REFS", "figure": "IMAGE", "fi": "IMAGE", "fis": "IMAGE", "raw image": "IMAGE", "css image crop": "IMAGE", "plain image with caption": "IMAGE",
+    "tooltip": "CONTENT_EXTRACT", "abbr": "CONTENT_EXTRACT", "sic": "CONTENT_EXTRACT", "definition": "CONTENT_EXTRACT", "nodent": "CONTENT_EXTRACT", "greek": "LANG", "polytonic": "LANG", "hebrew": "LANG", "arabic": "LANG",
+    "em": "SPACER", "gap": "SPACER", "clear": "SPACER", "ditto": "SPACER", "bar": "SPACER", "shy": "SPACER", "=": "SPACER", "(": "SPACER", ")": "SPACER", "!": "SPACER", "'": "SPACER", "*": "SPACER", "...": "SPACER",
+    "section": "ANCHOR", "over": "FRACTION", "mfrac": "FRACTION", "familytree": "CHART2", "chart2": "CHART2", "tree chart": "CHART2", "left": "STYLE", "right": "STYLE", "fine block": "STYLE", "uc": "UPPER_CASE",
 }
+#: What leaves without content show.
+LEAVES = {"em": " ", "gap": " ", "clear": "", "ditto": "″", "bar": "—", "shy": "\xad", "=": "=", "(": "{{", ")": "}}", "!": "|", "'": "'", "*": "*", "...": "…"}
 TAGS = {
     "b": "BOLD", "i": "ITALIC", "em": "ITALIC", "strong": "BOLD", "ref": "REF", "br": "BR", "math": "MATH", "score": "SCORE", "nowiki": "NOWIKI", "noinclude": "NOINCLUDE", "includeonly": "INCLUDEONLY",
     "section": "SECTION", "poem": "PPOEM", "blockquote": "BLOCKQUOTE", "center": "CENTER", "sup": "SUP", "sub": "SUB", "ol": "OLIST", "ul": "ULIST", "li": "ITEM", "table": "HTML_TABLE", "tr": "ROW", "td": "TD",
     "th": "TH", "caption": "CAPTION", "span": "SPAN", "div": "DIV", "del": "DELETED", "ins": "INSERTED", "pre": "NOWIKI", "chem": "MATH", "hr": "RULE", "p": "DIV", "small": "STYLE", "big": "STYLE", "tt": "STYLE",
+    "references": "REFS", "pagequality": "PAGEQUALITY", "bdo": "HTML_STYLE",
 }
 
 
 def parse(text: str) -> Element:
-    """The tree of a marked-up text."""
-    return Element("BODY", children=_children(text), raw=text)
+    """The tree of a marked-up text.  Lines that begin with colons or number signs are paragraphs set in and list items."""
+    return Element("BODY", children=_blocks(text), raw=text)
+
+
+_SET_IN = re.compile(r"^(:+|#+)[^\S\n]*", re.M)
+
+
+def _blocks(text: str) -> list:
+    if not _SET_IN.search(text):
+        return _children(text)
+    out: list = []
+    plain_lines: list[str] = []
+    items: list[Element] = []
+
+    def close() -> None:
+        if items:
+            out.append(Element("LIST", children=list(items), raw="\n".join(i.raw for i in items)))
+            items.clear()
+        if plain_lines:
+            out.extend(_children("\n".join(plain_lines) + "\n"))
+            plain_lines.clear()
+
+    for line in _top_lines(text):
+        m = _SET_IN.match(line)
+        if m and m.group(1)[0] == "#":
+            if plain_lines:
+                close()
+            items.append(Element("LIST_ITEM", children=_children(line[m.end() :]), raw=line))
+        elif m:
+            close()
+            out.append(Element("INDENT", str(len(m.group(1))), children=_children(line[m.end() :]), raw=line))
+        else:
+            if items:
+                close()
+            plain_lines.append(line)
+    if plain_lines and not items:
+        out.extend(_children("\n".join(plain_lines)))
+    else:
+        close()
+    return out
+
+
+def _top_lines(text: str) -> list[str]:
+    """Lines, none of which ends inside a construct."""
+    inside = list(constructs(text))
+    cuts, k = [], 0
+    for m in re.finditer("\n", text):
+        while k < len(inside) and inside[k][1] <= m.start():
+            k += 1
+        if k == len(inside) or m.start() < inside[k][0]:
+            cuts.append(m.start())
+    return [text[a:b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(text)])]
+
+
+_HALF = re.compile(r"^\{\{\s*([^{}|/]*?)\s*/\s*(s|e|start|end)\s*(?:\|[^{}]*)?\}\}$", re.I)
+#: Charts that are shown as an image.
+CHARTS = ("chart2", "familytree", "tree chart")
+
+
+def _paired(nodes: list) -> list:
+    """The nodes, where a ``NAME/s`` and the ``NAME/e`` that closes it hold what stands between them; a half alone is a mark."""
+    out: list = []
+    open_: list[tuple[str, int]] = []
+    for node in nodes:
+        m = _HALF.match(node.raw) if isinstance(node, Element) and node.raw.startswith("{{") else None
+        if not m:
+            out.append(node)
+            continue
+        name = m.group(1).lower()
+        if m.group(2).lower() in ("s", "start"):
+            node.label, node.children = "WRAP_OPEN", []
+            open_.append((name, len(out)))
+            out.append(node)
+            continue
+        at = next((i for n, i in reversed(open_) if n == name), None)
+        if at is None:
+            node.label, node.children = "WRAP_CLOSE", []
+            out.append(node)
+            continue
+        inner = out[at + 1 :]
+        raw = out[at].raw + "".join(n if isinstance(n, str) else n.raw for n in inner) + node.raw
+        out[at:] = [Element("GENEALOGY" if name in CHARTS else "PAIRED_WRAPPER", name, out[at].args, out[at].named, inner, raw)]
+        open_ = [(n, i) for n, i in open_ if i < at]
+    return out
 
 
 def _children(text: str) -> list:
@@ -186,16 +279,36 @@ def _children(text: str) -> list:
         at = end
     if at < len(text):
         out.append(text[at:])
-    return out
+    return _paired(out)
+
+
+def _template_label(key: str, args: list[str]) -> str:
+    """The label of a template by its name, or by what the name ends in."""
+    if key in TEMPLATES:
+        return TEMPLATES[key]
+    for ending, label in (("intra-article link", "INTRA_ARTICLE_LINK"), ("article link", "ARTICLE_LINK"), ("lkpl", "TARGET_FIRST_LINK"), ("link", "ARTICLE_LINK"), ("shoulder heading", "SHOULDER"), ("margin note", "SHOULDER")):
+        if key.endswith(ending):
+            return label
+    for ending, label in (("heading", "PAGE_HEADING"), ("footer", "CONTRIBUTOR_FOOTER"), ("coordinates", "COORDINATES"), ("frac", "FRACTION")):
+        if key.endswith(ending):
+            return label
+    if key.startswith(("toc row", "dtpl", "dotted toc")):
+        return "TOC_ROW"
+    if re.search(r"\\over(?![a-z])", key):
+        return "FRACTION"
+    return "DOUBLE_BRACE_LEAK"
 
 
 def _element(raw: str) -> Element:
     if raw.startswith("<!--"):
         return Element("COMMENT", raw=raw)
+    if raw.startswith("{{{") and raw.endswith("}}}"):
+        name, *default = split_top(raw[3:-3])
+        return Element("PARAM_DEFAULT", name.strip(), default[:1], {}, _children(default[0]) if default else [], raw)
     if raw.startswith("{{"):
         name, args, named = parameters(raw[2:-2])
         key = re.sub(r"\s+", " ", name.lower().replace("_", " "))
-        label = TEMPLATES.get(key) or ("ARTICLE_LINK" if key.endswith("link") else "PAGE_HEADING" if key.endswith("heading") else "DOUBLE_BRACE_LEAK")
+        label = _template_label(key, args)
         slots = args if label != "DOUBLE_BRACE_LEAK" else []
         return Element(label, name, args, named, [Element("SLOT", str(i), children=_children(a)) for i, a in enumerate(slots)], raw)
     if raw.startswith("{|"):
@@ -203,13 +316,17 @@ def _element(raw: str) -> Element:
     if raw.startswith("[["):
         target, *rest = split_top(raw[2:-2])
         kind = target.strip().lower()
-        label = "IMAGE" if kind.startswith(("file:", "image:")) else "AUTHOR_LINK" if kind.startswith("author:") else "WIKILINK"
+        label = "IMAGE" if kind.startswith(("file:", "image:")) else "AUTHOR_LINK" if kind.startswith("author:") else "FRAGMENT_LINK" if kind.startswith("#") else "WIKILINK"
         shown = rest[-1] if rest else target
         return Element(label, target.strip(), rest, {}, _children(shown), raw)
     m = _OPEN.match(raw)
     name = m.group("tag").lower()
     attrs = dict(re.findall(r"([\w-]+)\s*=\s*[\"']?([^\"'>]*)[\"']?", m.group("attrs") or ""))
     label = TAGS.get(name, "TAG_LEAK")
+    if name == "span" and "title" in attrs:
+        label = "SPAN_TITLE"
+    elif name in ("span", "div", "p", "ins") and ("style" in attrs or "align" in attrs):
+        label = "HTML_STYLE"
     if m.end() == len(raw):
         return Element("REF_SELF" if name == "ref" else label, name, [], attrs, [], raw)
     inner = raw[m.end() : raw.rfind("</")]
@@ -351,7 +468,7 @@ class Producer:
     def _hanging_indent(self, node): return self._wrap("DIV[hanging]", self._inner(node))
     def _div(self, node): return self._wrap("DIV", self.join(node))
     def _br(self, node): return "«BR»"
-    def _spacer(self, node): return "«DHR»"
+    def _spacer(self, node): return LEAVES.get(node.name.lower(), "«DHR»")
     def _rule(self, node): return "«BAR»"
     def _shoulder(self, node): return self._wrap("SH", self._inner(node))
     def _nowiki(self, node): return html.unescape(self.join(node)) if node.name != "nowiki" else self.join(node)
@@ -367,9 +484,83 @@ class Producer:
 
     def _split_word(self, node: Element) -> str:
         """The two halves of a word that a page end divides: the second carries the whole."""
-        return self.slot(node, 1) if node.name.lower() == "hwe" else ""
+        return self.slot(node, 1) if node.name.lower() in ("hwe", "lpe") else ""
+
+    def _cite(self, node): return self._wrap("I", self.slot(node, 0))
+    def _lb(self, node): return f"{self.slot(node, 0)} lb".strip()
+    def _upper_case(self, node): return self._inner(node).upper()
+    def _main_other(self, node): return self.slot(node, 0)
+    def _param_default(self, node): return self.join(node) if node.args else node.raw
+    def _param(self, node): return self._wrap(f"SPAN[style:{self._style_of(node)}]", self._inner(node))
+    def _html_style(self, node): return self._wrap(f"{'DIV' if node.name in ('div', 'p') else 'SPAN'}[style:{node.named.get('style') or 'text-align:' + node.named.get('align', '')}]", self.join(node))
+    def _span_title(self, node): return self.join(node)
+    def _content_extract(self, node): return self.slot(node, len(node.children) - 1 if node.name.lower() == "definition" else 0)
+    def _brace(self, node): return "}" if self.slot(node, 1).strip().lower().startswith("r") else "{"
+    def _dual_line(self, node): return "«BR»".join(self.slot(node, i).strip() for i in range(2))
+    def _toc_row(self, node): return " … ".join(s for i in range(len(node.children)) if (s := self.slot(node, i).strip()))
+    def _hieroglyph(self, node): return f"«HIERO:{self.slot(node, 0).strip()}«/HIERO»"
+    def _refs(self, node): return ""
+    def _pagequality(self, node): return ""
+    def _contributor_footer(self, node): return self._wrap("SIGN", " ".join(s for i in range(len(node.children)) if (s := self.slot(node, i).strip())))
+    def _wrap_open(self, node): return f"«{self._half(node)}»"
+    def _wrap_close(self, node): return f"«/{self._half(node)}»"
+    def _chart2(self, node): return "{{IMG:" + slug(node.name) + ".jpg|Genealogical table}}"
+    def _list_item(self, node): return f"«LI»{self.join(node).strip()}«/LI»"
+    def _list(self, node): return "«OL»" + self.join(node) + "«/OL»"
+    def _indent(self, node): return self._wrap(f"DIV[indent:{node.name}]", self.join(node).strip()) + "\n"
+
+    @staticmethod
+    def _half(node: Element) -> str:
+        """The mark of a wrapper by its name."""
+        name = _HALF.match(node.raw).group(1).lower()
+        return {"c": "CTR", "center": "CTR", "center block": "CTR", "smaller block": "SMALL", "fine block": "SMALL"}.get(name, "DIV")
+
+    @staticmethod
+    def _style_of(node: Element) -> str:
+        value = node.args[0].strip() if len(node.args) > 1 else ""
+        return {"ti": "text-indent", "margin-left": "margin-left"}.get(node.name.lower(), "font-size") + f":{value or 'inherit'}"
+
+    def _paired_wrapper(self, node: Element) -> str:
+        name = {"c": "CTR", "center": "CTR", "center block": "CTR", "smaller block": "SMALL", "fine block": "SMALL"}.get(node.name, "DIV")
+        return self._wrap(name, self.join(node).strip())
+
+    def _genealogy(self, node: Element) -> str:
+        """A chart as its image, with the notes that it holds."""
+        notes: list[str] = []
+
+        def walk(tree: Element) -> None:
+            for child in tree.children:
+                if isinstance(child, Element):
+                    if child.label in ("REF", "REF_SELF"):
+                        notes.append(self.element(child))
+                    else:
+                        walk(child)
+
+        walk(node)
+        return "{{IMG:" + slug(node.name) + ".jpg|Genealogical table}}" + "".join(notes)
+
+    def _math_equation(self, node: Element) -> str:
+        """A displayed equation: its number, which is the slot in brackets or of figures alone, and the rest."""
+        slots = [self.slot(node, i).strip() for i in range(len(node.children))]
+        number = next((i for i, s in enumerate(slots) if re.fullmatch(r"\(?\w{1,6}\)?[.,;]?", s)), None)
+        body = " ".join(s for i, s in enumerate(slots) if s and i != number)
+        label = equation_label(slots[number]) if number is not None else ""
+        return f"«EQN[{label}]:{body}«/EQN»" if label else f"«EQN:{body}«/EQN»"
+
+    def _target_first_link(self, node: Element) -> str:
+        target = node.args[0].strip() if node.args else ""
+        return f"«LN:{target}|{self.slot(node, 1) or target}«/LN»" if target else node.raw
+
+    def _fragment_link(self, node: Element) -> str:
+        return f"«LN:{node.name}|{self.join(node).lstrip('#')}«/LN»"
+
+    def _intra_article_link(self, node: Element) -> str:
+        target = node.args[0].strip() if node.args else ""
+        return f"«LN:#{target}|{self.slot(node, len(node.children) - 1) or target}«/LN»" if target else node.raw
 
     def _fraction(self, node: Element) -> str:
+        if not node.children and (m := re.match(r"^(.*?)\s*\\over(?![A-Za-z])\s*(.*)$", node.name)):
+            return f"{m.group(1).strip()}/{m.group(2).strip()}"
         parts = [self.join(c) for c in node.children]
         return f"{parts[0]} {parts[1]}/{parts[2]}" if len(parts) > 2 else "/".join(parts)
 
@@ -429,6 +620,13 @@ class Producer:
         return "«TR»" + "".join(self._cell(c) for c in node.children if isinstance(c, Element)) + "«/TR»"
 
 
+def equation_label(text: str) -> str:
+    """The number of an equation without marks, brackets and the point of its sentence."""
+    text = re.sub(r"«[^«»]*»", "", text).strip()
+    m = re.match(r"[(\[]\s*([^()\[\]]*?)\s*[)\]]", text)
+    return m.group(1) if m else text.rstrip(".,;:").strip()
+
+
 def slug(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", "-", text.strip().lower()).strip("-")
 

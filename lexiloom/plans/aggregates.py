@@ -434,10 +434,14 @@ def so9(spark, d):
 # --- set operations ----------------------------------------------------------------------------
 
 
-@query("se1_block_starts", "SELECT volume, 0 AS at FROM source_pages UNION SELECT volume, page_number FROM source_pages WHERE page_number % 5 = 0 UNION SELECT volume, page_start FROM articles")
+@query("se1_block_starts", f"WITH {VA}, p AS (SELECT id, string_split(body, chr(10) || chr(10)) AS s FROM va WHERE body IS NOT NULL), b AS (SELECT id, unnest(range(1, len(s) + 1)) AS i, length(unnest(s)) + 2 AS n FROM p), o AS (SELECT id, coalesce(sum(n) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM b) SELECT id, at FROM o UNION SELECT s.article_id, s.body_offset FROM article_segments s JOIN p ON p.id = s.article_id")
 def se1(spark, d):
-    pages = table(spark, d, "source_pages")
-    return pages.select("volume", F.lit(0).alias("at")).unionByName(pages.where("page_number % 5 = 0").select("volume", F.col("page_number").alias("at"))).unionByName(table(spark, d, "articles").select("volume", F.col("page_start").alias("at"))).distinct()
+    """Where blocks begin in the valid bodies: at 0, after each blank line, and where a page begins."""
+    bodies = valid(spark, d).where("body IS NOT NULL").select("id", "body")
+    sizes = F.transform(F.split("body", "\n\n"), lambda p: F.length(p) + 2)
+    starts = F.transform(sizes, lambda n, i: F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda at, x: at + x).cast("bigint"))
+    keys = table(spark, d, "article_segments").select(F.col("article_id").alias("id"), F.col("body_offset").cast("bigint").alias("at"))
+    return bodies.select("id", F.explode(starts).alias("at")).unionByName(keys.join(bodies.select("id"), "id", "left_semi")).distinct()
 
 
 _ALIAS = "al AS (SELECT upper(trim(surface_text)) AS alias, upper(trim(normalized_target)) AS target, 1 AS p FROM xrefs UNION ALL SELECT upper(split_part(heading, ',', 1)), heading, 2 FROM headings WHERE contains(heading, ',') UNION ALL SELECT upper(display), upper(full_name), 3 FROM vol29_entries)"

@@ -344,9 +344,12 @@ def tx1(spark, d):
     return valid(spark, d).groupBy("volume").agg(F.count(F.lit(1)).alias("n_articles"), F.count_if(F.ltrim("body").startswith("«B»")).alias("titled"))
 
 
-@query("tx2_plates_first", f"WITH {VA} SELECT id, article_type = 'plate' AS plate FROM va WHERE article_type IS NOT NULL")
+@query("tx2_plates_first", f"SELECT DISTINCT volume, page_number, CASE WHEN {_FOLIO} IS NULL AND coalesce(contains(raw_text, '[Image of leaf'), FALSE) AND NOT coalesce(contains(wikitext, 'front matter'), FALSE) THEN 'plate' ELSE 'text' END AS part FROM source_pages WHERE trim(coalesce(wikitext, raw_text, ''), ' ' || chr(10)) <> ''")
 def tx2(spark, d):
-    return valid(spark, d).where("article_type IS NOT NULL").select("id", (F.col("article_type") == "plate").alias("plate"))
+    """The pages that are not blank, divided into plates and those that the walk cuts into articles."""
+    image, front = F.coalesce(F.col("raw_text").contains("[Image of leaf"), F.lit(False)), F.coalesce(F.col("wikitext").contains("front matter"), F.lit(False))
+    pages = table(spark, d, "source_pages").where(F.trim(F.coalesce("wikitext", "raw_text", F.lit("")), F.lit(" \n")) != "")
+    return pages.select("volume", "page_number", F.when(folio("wikitext").isNull() & image & ~front, "plate").otherwise("text").alias("part")).distinct()
 
 
 @query("tx3_plate_titles", f"WITH {VA} SELECT id, title, coalesce(nullif(regexp_extract(title, 'PLATE ([IVXLC]+)', 1), ''), nullif(regexp_extract(section_name, 's(\\d+)', 1), ''), '-') AS number FROM va WHERE article_type = 'plate'")
@@ -357,8 +360,8 @@ def tx3(spark, d):
 
 @query("tx14_notes", f"WITH {VA} SELECT id, row_number() OVER (PARTITION BY id ORDER BY i) AS number, note FROM (SELECT id, unnest(range(1, len(n) + 1)) AS i, unnest(n) AS note FROM (SELECT id, regexp_extract_all(body, '«FN:([^«»]*)«/FN»', 1) AS n FROM va))")
 def tx14(spark, d):
-    notes = valid(spark, d).select("id", F.posexplode(F.regexp_extract_all("body", F.lit("«FN:([^«»]*)«/FN»"), F.lit(1))).alias("pos", "note"))
-    return notes.select("id", (F.col("pos") + 1).cast("bigint").alias("number"), "note")
+    """The notes of every article under one numbering; those of a name are one note."""
+    return valid(spark, d).select("id", F.explode(markup.notes("body")).alias("n")).select("id", F.col("n.number").cast("bigint").alias("number"), F.col("n.text").alias("note"))
 
 
 @query("tx16_sections")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions import markup
 from lexiloom.functions import text as X
 from lexiloom.functions.types import BOOLEAN, STRING, rows
-from lexiloom.kernel import markers, wikitext
+from lexiloom.kernel import markers, styles, wikitext
 from lexiloom.operators import sequence
 from lexiloom.plans.aggregates import SQL as AGGREGATE_SQL
 from lexiloom.plans.common import HEAD, VA, VC, Registry, head_key, once, valid
@@ -187,15 +187,20 @@ def tx7(spark, d):
     return once(spark, d, "source_pages", "id", "wikitext").where("wikitext IS NOT NULL").select("id", _peeled("wikitext").alias("shapes"))
 
 
-#: Codes of table styles and the rules they stand for.
-STYLE_CODES = {"ar": "text-align:right", "al": "text-align:left", "ac": "text-align:center", "vtt": "vertical-align:top", "vtb": "vertical-align:bottom", "bl": "border-left:1px solid", "br": "border-right:1px solid", "bt": "border-top:1px solid", "bb": "border-bottom:1px solid", "sm": "font-size:small"}
+@F.pandas_udf(STRING)
+def _styled(s: pd.Series) -> pd.Series:
+    return s.map(styles.rules, na_action="ignore")
 
 
-@query("tx13_style_codes", "SELECT * FROM (VALUES ('ar|vtt', 'text-align:right;vertical-align:top'), ('ac|xx|bb', 'text-align:center;border-bottom:1px solid')) AS v(codes, css)")
+@query("tx13_style_codes", """WITH c AS (SELECT DISTINCT page_number AS n FROM source_pages) SELECT n, CASE n % 3 WHEN 0 THEN 'text-align:right' WHEN 1 THEN 'text-align:center' ELSE 'vertical-align:text-top' END || ';border-' || CASE n % 4 WHEN 0 THEN 'left' WHEN 1 THEN 'right' WHEN 2 THEN 'top' ELSE 'bottom' END || ':' || (n % 2 + 2) || 'px solid;padding-left:' || CASE WHEN n % 8 = 0 THEN '0' ELSE (n % 8) || 'em' END || ';font-size:' || (80 + n % 40) || '%' AS css FROM c""")
 def tx13(spark, d):
-    known = F.create_map(*[F.lit(x) for pair in STYLE_CODES.items() for x in pair])
-    codes = spark.createDataFrame([("ar|vtt",), ("ac|xx|bb",)], "codes string")
-    return codes.select("codes", F.array_join(F.array_compact(F.transform(F.split("codes", r"\|"), lambda c: F.try_element_at(known, c))), ";").alias("css"))
+    """Codes of cells as rules; one code of each is unknown and shows nothing."""
+    n = F.col("n")
+    code = F.concat_ws(
+        "|", F.element_at(F.array(F.lit("ar"), F.lit("Center"), F.lit("vtt")), n % 3 + 1), F.concat(F.lit("b"), F.element_at(F.array(*map(F.lit, "lrtb")), n % 4 + 1), (n % 2 + 2).cast("string")), F.lit("xx"),
+        F.concat(F.lit("pl"), (n % 8).cast("string")), F.concat(F.lit("fs"), F.lpad((80 + n % 40).cast("string"), 3, "0")),
+    )
+    return table(spark, d, "source_pages").select(F.col("page_number").alias("n")).distinct().select("n", _styled(code).alias("css"))
 
 
 @F.pandas_udf(STRING)
