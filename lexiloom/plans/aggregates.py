@@ -434,7 +434,7 @@ def so9(spark, d):
 # --- set operations ----------------------------------------------------------------------------
 
 
-@query("se1_block_starts", f"WITH {VA}, p AS (SELECT id, string_split(body, chr(10) || chr(10)) AS s FROM va WHERE body IS NOT NULL), b AS (SELECT id, unnest(range(1, len(s) + 1)) AS i, length(unnest(s)) + 2 AS n FROM p), o AS (SELECT id, coalesce(sum(n) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM b) SELECT id, at FROM o UNION SELECT s.article_id, s.body_offset FROM article_segments s JOIN p ON p.id = s.article_id")
+@query("se1_block_starts", f"""WITH {VA}, p AS (SELECT id, string_split(body, chr(10) || chr(10)) AS s FROM va WHERE body IS NOT NULL), b AS (SELECT id, unnest(range(1, len(s) + 1)) AS i, length(unnest(s)) + 2 AS n FROM p), o AS (SELECT id, coalesce(sum(n) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "at" FROM b) SELECT id, "at" FROM o UNION SELECT s.article_id, s.body_offset FROM article_segments s JOIN p ON p.id = s.article_id""")
 def se1(spark, d):
     """Where blocks begin in the valid bodies: at 0, after each blank line, and where a page begins."""
     bodies = valid(spark, d).where("body IS NOT NULL").select("id", "body")
