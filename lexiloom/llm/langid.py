@@ -43,6 +43,8 @@ SEEDS = {
     "la": "Domus saeculo superiore ab hominibus oppidi aedificata est et adhuc in usu est. Veteres chartas, quae flumine crescente perierant, invenire non potuerunt. Dicitur multas epistulas ad fratrem scripsisse, sed paucae tantum servatae sunt. Sunt ibi plures ecclesiae cum altis turribus et forum quod singulis hebdomadibus habetur. Maxima pars agri frumento colitur, reliqua silvis tecta est. Post bellum rex castellum filio suo dedit, qui ibi usque ad mortem vixit. Quae invenerunt parvi pretii erant, quamquam alii aliter senserunt. Via a septentrionibus bona est et per vallem latam ducit.",
 }
 ORDER = 5
+#: A sentence is decided if its language is right with this chance.
+LEAST_CONFIDENCE = 0.96
 _LETTERS = re.compile(r"[^a-zà-öø-ÿāăąćčďēęěğīłńňōőœřśšťūůűźžßſ']+")
 
 
@@ -207,14 +209,31 @@ def train(corpora: Sequence[Sequence[str]], order: int = ORDER, discount: float
     return Models(grams, logs, contexts, backs, float(np.log(discount / kinds / 100)), np.full(langs, 9.0))
 
 
+def logistic(x: np.ndarray, right: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """Slope and offset of the logistic function that tells ``right`` from ``x`` best, a little drawn to the first guess where there is little to learn from."""
+    a, b = 0.6, -0.4
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -50, 50)))
+        w = p * (1 - p)
+        gradient = np.array([((right - p) * x).sum() - (a - 0.6), (right - p).sum() - (b + 0.4)])
+        curve = np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 1]])
+        step = np.linalg.solve(curve, gradient)
+        a, b = a + float(np.clip(step[0], -0.2, 0.2)), b + float(np.clip(step[1], -1, 1))
+        if np.abs(step).max() < 1e-6:
+            break
+    return max(a, 0.01), b
+
+
 @dataclass
 class Identifier:
-    """Trained models with the margins below which a sentence is not decided."""
+    """Trained models with the confidence below which a sentence is not decided."""
 
     models: Models
     languages: tuple[str, ...]
     least_letters: int = 12
-    least_margin: float = 6.0
+    slope: float = 0.6  # confidence is the logistic function of ``slope * margin + offset``, fitted on held-out text
+    offset: float = -0.4
+    least_confidence: float = LEAST_CONFIDENCE
 
     def judge(self, texts: Sequence[str]) -> list[tuple[str | None, float, float]]:
         """For each raw sentence its language (None if rejected), a confidence and the margin in nats."""
@@ -230,8 +249,8 @@ class Identifier:
         out: list[tuple[str | None, float, float]] = []
         for i in rows:
             letters = sizes[i] - plain[i].count(" ")
-            sure = fits[i] and letters >= self.least_letters and margin[i] >= self.least_margin
-            confidence = float(1 / (1 + np.exp(-min(margin[i] / 4, 50)))) if fits[i] and letters else 0.0
+            confidence = float(1 / (1 + np.exp(-np.clip(self.slope * margin[i] + self.offset, -50, 50)))) if fits[i] and letters else 0.0
+            sure = fits[i] and letters >= self.least_letters and confidence >= self.least_confidence
             out.append((self.languages[best[i]] if sure else None, confidence, float(margin[i])))
         return out
 
@@ -291,7 +310,26 @@ def fit(labelled: Sequence[tuple[str, str]], languages: Sequence[str] = LANGUAGE
             final.highest[at] = float(np.quantile(own, 0.999)) * 1.5
         else:
             final.highest[at] = 3.2
-    return Identifier(final, tuple(languages))
+    slope, offset = calibrated(trial, held)
+    return Identifier(final, tuple(languages), slope=slope, offset=offset)
+
+
+def calibrated(trial: Models, held: Sequence[Sequence[str]]) -> tuple[float, float]:
+    """Slope and offset of the confidence: how often the nearest language of held-out text is right, by the margin to the second.
+
+    Whole sentences are nearly always right, so beginnings of 4 to 32 letters are judged too.
+    """
+    margins, right = [], []
+    for at, ps in enumerate(held):
+        parts = [t[:n] for p in ps for t in [plain_text(p)] for n in (4, 8, 16, 32, len(t)) if t[:n].strip()]
+        if parts:
+            entropy, sizes = trial.entropies(parts)
+            best = np.sort(entropy, axis=1)
+            margins.append((best[:, 1] - best[:, 0]) * sizes)
+            right.append(entropy.argmin(axis=1) == at)
+    if not margins:
+        return 0.6, -0.4
+    return logistic(np.concatenate(margins), np.concatenate(right).astype(float))
 
 
 def training_sample(documents: DataFrame, per_language: int = 300, most_chars: int = 8_000) -> list[tuple[str, str]]:

@@ -60,3 +60,32 @@ def test_wrong_labels_do_not_spoil_the_models():
     english = [langid.SEEDS["en"][s:e] for s, e in langid.sentences(langid.SEEDS["en"])]
     found = langid.fit([("it", " ".join(english))] * 20 + [("en", " ".join(english))] * 20)
     assert found.judge(["There are several churches with high towers and a market."])[0][0] == "en"
+
+
+def test_confidence_is_how_often_held_out_text_is_right():
+    import random
+
+    import numpy as np
+
+    draw = random.Random(3)
+    texts = {lang: [langid.plain_text(seed[s:e]) for s, e in langid.sentences(seed)] for lang, seed in langid.SEEDS.items()}
+    found = langid.fit([(lang, " ".join(ts)) for lang, ts in texts.items()] * 5)
+    assert found.slope > 0
+    rows = [(lang, t[k : k + n]) for lang, ts in texts.items() for t in ts for n in (4, 6, 9) for k in [draw.randrange(max(1, len(t) - n))]]
+    judged = found.judge([t for _, t in rows])
+    said = np.array([c for _, c, _ in judged])
+    assert ((0 <= said) & (said <= 1)).all()
+    order = np.argsort(said)
+    entropy, _ = found.models.entropies([langid.plain_text(t) or " " for _, t in rows])
+    right = np.array([found.languages[i] == lang for i, (lang, _) in zip(entropy.argmin(axis=1), rows)])
+    assert right[order[len(order) // 2 :]].mean() >= right[order[: len(order) // 2]].mean()
+
+
+def test_logistic_recovers_a_known_curve():
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    x = draw.uniform(0, 10, 20_000)
+    right = (draw.uniform(size=len(x)) < 1 / (1 + np.exp(-(0.8 * x - 2)))).astype(float)
+    a, b = langid.logistic(x, right)
+    assert abs(a - 0.8) < 0.05 and abs(b + 2) < 0.15
