@@ -102,6 +102,31 @@ def nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield series.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+@F.pandas_udf(STRING)
+def nfkc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Unicode normal form KC."""
+    for series in texts:
+        yield series.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+
+def alias_form(name: Column | str) -> Column:
+    """A name as it is stored: normal form KC, straight quotes, single spaces."""
+    return collapse_spaces(F.translate(nfkc(_col(name)), "’‘`“”", "'''\"\""))
+
+
+def canonical_initials(signature: Column | str) -> Column:
+    """One form for a signature: without markup and leading signs, ``A. B.*``, one of each point and star, a full stop at the end, and in runs of capitals only the first."""
+    s = F.regexp_replace(_col(signature), r"\{\{[^{}|]*\|(?:[^{}|]*\|)*([^{}|]*)\}\}", "$1")
+    s = strip_tags(F.regexp_replace(s, r"\{\{[^{}]*|\}\}", ""))
+    s = F.regexp_replace(s, "&(thin|em|en|nb)sp;", " ")
+    s = F.regexp_replace(s, "^[✠✝†*\\s]+", "")
+    for pattern, instead in ((r"\*\s*\.|\.\s*\*", ".*"), (r"\*+", "*"), (r"\.+", "."), (r"\.([A-Za-z])", ". $1")):
+        s = F.regexp_replace(s, pattern, instead)
+    s = collapse_spaces(s)
+    s = F.when(s.rlike(r"\p{L}$"), F.concat(s, F.lit("."))).otherwise(s)
+    return F.array_join(F.transform(F.split(s, " "), lambda w: F.when(w.rlike(r"^\p{Lu}{2,}\.$"), F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, 2, 1_000_000)))).otherwise(w)), " ")
+
+
 #: Signs of print and what is read for them, one for one and one for several.
 PRINT_SIGNS = ("ſ\xa0  ", "s   ")
 PRINT_GROUPS = (("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"))

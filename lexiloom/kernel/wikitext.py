@@ -627,6 +627,22 @@ def equation_label(text: str) -> str:
     return m.group(1) if m else text.rstrip(".,;:").strip()
 
 
+def without_templates(text: str, names: tuple[str, ...], ending: str) -> str:
+    """The text without the templates of these names, or of a name with this ending."""
+    out, at = [], 0
+    for start, end in constructs(text):
+        if text.startswith("{{", start):
+            name = re.split(r"[|}/]", text[start + 2 : end], maxsplit=1)[0].strip().lower()
+            if name in names or name.endswith(ending):
+                out.append(text[at:start])
+                at = end
+        elif text.startswith("<", start) and not text.startswith("<!--", start) and (m := _OPEN.match(text, start)) and m.end() < end:
+            closer = text.rfind("</", start, end)
+            out.append(text[at : m.end()] + without_templates(text[m.end() : closer], names, ending))
+            at = closer
+    return "".join(out) + text[at:]
+
+
 def slug(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", "-", text.strip().lower()).strip("-")
 

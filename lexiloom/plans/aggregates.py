@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as X
+from lexiloom.functions.leaks import find_leaks
 from lexiloom.functions.types import rows
 from lexiloom.operators import sequence, votes
 from lexiloom.operators.intervals import first_wins
@@ -89,15 +90,14 @@ def ag8_rollup(spark, d):
     return valid(spark, d).rollup("volume", "article_type").agg(F.grouping_id().cast("bigint").alias("level"), F.count(F.lit(1)).alias("n"), F.sum(F.length("body")).alias("chars"))
 
 
-_LEAKS = (("template", r"\{\{"), ("tag", r"</?[a-z]+[^>]*>"), ("marker", r"«/?[A-Z]+"), ("entity", r"&[a-z]+;"), ("wikilink", r"\[\["))
-
-
-@query("ag9_issue_counts", "SELECT consumer, category, count(DISTINCT id) AS n FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS consumer, '{k}' AS category, id FROM source_pages WHERE regexp_matches({c}, '{p}')" for c in ("raw_text", "wikitext") for k, p in _LEAKS) + ") GROUP BY 1, 2")
+@query("ag9_issue_counts", r"""WITH t AS (SELECT 'raw_text' AS consumer, id, raw_text AS t FROM source_pages UNION ALL SELECT 'wikitext', id, wikitext FROM source_pages), f AS (SELECT consumer, id, 'attr' AS category FROM t WHERE regexp_matches(t, '\b(style|align|valign|colspan|rowspan|bgcolor|scope|cellpadding|cellspacing|width|height)=')
+UNION ALL SELECT consumer, id, 'marker' FROM t WHERE regexp_matches(t, '«/?[A-Z]\w*(\[|:|»)') UNION ALL SELECT consumer, id, 'sentinel' FROM t WHERE contains(t, chr(1)) OR contains(t, chr(2)) OR contains(t, chr(3)) UNION ALL SELECT consumer, id, 'template' FROM t WHERE contains(t, '{{') OR contains(t, '}}')
+UNION ALL SELECT consumer, id, 'wikilink' FROM t WHERE contains(t, '[[') OR contains(t, ']]')) SELECT consumer, category, count(DISTINCT id) AS n FROM f GROUP BY 1, 2""")
 def ag9(spark, d):
-    pages = table(spark, d, "source_pages")
-    found = [F.struct(F.lit(c).alias("consumer"), F.lit(k).alias("category"), F.coalesce(F.col(c).rlike(p), F.lit(False)).alias("hit")) for c in ("raw_text", "wikitext") for k, p in _LEAKS]
-    rows = pages.select("id", F.explode(F.filter(F.array(*found), lambda x: x["hit"])).alias("f")).select("id", "f.consumer", "f.category")
-    return rows.distinct().groupBy("consumer", "category").agg(F.count(F.lit(1)).alias("n"))
+    """Pages with each kind of leak, by the text that has it."""
+    found = [F.struct(F.lit(c).alias("consumer"), find_leaks(F.col(c), "text").alias("leaks")) for c in ("raw_text", "wikitext")]
+    leaks = table(spark, d, "source_pages").select("id", F.explode(F.array(*found)).alias("f")).select("id", "f.consumer", F.explode("f.leaks").alias("category"))
+    return leaks.distinct().groupBy("consumer", "category").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("ag10_level_histogram", "SELECT volume, count(*) FILTER (level = 0) AS blank, count(*) FILTER (level = 1) AS raw_only, count(*) FILTER (level = 2) AS transcribed, min(level) AS lowest FROM (SELECT DISTINCT id, volume, CASE WHEN trim(coalesce(raw_text, ''), chr(10) || ' ') = '' THEN 0 WHEN wikitext IS NULL THEN 1 ELSE 2 END AS level FROM source_pages) GROUP BY volume")

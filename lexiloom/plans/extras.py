@@ -63,10 +63,9 @@ def sk3(spark, d):
 
 @query("sk8_search_batches", f"WITH {VA} SELECT CAST(count(*) AS BIGINT) AS n_documents FROM va")
 def sk8(spark, d):
-    """Documents handed out in batches of 500 from the executors, and counted where they arrive."""
-    arrived = spark.sparkContext.accumulator(0)
-    sinks.send_batches(valid(spark, d).select("id"), lambda batch: arrived.add(len(batch)))
-    return spark.createDataFrame([(arrived.value,)], "n_documents bigint")
+    """Documents handed out in batches of 500 from the executors; every batch says what it sent when the result is asked for."""
+    sent = sinks.sent_batches(valid(spark, d).select("id"), lambda batch: len(batch))
+    return sent.agg(F.coalesce(F.sum("answer"), F.lit(0)).alias("n_documents"))
 
 
 @query("so2_page_order", f"WITH {VA} SELECT id, volume, page_start, title FROM va")
@@ -74,12 +73,15 @@ def so2(spark, d):
     return valid(spark, d).select("id", "volume", "page_start", "title").orderBy("volume", "page_start", "title")
 
 
-@query("st28_canonical_names", "WITH a AS (SELECT DISTINCT upper(full_name) AS variant, min(upper(full_name)) OVER (PARTITION BY lower(strip_accents(full_name))) AS canonical FROM contributors WHERE full_name IS NOT NULL) SELECT DISTINCT e.id, coalesce(a.canonical, upper(e.full_name)) AS name FROM vol29_entries e LEFT JOIN a ON a.variant = upper(e.full_name)")
+_ALIAS_FORM = "trim(regexp_replace(translate(nfc_normalize({0}), '’‘`“”', chr(39) || chr(39) || chr(39) || '\"\"'), '\\s+', ' ', 'g'))"
+
+
+@query("st28_canonical_names", f"WITH n AS (SELECT DISTINCT {_ALIAS_FORM.format('full_name')} AS variant FROM contributors WHERE full_name IS NOT NULL), a AS (SELECT variant, min(variant) OVER (PARTITION BY lower(strip_accents(variant))) AS canonical FROM n) SELECT DISTINCT e.id, coalesce(a.canonical, {_ALIAS_FORM.format('e.full_name')}) AS name FROM vol29_entries e LEFT JOIN a ON a.variant = {_ALIAS_FORM.format('e.full_name')}")
 def st28(spark, d):
-    names = table(spark, d, "contributors").where("full_name IS NOT NULL").select(F.upper("full_name").alias("variant"), F.lower(X.fold_accents("full_name")).alias("k"))
-    least = names.groupBy("k").agg(F.min("variant").alias("canonical"))
-    known = names.join(least, "k").select("variant", "canonical").distinct()
-    entries = table(spark, d, "vol29_entries").select("id", F.upper("full_name").alias("variant"))
+    """Names in the form they are stored in, variants as the least spelling that differs from them in accents and case alone."""
+    names = table(spark, d, "contributors").where("full_name IS NOT NULL").select(X.alias_form("full_name").alias("variant")).distinct().withColumn("k", F.lower(X.fold_accents("variant")))
+    known = names.join(names.groupBy("k").agg(F.min("variant").alias("canonical")), "k").select("variant", "canonical")
+    entries = table(spark, d, "vol29_entries").select("id", X.alias_form("full_name").alias("variant"))
     return entries.join(known, "variant", "left").select("id", F.coalesce("canonical", "variant").alias("name")).distinct()
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import markup
 from lexiloom.functions import text as X
+from lexiloom.functions.leaks import find_leaks
 from lexiloom.operators.boundaries import walk_volumes
 from lexiloom.operators.intervals import range_join
 from lexiloom.plans.common import VA, Registry, once, valid
@@ -244,13 +245,22 @@ def pf8(spark, d):
     return valid(spark, d).select("id", lead_kind(X.opening("body")).alias("kind"))
 
 
-@query("pf9_kind_qualifies", "SELECT a.category AS kind, b.category AS wanted, CASE WHEN b.category = 'place' THEN a.category IN ('place', 'subject') ELSE a.category = b.category END AS fits FROM (SELECT DISTINCT category FROM headings) a, (SELECT DISTINCT category FROM headings) b")
+#: Kinds that are persons.
+PERSON_KINDS = "chemist mathematician physicist astronomer naturalist geologist philosopher historian theologian poet writer painter sculptor architect musician physician general admiral statesman engineer king emperor pope saint bishop actor".split()
+
+
+def kind_qualifies(kind, wanted):
+    """Whether the kind of an article satisfies the wanted one; ``PERSON`` is any person, a *town* may be a city."""
+    fits = F.when(wanted == "PERSON", kind.isin(*PERSON_KINDS)).when(wanted == "town", kind.isin("town", "city")).otherwise(kind == wanted)
+    return F.coalesce(fits, F.lit(False))
+
+
+@query("pf9_kind_qualifies", f"WITH k AS (SELECT id, kind FROM ({SQL['pf8_lead_kind']})), w AS (SELECT unnest(['PERSON', 'town', 'river', 'division', 'nature']) AS wanted) SELECT wanted, kind, count(*) AS n, coalesce(CASE wanted WHEN 'PERSON' THEN kind NOT IN ('division', 'town', 'city', 'lake', 'river', 'mountain', 'island', 'ethnic', 'nature') WHEN 'town' THEN kind IN ('town', 'city') ELSE kind = wanted END, FALSE) AS fits FROM k, w GROUP BY ALL")
 def pf9(spark, d):
-    """Which categories satisfy which; a table of categories is short, and that is checked."""
-    kinds = table(spark, d, "headings").select("category").distinct().agg(F.array_sort(F.collect_list("category")).alias("k"))
-    kinds = kinds.withColumn("k", F.when(F.size("k") <= 1000, F.col("k")).otherwise(F.raise_error(F.lit("too many categories")).cast("array<string>")))
-    pairs = kinds.select(F.explode("k").alias("kind"), "k").select("kind", F.explode("k").alias("wanted"))
-    return pairs.select("kind", "wanted", F.when(F.col("wanted") == "place", F.col("kind").isin("place", "subject")).otherwise(F.col("kind") == F.col("wanted")).alias("fits"))
+    """How many articles of each kind satisfy what some buckets want."""
+    kinds = pf8(spark, d).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    asked = kinds.select("kind", "n", F.explode(F.array(*map(F.lit, ("PERSON", "town", "river", "division", "nature")))).alias("wanted"))
+    return asked.select("wanted", "kind", "n", kind_qualifies(F.col("kind"), F.col("wanted")).alias("fits"))
 
 
 @query("pf10_institutional", "SELECT DISTINCT title, regexp_matches(title, '(?i),\\s*(UNIVERSITY|COLLEGE|BATTLE|TREATY|COUNCIL|SIEGE|CONVENTION|SYNOD|DIET|ORDER|CONFERENCE|ACT)\\b') AS institutional FROM articles")
@@ -284,10 +294,27 @@ def pf14(spark, d):
     return valid(spark, d).select("id", F.size(F.regexp_extract_all("body", F.lit("[a-z]{3} (The|Its|His|They) [a-z]"), F.lit(0))).cast("bigint").alias("hits"))
 
 
-@query("pf16_credit_kinds", "SELECT DISTINCT id, string_agg(DISTINCT k, ',' ORDER BY k) AS kinds FROM (SELECT id, unnest(regexp_extract_all(lower(description), '(botanist|geologist|engineer|traveller|merchant|monk)')) AS k FROM contributors) GROUP BY id")
+#: Words in brackets after a credit and the kinds they mean.
+CREDIT_KINDS = {
+    "king": "king", "kings": "king", "emperor": "emperor", "emperors": "emperor", "pope": "pope", "popes": "pope", "saint": "saint", "st": "saint", "general": "general", "statesman": "statesman", "poet": "poet",
+    "painter": "painter", "sculptor": "sculptor", "composer": "musician", "musician": "musician", "physician": "physician", "bishop": "bishop", "family": "family", "tribe": "ethnic", "people": "ethnic",
+}
+
+
+def credit_kinds(title):
+    """The kinds that a credit implies, sorted: by the words of its brackets, and ``person`` where a name follows a comma."""
+    words = F.flatten(F.transform(F.regexp_extract_all(F.lower(title), F.lit(r"\(([^)]*)\)"), F.lit(1)), lambda p: F.split(p, "[^a-z]+")))
+    known = F.create_map(*[F.lit(x) for pair in CREDIT_KINDS.items() for x in pair])
+    named = F.array(F.when(title.rlike(r",\s*\p{Lu}[\p{L}.'-]+(\s+\p{Lu}[\p{L}.'-]*)*\s*(\(.*\))?$"), F.lit("person")))
+    return F.array_sort(F.array_distinct(F.array_compact(F.concat(F.transform(words, lambda w: F.try_element_at(known, w)), named))))
+
+
+@query("pf16_credit_kinds", r"""WITH t AS (SELECT heading_id, heading AS t FROM headings), k AS (SELECT * FROM (VALUES ('king', 'king'), ('kings', 'king'), ('emperor', 'emperor'), ('emperors', 'emperor'), ('pope', 'pope'), ('popes', 'pope'), ('saint', 'saint'), ('st', 'saint'), ('general', 'general'), ('statesman', 'statesman'), ('poet', 'poet'), ('painter', 'painter'), ('sculptor', 'sculptor'),
+('composer', 'musician'), ('musician', 'musician'), ('physician', 'physician'), ('bishop', 'bishop'), ('family', 'family'), ('tribe', 'ethnic'), ('people', 'ethnic')) AS v(word, kind)), b AS (SELECT heading_id, unnest(regexp_extract_all(lower(t), '\(([^)]*)\)', 1)) AS b FROM t), w AS (SELECT heading_id, unnest(regexp_split_to_array(b, '[^a-z]+')) AS word FROM b),
+f AS (SELECT heading_id, kind FROM w JOIN k USING (word) UNION SELECT heading_id, 'person' FROM t WHERE regexp_matches(t, ',\s*\p{Lu}[\p{L}.''-]+(\s+\p{Lu}[\p{L}.''-]*)*\s*(\(.*\))?$')) SELECT heading_id, string_agg(kind, ',' ORDER BY kind) AS kinds FROM f GROUP BY 1""")
 def pf16(spark, d):
-    kinds = table(spark, d, "contributors").select("id", F.explode(F.regexp_extract_all(F.lower("description"), F.lit("(botanist|geologist|engineer|traveller|merchant|monk)"), F.lit(1))).alias("k")).distinct()
-    return kinds.groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("k")), ",").alias("kinds"))
+    kinds = table(spark, d, "headings").select("heading_id", credit_kinds(F.col("heading")).alias("k")).where(F.size("k") > 0)
+    return kinds.select("heading_id", F.array_join("k", ",").alias("kinds"))
 
 
 # --- structure ---------------------------------------------------------------------------------
@@ -409,13 +436,23 @@ def tx25_dangling(spark, d):
     return valid(spark, d).select("id", F.explode(markup.dangling("body")).alias("mark"))
 
 
-_LEAK = (("template", r"\{\{"), ("tag", r"<[a-z]+"), ("marker", r"«/?[A-Z]+"), ("entity", r"&[a-z]+;"), ("wikilink", r"\[\["), ("quotes", r"'''"), ("table", r"\{\|"))
-
-
-@query("tx26_leaks", "SELECT doc_id, string_agg(k, ',' ORDER BY k) AS leaks FROM (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS k FROM documents WHERE regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}')" for k, p in _LEAK) + ") GROUP BY doc_id")
+@query("tx26_leaks", r"""WITH f AS (SELECT doc_id, 'attr' AS leak FROM documents WHERE regexp_matches(text, '\b(style|align|valign|colspan|rowspan|bgcolor|scope|cellpadding|cellspacing|width|height)=') UNION ALL SELECT doc_id, 'marker' FROM documents WHERE regexp_matches(text, '«/?[A-Z]\w*(\[|:|»)')
+UNION ALL SELECT doc_id, 'sentinel' FROM documents WHERE contains(text, chr(1)) OR contains(text, chr(2)) OR contains(text, chr(3)) UNION ALL SELECT doc_id, 'template' FROM documents WHERE contains(text, '{{') OR contains(text, '}}') UNION ALL SELECT doc_id, 'wikilink' FROM documents WHERE contains(text, '[[') OR contains(text, ']]'))
+SELECT doc_id, string_agg(leak, ',' ORDER BY leak) AS leaks FROM f GROUP BY doc_id""")
 def tx26(spark, d):
-    flags = F.array_compact(F.array(*[F.when(F.col("text").rlike(p), F.lit(k)) for k, p in sorted(_LEAK)]))
-    return table(spark, d, "documents").select("doc_id", flags.alias("l")).where(F.size("l") > 0).select("doc_id", F.array_join("l", ",").alias("leaks"))
+    """What the documents, as plain texts, hold that is no text."""
+    return table(spark, d, "documents").select("doc_id", find_leaks(F.col("text"), "text").alias("l")).where(F.size("l") > 0).select("doc_id", F.array_join("l", ",").alias("leaks"))
+
+
+@query("tx26_output_leaks")
+def tx26_outputs(spark, d):
+    """How many pages leak what in each of the three outputs that are made of them."""
+    stream = once(spark, d, "source_pages", "id", "wikitext").where("wikitext IS NOT NULL").select("id", markup.produce("wikitext").alias("s"))
+    made = stream.select("id", markup.html("s").alias("html"), markup.markdown("s").alias("markdown"), X.plain_text("s").alias("text"))
+    found = [F.struct(F.lit(f).alias("fmt"), find_leaks(F.col(f), f).alias("leaks")) for f in ("html", "markdown", "text")]
+    rows = made.select("id", F.explode(F.array(*found)).alias("f")).select("id", "f.fmt", F.explode("f.leaks").alias("leak"))
+    leaks = rows.groupBy("fmt", "leak").agg(F.countDistinct("id").alias("n"))
+    return made.agg(F.count(F.lit(1)).alias("n")).select(F.lit("all").alias("fmt"), F.lit("pages").alias("leak"), "n").unionByName(leaks)
 
 
 @query("tx27_mangled", f"WITH {VA} SELECT id, len(regexp_extract_all(regexp_replace(body, '«/?[A-Z][A-Za-z0-9_]*(\\[[^«»]*\\])?(:[^«»]*»|:|»)', ' ', 'g'), '[«»]')) AS stray FROM va")

@@ -55,10 +55,12 @@ def st26(spark, d):
     return people.select("id", F.try_element_at("w", F.lit(-1)).alias("surname"), F.array_join(F.slice("w", 1, F.greatest(F.lit(0), F.size("w") - 1)), " ").alias("givens"))
 
 
-@query("st29_initials_canon", "SELECT DISTINCT initials AS given, trim(regexp_replace(regexp_replace(regexp_replace(upper(initials), '[()*]', '', 'g'), '\\s*\\.\\s*', '. ', 'g'), '\\s+', ' ', 'g')) AS made FROM contributor_initials WHERE initials IS NOT NULL")
+_CANON = r"regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(initials, '<[^>]*>', '', 'g'), '^[✠✝†*\s]+', ''), '\*\s*\.|\.\s*\*', '.*', 'g'), '\*+', '*', 'g'), '\.+', '.', 'g'), '\.([A-Za-z])', '. \1', 'g'), '\s+', ' ', 'g')), '(\p{L})$', '\1.')"
+
+
+@query("st29_initials_canon", f"SELECT DISTINCT initials AS given, array_to_string(list_transform(string_split({_CANON}, ' '), lambda w: CASE WHEN regexp_matches(w, '^\\p{{Lu}}{{2,}}\\.$') THEN left(w, 1) || lower(substr(w, 2)) ELSE w END), ' ') AS made FROM contributor_initials WHERE initials IS NOT NULL")
 def st29(spark, d):
-    made = X.collapse_spaces(F.regexp_replace(F.regexp_replace(F.upper("initials"), "[()*]", ""), r"\s*\.\s*", ". "))
-    return table(spark, d, "contributor_initials").where("initials IS NOT NULL").select(F.col("initials").alias("given"), made.alias("made")).distinct()
+    return table(spark, d, "contributor_initials").where("initials IS NOT NULL").select(F.col("initials").alias("given"), X.canonical_initials("initials").alias("made")).distinct()
 
 
 @query("st30_footer_lists", "SELECT DISTINCT id, regexp_replace(trim(unnest(string_split(replace(credentials, ',', ';'), ';'))), '\\.$', '') AS letters FROM contributors")
@@ -146,9 +148,19 @@ def st37(spark, d):
     return t.select("id", markup.decode_entities("wikitext").alias("decoded"))
 
 
+#: Templates that are no text; any name that ends in *page heading* is one too.
+CHROME = ("rh", "c", "ambox", "hidden text", "pagenum")
+
+
+@F.pandas_udf(STRING)
+def _unfurnished(s: pd.Series) -> pd.Series:
+    return s.map(lambda t: wikitext.without_templates(t, CHROME, "page heading"), na_action="ignore")
+
+
 @query("st39_strip_furniture", "SELECT DISTINCT id, regexp_replace(wikitext, '\\{\\{(rh|c|[A-Z]+ Page Heading)\\|[^{}]*\\}\\}', '', 'g') AS made FROM source_pages WHERE wikitext IS NOT NULL")
 def st39(spark, d):
-    return table(spark, d, "source_pages").where("wikitext IS NOT NULL").select("id", F.regexp_replace("wikitext", r"\{\{(rh|c|[A-Z]+ Page Heading)\|[^{}]*\}\}", "").alias("made")).distinct()
+    """Whole templates go, whatever they hold; one that never closes stays."""
+    return table(spark, d, "source_pages").where("wikitext IS NOT NULL").select("id", _unfurnished("wikitext").alias("made")).distinct()
 
 
 @F.pandas_udf(STRING)
@@ -251,10 +263,16 @@ def tx24(spark, d):
     return table(spark, d, "article_segments").join(letters, "article_id").select("id", F.substring("letters", F.col("body_offset") + 1, F.lit(12)).alias("signature")).distinct()
 
 
+#: Headings that titles are aligned with in one task.
+MOST_HEADINGS = 100_000
+
+
 @query("wn16_aligned_bands")
 def wn16(spark, d):
     """Titles of a volume against the order of the headings: the rows that an alignment keeps."""
-    known = {r["category"]: list(r["h"]) for r in table(spark, d, "headings").groupBy(F.lit("all").alias("category")).agg(F.array_sort(F.collect_list("heading")).alias("h")).collect()}["all"]
+    known = [r["heading"] for r in table(spark, d, "headings").select("heading").where("heading IS NOT NULL").orderBy("heading").limit(MOST_HEADINGS + 1).collect()]
+    if len(known) > MOST_HEADINGS:
+        raise ValueError("the list of headings is too long to be aligned with")
 
     def align(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["page_start", "id"], kind="stable")

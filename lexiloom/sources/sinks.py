@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -62,6 +63,18 @@ def send_batches(df: DataFrame, send: Callable[[list[Row]], None], size: int = 5
     df.foreachPartition(run)
 
 
+def sent_batches(df: DataFrame, send: Callable[[list[dict]], int], size: int = 500) -> DataFrame:
+    """Columns ``rows, answer``: what ``send`` said to every batch of rows; nothing is sent before the result is asked for."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = frame.to_dict("records")
+            said = [(len(part), int(send(part))) for part in (rows[i : i + size] for i in range(0, len(rows), size))]
+            yield pd.DataFrame(said, columns=["rows", "answer"])
+
+    return df.mapInPandas(run, "rows long, answer long")
+
+
 def referenced_files(df: DataFrame, name: str, present: DataFrame) -> DataFrame:
     """Names that are referred to and are not in ``present(name)``."""
     return df.select(name).where(F.col(name).isNotNull()).distinct().join(present.select(F.col("name").alias(name)), name, "left_anti")

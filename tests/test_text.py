@@ -121,3 +121,25 @@ def test_entities_are_decoded(spark):
 
     got = one(spark, "Smith &amp; Co &#233; &lt;b&gt; &vert;", markup.decode_entities)
     assert "Smith & Co é" in got and "&lt;b" in got and "&vert;" in got
+
+
+def test_signatures_and_aliases(spark):
+    for value, made in (("A.N.", "A. N."), ("T. F. T", "T. F. T."), ("✠ J. G.", "J. G."), ("O*.", "O.*"), ("C. {{sc|WI}}.", "C. Wi."), ("<small>H.</small>&thinsp;S..**", "H. S.*"), ("WI.", "Wi.")):
+        assert one(spark, value, X.canonical_initials) == made, value
+    assert one(spark, "Elizabeth  O’Neill", X.alias_form) == "Elizabeth O'Neill" and one(spark, "ﬁne “name”", X.alias_form) == 'fine "name"'
+
+
+def test_leaks_by_format(spark):
+    from lexiloom.functions.leaks import find_leaks
+
+    cases = [
+        ("html", '<p style="x">«B»a</p>', ["marker"]), ("html", "<p>&lt;ref name=x&gt;</p>", ["tag"]), ("html", "<p>: set in</p>", []), ("html", "<p>:set in</p>", ["indent"]), ("html", '<span class="math">{{a}}</span>', []),
+        ("markdown", "$a}}$ [[x]]", ["wikilink"]), ("text", "align=left {{x}}", ["attr", "template"]), ("text", "a\x01b", ["sentinel"]), ("text", "a $b$", []), ("text", None, None),
+    ]
+    for fmt, value, expected in cases:
+        got = one(spark, value, lambda c, fmt=fmt: find_leaks(c, fmt))
+        assert got == expected, (fmt, value)
+
+
+def test_furniture_templates_go_whole():
+    assert wikitext.without_templates("a{{rh|1|{{sc|x}}|}}b{{C}}c{{XY Page Heading|{{{p}}}}}d<noinclude>{{rh|2}}e</noinclude>{{rh|open", ("rh", "c"), "page heading") == "abcd<noinclude>e</noinclude>{{rh|open"
