@@ -322,6 +322,18 @@ class Canon:
             self.memory[core] = known
         return known
 
+    def within(self, text: str | None) -> list[tuple[int, int]]:
+        """``(distance, id)`` of every entry that a reading of the value reaches, the nearest first; each entry by its least distance.
+
+        The distance is that of the cores; what was taken off the core is not compared here.
+        """
+        best: dict[int, int] = {}
+        for reading in readings(unwrap(text)) if text else []:
+            if len(reading.core) <= self.longest + 2:
+                for distance, index in self._cores(reading.core):
+                    best[index] = min(distance, best.get(index, distance))
+        return sorted((d, self.entries[i].id) for i, d in best.items())
+
     def match(self, text: str | None) -> tuple[float, int] | None:
         """The cost and the entry that a value means best; None if it means none."""
         if not text:
@@ -465,6 +477,33 @@ def map_to_list(df: DataFrame, normalized: str, surface: str, headings: DataFram
     return left_join_pairs(keyed, found, key, normalized, surface, out)
 
 
+def candidates(df: DataFrame, value: str, headings: DataFrame, most_entries: int = MOST_ENTRIES) -> DataFrame:
+    """Columns ``value, heading_id, distance``: for each distinct value all entries within the distance its length allows.
+
+    A list longer than ``most_entries`` is walked in parts, one broadcast at a time.  Null values and
+    values that no entry is near have no row.
+    """
+    spark = df.sparkSession
+    listed = headings.where(F.col("heading_id").isNotNull()).select("heading_id", "heading", "category")
+    parts = max(1, -(-listed.count() // most_entries))
+    values = df.select(value).where(F.col(value).isNotNull()).distinct()
+    out = None
+    for i in range(parts):
+        part = [tuple(r) for r in listed.where(F.pmod(F.xxhash64("heading_id"), F.lit(parts)) == i).collect()]
+        shared = spark.sparkContext.broadcast(Canon.of(part))
+
+        @F.pandas_udf("array<struct<distance:int,heading_id:bigint>>")
+        def near(texts: pd.Series) -> pd.Series:
+            return pd.Series([[{"distance": d, "heading_id": v} for d, v in shared.value.within(t)] for t in texts], dtype=object)  # noqa: B023 (run before the next part)
+
+        found = values.select(value, F.explode(near(value)).alias("e")).select(value, "e.heading_id", "e.distance")
+        if parts > 1:
+            found = cut_lineage(found)
+            shared.unpersist()
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def left_join_pairs(keyed: DataFrame, found: DataFrame, key: str, normalized: str, surface: str, out: str) -> DataFrame:
     """Each row with the id of its pair; the few pairs of an outsized share of the rows are broadcast.
 

@@ -97,6 +97,13 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(spark, sf_dir).where(F.col("heading_id") == 0).groupBy(value.alias("written")).agg(F.count(F.lit(1)).alias("n_xrefs"))
 
 
+def p4_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For everything written in either field, all headings within the distance its length allows."""
+    xrefs = table(spark, sf_dir, "xrefs")
+    written = xrefs.select(F.col("normalized_target").alias("written")).unionByName(xrefs.select(F.col("surface_text").alias("written")))
+    return headings.candidates(written, "written", table(spark, sf_dir, "headings"))
+
+
 def p4_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each heading with the references that mean it and the ways in which they spell it."""
     found = _mapped(spark, sf_dir).where(F.col("heading_id") > 0)
@@ -255,6 +262,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
     "p4_headings": p4_headings,
+    "p4_candidates": p4_candidates,
     "p5_found": p5_found,
     "p5_paragraphs": p5_paragraphs,
     "p5_misreadings": p5_misreadings,

@@ -1,7 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexiloom.llm.headings import Canon, Trie, TwoWay, map_to_list, unwrap
+from lexiloom.llm.headings import Canon, Trie, TwoWay, candidates, map_to_list, unwrap
 from lexiloom.llm.names import edits
 
 LIST = [
@@ -63,3 +63,12 @@ def test_a_hot_pair_keeps_all_its_rows(spark):
     df = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 7 = 0 THEN concat('x', id) ELSE 'berlin' END AS n", "CASE WHEN id % 2 = 0 THEN '' END AS s")
     got = map_to_list(df, "n", "s", headings)
     assert got.count() == 5000 and got.where("heading_id = 1").count() == df.where("n = 'berlin'").count()
+
+
+def test_all_entries_within_the_distance(spark):
+    headings = spark.createDataFrame([(1, "BERLINS", "place"), (2, "BERLIN", "place"), (3, "PARIS", "place"), (4, "MERLIN", "place")], "heading_id long, heading string, category string")
+    df = spark.createDataFrame([("Berlin",), ("Berlin",), ("berlyn",), (None,), ("",), ("nothing near",)], "v string")
+    expected = {("Berlin", 1, 1), ("Berlin", 2, 0), ("Berlin", 4, 1), ("berlyn", 2, 1)}
+    for most in (10, 2):
+        got = candidates(df, "v", headings, most_entries=most).collect()
+        assert {tuple(r) for r in got} == expected and len(got) == len(expected)

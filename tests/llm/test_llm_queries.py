@@ -54,6 +54,8 @@ def test_headings(spark, rows):
     found = rows("p4_found")
     assert {r["heading_id"] for r in found} <= known and len({r["xref_id"] for r in found}) == len(found)
     assert len(rows("p4_headings")) == len(known) - 1
+    offered = {(r["written"], r["heading_id"]): r["distance"] for r in rows("p4_candidates")}
+    assert len(offered) == len(rows("p4_candidates")) and {h for _, h in offered} <= known and set(offered.values()) <= {0, 1, 2}
     unmatched = sum(r["n_xrefs"] for r in rows("p4_unmatched"))
     assert unmatched + sum(r["n_xrefs"] for r in rows("p4_headings")) == table(spark, SMALL, "xrefs").select("id", "surface_text", "normalized_target").distinct().count()
 
