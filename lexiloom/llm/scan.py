@@ -96,7 +96,7 @@ class Page:
         self.maybe: dict[int, tuple[str, bool]] = {}  # line: its mask, and whether it is furniture unless known better
         self.edge: set[int] = set()  # of those, the ones at the page's edges
         for order, top in ((full, True), (full[::-1], False)):
-            for at, i in enumerate(order[:5]):
+            for at, i in enumerate(order):
                 kind = self._kind(i, top, at)
                 if kind == "sure":
                     self.sure.add(i)
@@ -242,7 +242,8 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if i in page.maybe:
                     continue
                 line = page.lines[i]
-                if len(line) < 60:
+                # no line of an edge that may be furniture is longer, or begins with a small letter that is no numeral
+                if len(line) <= max(70, 0.7 * page.width) and (not (first := line.lstrip()[0]).islower() or first in "ivxlc"):
                     words["text"][mask(line)] += 1
                 tokens = _WORD.findall(line)
                 cut = page.cut(i)
