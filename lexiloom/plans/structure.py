@@ -391,9 +391,11 @@ def tx14(spark, d):
     return valid(spark, d).select("id", F.explode(markup.notes("body")).alias("n")).select("id", F.col("n.number").cast("bigint").alias("number"), F.col("n.text").alias("note"))
 
 
-@query("tx16_sections")
+@query("tx16_sections", r"WITH l AS (SELECT id, unnest(range(0, len(s))) AS i, unnest(s) AS line FROM (SELECT DISTINCT id, string_split(raw_text, chr(10)) AS s FROM source_pages)) SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY i) - 1 AS INT) AS pos, 'anchor' AS kind, 3 AS level, line AS name FROM l WHERE regexp_matches(line, '^[A-Z]{4,}$')")
 def tx16(spark, d):
-    return valid(spark, d).select("id", F.posexplode(markup.sections("body")).alias("pos", "s")).select("id", "pos", "s.kind", "s.level", "s.name")
+    """The sections of every page whose headings stand on lines of their own: the lines become anchors, and the stream that is produced tells them in order."""
+    marked = once(spark, d, "source_pages", "id", "raw_text").select("id", F.regexp_replace("raw_text", r"(?m)^([A-Z]{4,})$", "{{anchor|$1}}").alias("t"))
+    return marked.select("id", F.posexplode(markup.sections(markup.produce("t"))).alias("pos", "s")).select("id", "pos", "s.kind", "s.level", "s.name")
 
 
 @query("tx17_references", f"""WITH {VA}, l AS (SELECT id, regexp_extract_all(body, '«LN:([^«»|]*)[^«»]*', 1) AS t FROM va), e AS (SELECT id, unnest(range(1, len(t) + 1)) AS i, trim(unnest(t)) AS target FROM l)
@@ -408,9 +410,13 @@ def tx11(spark, d):
     return table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\(see ([A-Z][^()]{2,80})\)"), F.lit(1))).alias("t")).select("doc_id", F.trim("t").alias("target"))
 
 
-@query("tx12_tables")
+@query("tx12_tables", r"WITH d AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^[^|{}\[\]<«]+(\|[^|{}\[\]<«]+)+$')) AS s FROM documents), l AS (SELECT doc_id, unnest(range(0, len(s))) AS row, string_split(unnest(s), '|') AS c FROM d) SELECT doc_id, CAST(row AS INT) AS row, CAST(unnest(range(0, len(c))) AS INT) AS col, trim(unnest(c), ' ' || chr(9) || chr(13) || chr(160)) AS text FROM l")
 def tx12(spark, d):
-    return valid(spark, d).select("id", F.explode(markup.cells("body")).alias("c")).select("id", "c.row", "c.col", "c.text")
+    """The tabular lines of the documents as tables in bar syntax, recognised, produced and read back as grids."""
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"^[^|{}\[\]<«]+(\|[^|{}\[\]<«]+)+$"))
+    docs = table(spark, d, "documents").select("doc_id", lines.alias("l")).where(F.size("l") > 0)
+    source = F.concat(F.lit("{|\n"), F.array_join(F.transform("l", lambda x: F.concat(F.lit("| "), F.replace(x, F.lit("|"), F.lit(" || ")))), "\n|-\n"), F.lit("\n|}"))
+    return docs.select("doc_id", F.explode(markup.cells(markup.produce(source))).alias("c")).select("doc_id", "c.row", "c.col", "c.text")
 
 
 @query("tx15_section_anchors", "WITH l AS (SELECT id, unnest(range(0, len(s))) AS pos, unnest(s) AS name FROM (SELECT DISTINCT id, string_split(raw_text, chr(10)) AS s FROM source_pages)) SELECT DISTINCT id, CAST(pos AS INT) AS pos, name, lower(name) AS slug FROM l WHERE regexp_matches(name, '^[A-Z]{4,}$')")
@@ -433,7 +439,10 @@ def tx25(spark, d):
 
 @query("tx25_dangling")
 def tx25_dangling(spark, d):
-    return valid(spark, d).select("id", F.explode(markup.dangling("body")).alias("mark"))
+    """Marks without their other half in the documents, which are pieces of marked texts, and in the references."""
+    docs = table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
+    refs = once(spark, d, "xrefs", "id", "surface_text").select(F.lit("reference").alias("kind"), "id", F.col("surface_text").alias("text"))
+    return docs.unionByName(refs).select("kind", "id", F.explode(markup.dangling("text")).alias("mark"))
 
 
 @query("tx26_leaks", r"""WITH f AS (SELECT doc_id, 'attr' AS leak FROM documents WHERE regexp_matches(text, '\b(style|align|valign|colspan|rowspan|bgcolor|scope|cellpadding|cellspacing|width|height)=') UNION ALL SELECT doc_id, 'marker' FROM documents WHERE regexp_matches(text, '«/?[A-Z]\w*(\[|:|»)')
