@@ -72,7 +72,8 @@ def plain_text(text: str) -> str:
 # is abbreviated there; a line end after a stop, or a blank line, ends it too.
 _NEXT = r"\s+(?=[\"“„«(\[†*\dA-ZÀ-ÖØ-Þ])"
 _CLOSE = r"[\"”“»)\]’]"
-_ENDS = re.compile(rf"(?<=[^\W\d_]{{3}}[.!?]){_CLOSE}*{_NEXT}|(?<={_CLOSE}[.!?]){_CLOSE}*{_NEXT}|(?<=[.!?]{_CLOSE}){_NEXT}|(?<=\d[.!?])\s+(?=[A-ZÀ-ÖØ-Þ«„“\"])|\s*\n\s*")
+# one look at the sign before spares four at most places
+_ENDS = re.compile(rf"(?<=[.!?\"”“»)\]’])(?:(?<=[^\W\d_]{{3}}[.!?]){_CLOSE}*{_NEXT}|(?<={_CLOSE}[.!?]){_CLOSE}*{_NEXT}|(?<=[.!?]{_CLOSE}){_NEXT}|(?<=\d[.!?])\s+(?=[A-ZÀ-ÖØ-Þ«„“\"]))|\s*\n\s*")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -246,13 +247,10 @@ class Identifier:
         best, second = order[:, 0], order[:, 1]
         margin = (entropy[rows, second] - entropy[rows, best]) * sizes
         fits = entropy[rows, best] <= self.models.highest[best]
-        out: list[tuple[str | None, float, float]] = []
-        for i in rows:
-            letters = sizes[i] - plain[i].count(" ")
-            confidence = float(1 / (1 + np.exp(-np.clip(self.slope * margin[i] + self.offset, -50, 50)))) if fits[i] and letters else 0.0
-            sure = fits[i] and letters >= self.least_letters and confidence >= self.least_confidence
-            out.append((self.languages[best[i]] if sure else None, confidence, float(margin[i])))
-        return out
+        letters = sizes - np.array([t.count(" ") for t in plain])
+        confidence = np.where(fits & (letters > 0), 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -50, 50))), 0.0)
+        sure = fits & (letters >= self.least_letters) & (confidence >= self.least_confidence)
+        return [(self.languages[b] if s else None, c, m) for b, s, c, m in zip(best.tolist(), sure.tolist(), confidence.tolist(), margin.tolist())]
 
     def passages(self, text: str | None) -> list[tuple[int, int, str | None, float, int]]:
         """Spans ``(start, end, language, confidence, sentences)``; neighbours of one language are one passage.
